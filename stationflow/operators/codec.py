@@ -70,7 +70,7 @@ def _field(event: str, spec: T.StructField) -> tuple[Column, Column]:
 def decode(df: DataFrame, entity: Entity, value: str = "value") -> DataFrame:
     """Add ``event`` (a struct of the entity's fields) and ``reason``.
 
-    ``reason`` is NULL for a valid event, ``unmarshal: ...`` for a payload that
+    ``event`` is NULL for a payload that does not decode. ``reason`` is NULL for a valid event, ``unmarshal: ...`` for a payload that
     does not decode and ``validate: ...`` for an event that breaks a rule;
     ``reason_code`` is its class. Bytes that are not UTF-8 are replaced, as
     JSON readers do; unknown keys are ignored; absent keys give zero values.
@@ -108,7 +108,7 @@ def decode(df: DataFrame, entity: Entity, value: str = "value") -> DataFrame:
     broken = F.concat(F.lit("validate: "), first_reason(entity.rules, at))
     return decoded.select(
         *df.columns,
-        "event",
+        F.when(~failed, F.col("event")).alias("event"),
         F.coalesce(F.col("_failure"), broken).alias("reason"),
         F.when(failed, F.lit("unmarshal")).otherwise(first_code(entity.rules, at)).alias("reason_code"),
     )
