@@ -46,8 +46,14 @@ def first_by_position(
 
 
 def not_stored(new: DataFrame, stored: DataFrame, key: Sequence[str] = READING_KEY) -> DataFrame:
-    """New rows whose key is not stored yet."""
-    return new.join(stored.select(*key), list(key), "left_anti")
+    """New rows whose key is not stored yet.
+
+    An outer join and a test for no match. Spark would move an anti join below
+    the aggregate that made ``new``, and so bring all copies of a hot key
+    together; an outer join stays above it and uses its partitioning.
+    """
+    known = stored.select(*key, F.lit(True).alias("_stored"))
+    return new.join(known, list(key), "left_outer").where(F.col("_stored").isNull()).drop("_stored")
 
 
 def insert_ignore(

@@ -85,11 +85,15 @@ def summarise(
     give no row. Expects valid readings.
     """
     scope = F.lit(S.NATIONAL) if scope is None else scope
-    grouped = df.groupBy(scope.alias("scope"), tumbling(size).alias("_w")).agg(*partial_columns(scale=scale))
+    # A stream needs window() so that the watermark can close its groups. A
+    # batch groups by the start alone: a plain key hashes faster than a struct.
+    window = tumbling(size) if df.isStreaming else window_start(size)
+    start = F.col("_w.start") if df.isStreaming else F.col("_w")
+    grouped = df.groupBy(scope.alias("scope"), window.alias("_w")).agg(*partial_columns(scale=scale))
     return grouped.select(
         "scope",
-        F.col("_w.start").alias("window_start"),
-        F.col("_w.end").alias("window_end"),
+        start.alias("window_start"),
+        (start + interval(size)).alias("window_end"),
         average(F.col("total"), F.col("count"), scale).alias("avg_temp_c"),
         "min_temp_c",
         "max_temp_c",

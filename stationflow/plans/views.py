@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationflow import schemas as S
-from stationflow.functions.times import format_rfc3339
 from stationflow.operators.codec import encode
 from stationflow.operators.registry import to_stored
 from stationflow.operators.validation import READING, valid_rows
@@ -73,43 +72,35 @@ def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _payload() -> Column:
-    """JSON of the reading; error events carry one of twelve faults."""
-    good = encode(READING)
-    variant = F.col("user_id") % 12
-    time = format_rfc3339(F.col("ts"))
-    without_ts = F.to_json(F.struct("sensor_id", "lat", "lon", "temp_c"))
+def _faulty(good: Column) -> Column:
+    """One of twelve spoiled forms of a payload, picked by the user number."""
     faults = {
         0: F.lit("not json at all"),
         1: F.lit(""),
         2: F.lit("null"),
         3: F.lit("[]"),
         4: F.concat(good, F.lit(" trailing")),
-        5: F.to_json(F.struct(F.lit(5).alias("sensor_id"), "lat", "lon", "temp_c", time.alias("ts"))),
-        6: F.to_json(
-            F.struct("sensor_id", F.lit("47.5").alias("lat"), "lon", "temp_c", time.alias("ts"))
-        ),
-        7: F.to_json(
-            F.struct("sensor_id", "lat", "lon", "temp_c", F.substring(time, 1, 10).alias("ts"))
-        ),
-        8: without_ts,
-        9: F.to_json(F.struct("sensor_id", "lat", "lon", time.alias("ts"))),
-        10: F.to_json(
-            F.struct("sensor_id", "lat", "lon", "temp_c", time.alias("ts"), F.lit("v2").alias("extra"))
-        ),
-        11: F.concat(F.lit('{"sensor_id":"first",'), F.substring(good, 2, 1_000)),
+        5: F.regexp_replace(good, '"sensor_id":"[^"]*"', '"sensor_id":5'),
+        6: F.regexp_replace(good, '"lat":[^,]*', '"lat":"47.5"'),
+        7: F.regexp_replace(good, '"ts":"([^T]*)[^"]*"', '"ts":"$1"'),
+        8: F.regexp_replace(good, ',"ts":"[^"]*"', ""),
+        9: F.regexp_replace(good, ',"temp_c":[^,]*', ""),
+        10: F.regexp_replace(good, "}$", ',"extra":"v2"}'),
+        11: F.regexp_replace(good, "^.", '{"sensor_id":"first",'),
     }
     fault = F.lit(None).cast("string")
     for number, text in faults.items():
-        fault = F.when(variant == number, text).otherwise(fault)
-    return F.when(F.col("event_type") == "error", fault).otherwise(good)
+        fault = F.when(F.col("user_id") % 12 == number, text).otherwise(fault)
+    return fault
 
 
 def as_topic(rows: DataFrame) -> DataFrame:
-    """Raw topic rows, one per event, some of them poison."""
-    return as_readings(rows).select(
+    """Raw topic rows, one per event; error events carry a faulty payload."""
+    good = F.col("_good")
+    payload = F.when(F.col("event_type") == "error", _faulty(good)).otherwise(good)
+    return as_readings(rows).withColumn("_good", encode(READING)).select(
         F.col("sensor_id").cast("binary").alias("key"),
-        _payload().cast("binary").alias("value"),
+        payload.cast("binary").alias("value"),
         F.lit(S.READINGS_TOPIC.name).alias("topic"),
         "partition",
         "offset",

@@ -109,13 +109,13 @@ def end_offsets(rows: DataFrame) -> DataFrame:
 def after_offsets(rows: DataFrame, ends: DataFrame) -> DataFrame:
     """Rows behind the given end offsets; unlisted partitions are read whole.
 
-    ``ends`` has one row per partition of the topic, so it stays tiny.
+    ``ends`` has one row per partition of the topic. It becomes one small map
+    that every task looks into, so the rows are only filtered.
     """
-    return (
-        rows.join(ends, ["topic", "partition"], "left")
-        .where(F.col("end_offset").isNull() | (F.col("offset") > F.col("end_offset")))
-        .select(*rows.columns)
-    )
+    at = F.struct("topic", "partition")
+    pairs = F.collect_list(F.struct(at.alias("at"), F.col("end_offset")))
+    known = ends.agg(F.map_from_entries(pairs)).scalar()
+    return rows.where(F.col("offset") > F.coalesce(F.try_element_at(known, at), F.lit(-1)))
 
 
 def is_retained(retention: timedelta, now: Column, ts: str = "timestamp") -> Column:

@@ -1,5 +1,6 @@
 import base64
 import json
+import random
 
 from builders import AGGREGATE, BASE, DEAD_LETTER, READING, frame, topic, wire
 from pyspark.sql import functions as F
@@ -200,6 +201,31 @@ def test_skip_reports_counts(spark):
     assert seen.get == {"offered": 3, "skipped": 2}
 
 
+def test_both_ways_of_decoding_agree(spark):
+    """A blank in front keeps a payload from the short way."""
+    rng = random.Random(2)
+    edges = ["0", "-0.5", "47.4979", "99999999999999999", "1e1", "-1", "0.1234567890123456789", "1e400", "01"]
+    texts = ["plain", "", r"tab\tescaped", r'quo\"te', "žluť", r"back\\slash", "line\u2028end"]
+    times_ = ["2026-07-21T12:00:00Z", "2026-13-21T12:00:00Z", "T", "0001-01-01T00:00:00Z", "2026-07-21T12:00:00.5Z"]
+    payloads = [
+        f'{{"sensor_id":"{rng.choice(texts)}","lat":{rng.choice(edges)},"lon":{rng.choice(edges)},'
+        f'"temp_c":{rng.choice(edges)},"ts":"{rng.choice(times_)}"}}{rng.choice(["", "", chr(10), chr(133)])}'
+        for _ in range(300)
+    ]
+    short = decoded(spark, *payloads)
+    assert short == decoded(spark, *[" " + p for p in payloads])
+    assert len({r.reason.split(":")[1] if r.reason else None for r in short}) > 3
+
+
+def test_plain_form_is_what_the_encoder_writes(spark):
+    import re
+
+    for entity, row in ((V.READING, READING), (V.AGGREGATE, AGGREGATE), (V.DEAD_LETTER, DEAD_LETTER)):
+        text = frame(spark, entity.schema, row).select(codec.encode(entity)).first()[0]
+        pattern = codec._plain_form(entity).replace(r"\p{Cntrl}", r"\x00-\x1f").replace(r"\z", r"\Z")
+        assert re.match(pattern, text), entity.name
+
+
 def test_parse_runs_once_under_filters(spark):
     rows = codec.decode(topic(spark, [wire(READING)]), V.READING)
     plan = routing.accepted(rows).select("event.*")._jdf.queryExecution().optimizedPlan().toString()
