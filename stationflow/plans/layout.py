@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 # A broadcast side may hold at most this many narrow rows (about 20 MB of keys).
 BROADCAST_ROWS = 250_000
 
-# Rows per output file: some hundred megabytes of readings.
-ROWS_PER_FILE = 4_000_000
+# Rows per output file, and so per writing task: some tens of megabytes.
+ROWS_PER_FILE = 1_000_000
 
 
 def broadcast_if_small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:

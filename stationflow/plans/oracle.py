@@ -337,4 +337,12 @@ ORACLE: dict[str, str] = {
         },
     )
     + "SELECT * FROM hourly WHERE window_end <= (SELECT max(ts) FROM kept) - to_seconds(122)",
+    "stream_raw_to_feed": _with(
+        "decoded",
+        more={
+            "kept": f"SELECT * FROM decoded WHERE reason IS NULL AND NOT ({_late(3600)})",
+            "hourly": _summary("kept", 3600),
+        },
+    )
+    + "SELECT * FROM hourly WHERE window_end <= (SELECT max(ts) FROM kept) - to_seconds(122)",
 }

@@ -31,10 +31,20 @@ from stationflow.operators.validation import (
 from stationflow.plans import views
 from stationflow.session import configure, scratch_path
 from stationflow.sources import history, topics
-from stationflow.streaming.aggregate import aggregate_stream, aggregates_topic, future_rows
-from stationflow.streaming.aggregate import start_aggregates
+from stationflow.streaming.aggregate import (
+    aggregate_stream,
+    aggregates_topic,
+    future_rows,
+    readings_from_topic,
+    start_aggregates,
+)
 from stationflow.streaming.feed import feed_messages, live_feed
-from stationflow.streaming.ingest import clean_topic, dead_letter_topic, file_outputs, start_ingest
+from stationflow.streaming.ingest import (
+    clean_topic,
+    dead_letter_topic,
+    file_outputs,
+    start_ingest,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -599,19 +609,30 @@ def stream_ingest_outputs(spark, sf_dir):
     )
 
 
+_AGGREGATE_JSON = (
+    "scope string, window_start timestamp, window_end timestamp, avg_temp_c double,"
+    " min_temp_c double, max_temp_c double, count bigint"
+)
+
+
+def _sent_aggregates(spark: SparkSession, readings: DataFrame) -> DataFrame:
+    """Hourly windows of a stream, as a subscriber of the topic gets them."""
+    root = scratch_path(spark, "aggregate")
+    hourly = aggregate_stream(readings, HOUR)
+    start_aggregates(hourly, f"{root}/aggregates", f"{root}/checkpoint", once=True).awaitTermination()
+    sent = feed_messages(topics.read_topic(spark, f"{root}/aggregates"))
+    return sent.select(F.from_json("message", _AGGREGATE_JSON).alias("m")).select("m.*")
+
+
 @query
 def stream_tumbling_1h(spark, sf_dir):
     """Hourly windows of a stream: those the watermark has passed."""
-    root = scratch_path(spark, "aggregate")
     rows = views.as_readings(views.events_stream(spark, sf_dir))
-    clean = validate(rows, READING).where(F.col("reason").isNull())
-    hourly = aggregate_stream(clean, HOUR)
-    start_aggregates(hourly, f"{root}/aggregates", f"{root}/checkpoint", once=True).awaitTermination()
-    message = feed_messages(topics.read_topic(spark, f"{root}/aggregates")).select(
-        F.from_json(
-            "message",
-            "scope string, window_start timestamp, window_end timestamp, avg_temp_c double,"
-            " min_temp_c double, max_temp_c double, count bigint",
-        ).alias("m")
-    )
-    return message.select("m.*")
+    return _sent_aggregates(spark, validate(rows, READING).where(F.col("reason").isNull()))
+
+
+@query
+def stream_raw_to_feed(spark, sf_dir):
+    """Raw topic to clean topic to hourly windows to a subscriber."""
+    clean = topics.stream_topic(spark, f"{_ingested(spark, sf_dir)}/clean")
+    return _sent_aggregates(spark, readings_from_topic(clean))

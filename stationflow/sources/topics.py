@@ -53,6 +53,16 @@ def kafka_sink_options(brokers: str, topic: str) -> dict[str, str]:
     }
 
 
+def stream_kafka(spark: SparkSession, options: dict[str, str]) -> DataFrame:
+    """A Kafka topic as a stream. Needs Spark's Kafka connector on the classpath."""
+    return spark.readStream.format("kafka").options(**options).load().select(*S.TOPIC_ROW.names)
+
+
+def append_kafka(rows: DataFrame, options: dict[str, str]) -> None:
+    """Append one batch to a Kafka topic; Kafka places each row by its key."""
+    rows.select("key", "value").write.format("kafka").options(**options).save()
+
+
 def read_topic(spark: SparkSession, path: str) -> DataFrame:
     """Every retained row of a file topic."""
     return spark.read.schema(TOPIC_FILE).parquet(path).select(*S.TOPIC_ROW.names)

@@ -15,9 +15,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stationflow import schemas as S
 from stationflow.functions.times import interval, micros
-from stationflow.operators.codec import encode
+from stationflow.operators.codec import decode, encode
 from stationflow.operators.dedup import READING_KEY
-from stationflow.operators.validation import AGGREGATE, valid_rows
+from stationflow.operators.routing import skip_rejected
+from stationflow.operators.validation import AGGREGATE, READING, valid_rows
 from stationflow.operators.windows import is_late, summarise
 from stationflow.sources.topics import append_topic, topic_rows
 from stationflow.streaming.batches import named_batches
@@ -39,6 +40,16 @@ def future_rows(readings: DataFrame, max_skew: timedelta = MAX_SKEW) -> DataFram
     return readings.where(is_future(max_skew))
 
 
+def readings_from_topic(rows: DataFrame, seen: str = "clean") -> DataFrame:
+    """Clean topic rows as readings with the time they arrived.
+
+    The topic was validated when it was written, so a row that does not decode
+    is a fault upstream: it is skipped and counted under ``seen``.
+    """
+    good = skip_rejected(decode(rows, READING), seen)
+    return good.select("event.*", F.col("timestamp").alias("arrival_ts"))
+
+
 def aggregate_stream(
     readings: DataFrame,
     size: timedelta = S.WINDOW_SIZE,

@@ -19,7 +19,7 @@ from stationflow.operators.codec import decode, encode
 from stationflow.operators.routing import accepted, dead_letters
 from stationflow.operators.validation import DEAD_LETTER, READING, Entity
 from stationflow.sources.history import append_ignore, ensure_history
-from stationflow.sources.topics import append_topic, topic_rows
+from stationflow.sources.topics import append_kafka, append_topic, kafka_sink_options, topic_rows
 from stationflow.streaming.batches import named_batches
 
 Handler = Callable[[DataFrame], DataFrame]
@@ -61,6 +61,25 @@ def file_outputs(spark: SparkSession, root: str) -> Outputs:
     )
 
 
+def kafka_outputs(spark: SparkSession, brokers: str, history_path: str) -> Outputs:
+    """History as a Parquet table, dead letters and clean readings to Kafka.
+
+    Kafka rows of a batch that is run again are sent again, so their readers
+    have to bear duplicates; the history does not get any.
+    """
+    ensure_history(spark, history_path)
+
+    def topic(spec: S.Topic) -> Writer:
+        options = kafka_sink_options(brokers, spec.name)
+        return lambda rows, batch: append_kafka(rows, options)
+
+    return Outputs(
+        dead_letters=topic(S.DEAD_LETTER_TOPIC),
+        history=lambda rows, batch: append_ignore(rows.sparkSession, history_path, rows, batch),
+        clean=topic(S.CLEAN_TOPIC),
+    )
+
+
 def dead_letter_topic(letters: DataFrame) -> DataFrame:
     """Envelopes as rows of the dead-letter topic, in source order."""
     return topic_rows(
