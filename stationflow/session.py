@@ -24,6 +24,14 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def use_rocksdb(spark: SparkSession) -> None:
+    """Keep streaming state in RocksDB: off the heap, and needed by timers."""
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path in the folder all executors share.
 

@@ -20,6 +20,7 @@ from stationflow.operators.dedup import READING_KEY
 from stationflow.operators.routing import skip_rejected
 from stationflow.operators.validation import AGGREGATE, READING, valid_rows
 from stationflow.operators.windows import is_late, summarise
+from stationflow.session import use_rocksdb
 from stationflow.sources.topics import append_topic, topic_rows
 from stationflow.streaming.batches import named_batches
 
@@ -79,6 +80,8 @@ def aggregate_stream(
         .withWatermark("ts", f"{delay} microseconds")
     )
     if drop_duplicates:
+        # One state entry per reading inside the watermark.
+        use_rocksdb(readings.sparkSession)
         kept = kept.dropDuplicatesWithinWatermark(list(READING_KEY))
     return summarise(kept, size, scope)
 

@@ -22,9 +22,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from stationflow import schemas as S
 from stationflow.functions.times import interval, micros
 from stationflow.operators.windows import SUM_SCALE, average, window_start
-
-STATE_PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
-STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+from stationflow.session import use_rocksdb
 
 _PARTIAL = T.StructType(
     [
@@ -99,13 +97,12 @@ def wall_clock_stream(
     scope: Column | None = None,
     seen: str = "lateness",
 ) -> DataFrame:
-    """Window aggregates of a stream with ``ts, temp_c``, for update mode.
+    """Window aggregates of a stream with ``ts, temp_c``, for append mode.
 
     A row handled at or after ``end + grace`` is late: dropped and counted under
     ``seen``. All others are merged until the clock passes that moment.
     """
-    spark = readings.sparkSession
-    spark.conf.set(STATE_PROVIDER_KEY, STATE_PROVIDER)
+    use_rocksdb(readings.sparkSession)
     close_after = size + grace
     # The clock of a micro-batch: current_timestamp() is one value per batch.
     late = F.current_timestamp() >= window_start(size) + interval(close_after)
@@ -125,7 +122,7 @@ def wall_clock_stream(
         .transformWithStateInPandas(
             statefulProcessor=_WindowState(micros(close_after)),
             outputStructType=_PARTIAL,
-            outputMode="Update",
+            outputMode="Append",
             timeMode="ProcessingTime",
         )
     )

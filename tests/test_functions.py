@@ -132,7 +132,12 @@ def test_float_text(spark):
 
 @pytest.mark.parametrize(
     "value,one,four",
-    [(0.25, "0.2", "0.2500"), (61.15, "61.1", "61.1500"), (-0.04, "-0.0", "-0.0400"), (1234.5, "1234.5", "1234.5000")],
+    [
+        (0.25, "0.2", "0.2500"),
+        (61.15, "61.1", "61.1500"),
+        (-0.04, "-0.0", "-0.0400"),
+        (1234.5, "1234.5", "1234.5000"),
+    ],
 )
 def test_fixed_decimals(spark, value, one, four):
     assert column(spark, [value], "double", lambda c: numbers.fixed_decimals(c, 1)) == [one]

@@ -121,3 +121,12 @@ def test_scope_column(spark):
     )
     rows = W.summarise(df, SIZE, F.col("region")).orderBy("scope").collect()
     assert [(r.scope, r["count"]) for r in rows] == [("north", 1), ("south", 1)]
+
+
+def test_a_hot_sensor_lifts_the_average(spark):
+    normal = [(t, 20.0 + t % 3, t) for t in range(50)]
+    hot = [(t, 45.0, t) for t in range(50) if t % 5 == 0]
+    before = {r.window_start: r.avg_temp_c for r in W.summarise(readings(spark, *normal), SIZE).collect()}
+    after = {r.window_start: r.avg_temp_c for r in W.summarise(readings(spark, *normal, *hot), SIZE).collect()}
+    assert len(after) == 5
+    assert all(after[w] - before[w] > 0.5 for w in after)
