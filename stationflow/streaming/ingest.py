@@ -148,7 +148,11 @@ def start_ingest(
     once: bool = False,
     period: str = "1 second",
 ) -> StreamingQuery:
-    """Run ``ingest_batch`` on each batch of a stream of topic rows."""
+    """Run ``ingest_batch`` on each batch of a stream of topic rows.
+
+    A batch is cached while it is written, so bound it at the source:
+    ``max_files`` of a file topic, ``max_offsets`` of a Kafka topic.
+    """
 
     def body(batch: DataFrame, name: str) -> None:
         ingest_batch(batch, name, outputs, entity, handler)
