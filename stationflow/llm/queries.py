@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import secret_scan, sharding, topk, url_filter
+from . import decontaminate, line_dedup, secret_scan, sharding, topk, url_filter
 
 SHARDS = 40
 
@@ -37,6 +37,21 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), rules, keep=["page_id"])
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = line_dedup.dedup_lines(docs)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = decontaminate.mark(docs, table(spark, sf_dir, "benchmark"))
+    return marked.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+    )
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(table(spark, sf_dir, "documents"), keep=["doc_id"])
 
@@ -54,7 +69,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 _SECRETS = [
     ("assign", r"""((?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+))""", 2, 6),
     ("access", r"(AKIA[A-Z0-9]+)", 1, 20),
-    ("hex", r"([0-9a-f]+)", 1, 24),
+    ("hex", r"([0-9a-f]{24,})", 1, 24),
     ("private_key", r"(-----BEGIN [A-Z ]*PRIVATE KEY-----)", 1, 1),
     ("github", r"(gh[pousr]_[A-Za-z0-9]{36,})", 1, 1),
     ("slack", r"(xox[abprs]-[A-Za-z0-9-]{10,})", 1, 1),
@@ -70,6 +85,8 @@ QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_topk": op2_topk,
     "op3_url_filter": op3_url_filter,
+    "op4_line_dedup": op4_line_dedup,
+    "op5_decontamination": op5_decontamination,
     "op10_secret_scan": op10_secret_scan,
 }
 
@@ -108,6 +125,51 @@ judged AS (
       ON (n.host = r.host OR ends_with(n.host, '.' || r.host)) AND starts_with(n.path, r.path)
 )
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM judged WHERE place = 1
+""",
+    "op4_line_dedup": r"""
+WITH lines AS (
+    SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS n
+    FROM documents
+),
+keyed AS (
+    SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM lines
+),
+shared AS (
+    SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+),
+judged AS (SELECT k.*, s.key IS NOT NULL AND k.doc_id <> s.keeper AS gone FROM keyed k LEFT JOIN shared s USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+""",
+    "op5_decontamination": r"""
+WITH cut AS (
+    SELECT 'd' AS side, CAST(doc_id AS VARCHAR) AS id, text FROM documents UNION ALL SELECT 'b', CAST(item_id AS VARCHAR), text FROM benchmark
+),
+worded AS (
+    SELECT side, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM cut
+),
+items AS (SELECT id, words, least(10, len(words)) AS size FROM worded WHERE side = 'b' AND len(words) > 0),
+windows AS (
+    SELECT DISTINCT id, size, array_to_string(words[i : i + size - 1], ' ') AS said
+    FROM (SELECT *, unnest(range(1, len(words) - size + 2)) AS i FROM items)
+),
+sizes AS (SELECT DISTINCT size FROM windows),
+places AS (
+    SELECT id, size, i, array_to_string(words[i : i + size - 1], ' ') AS said
+    FROM (SELECT d.id, d.words, s.size, unnest(range(1, len(d.words) - s.size + 2)) AS i FROM worded d, sizes s WHERE d.side = 'd')
+),
+hits AS (SELECT p.id, p.i, p.size, w.id AS item FROM places p JOIN windows w USING (size, said)),
+words_hit AS (SELECT id, count(DISTINCT n) AS n_hit FROM (SELECT id, unnest(range(i, i + size)) AS n FROM hits) GROUP BY id),
+items_hit AS (SELECT id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT id, item FROM hits) GROUP BY id)
+SELECT CAST(d.id AS BIGINT) AS doc_id, CAST(len(d.words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM worded d LEFT JOIN words_hit w ON w.id = d.id LEFT JOIN items_hit t ON t.id = d.id
+WHERE d.side = 'd'
 """,
     "op10_secret_scan": f"""
 WITH cut AS ({_SECRET_CUTS}),
