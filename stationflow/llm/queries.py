@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, line_dedup, secret_scan, sharding, topk, url_filter
+from . import decontaminate, line_dedup, secret_scan, sharding, simhash, topk, url_filter
 
 SHARDS = 40
 
@@ -52,6 +52,11 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grouped = simhash.group_near_duplicates(table(spark, sf_dir, "documents"), words=3, radius=2)
+    return grouped.select("doc_id", "fingerprint", "component_id")
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(table(spark, sf_dir, "documents"), keep=["doc_id"])
 
@@ -87,6 +92,7 @@ QUERIES = {
     "op3_url_filter": op3_url_filter,
     "op4_line_dedup": op4_line_dedup,
     "op5_decontamination": op5_decontamination,
+    "op7_simhash": op7_simhash,
     "op10_secret_scan": op10_secret_scan,
 }
 
