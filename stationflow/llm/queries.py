@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, line_dedup, secret_scan, sharding, simhash, topk, url_filter
+from . import bpe, decontaminate, line_dedup, quality, secret_scan, sharding, simhash, topk, url_filter
 
 SHARDS = 40
+#: Tail probability from which a document is selected.
+SELECT_AT = 0.5
 
 # The stated rules.
 URL_RULES = [
@@ -57,6 +60,21 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped.select("doc_id", "fingerprint", "component_id")
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents the classifier selects."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, quality.grade_of(table(spark, sf_dir, "labels")))
+    return quality.grade(docs, model).where(F.col("p_good") >= SELECT_AT).select("doc_id", "expected_grade", "p_good")
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = bpe.read_vocabulary(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary).drop("text")
+    return bpe.decode(encoded, vocabulary).select(
+        "doc_id", "n_tokens", F.sha2("tokens", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(table(spark, sf_dir, "documents"), keep=["doc_id"])
 
@@ -93,6 +111,8 @@ QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op5_decontamination": op5_decontamination,
     "op7_simhash": op7_simhash,
+    "op8_quality": op8_quality,
+    "op9_bpe": op9_bpe,
     "op10_secret_scan": op10_secret_scan,
 }
 
