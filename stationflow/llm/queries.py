@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, line_dedup, quality, secret_scan, sharding, simhash, topk, url_filter
+from . import bpe, decontaminate, html_extract, line_dedup, quality, secret_scan, sharding, simhash, topk, url_filter
 
 SHARDS = 40
 #: Tail probability from which a document is selected.
@@ -55,6 +55,11 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extract.extract(pages).select("page_id", "url", "text", "n_chars")
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     grouped = simhash.group_near_duplicates(table(spark, sf_dir, "documents"), words=3, radius=2)
     return grouped.select("doc_id", "fingerprint", "component_id")
@@ -110,6 +115,7 @@ QUERIES = {
     "op3_url_filter": op3_url_filter,
     "op4_line_dedup": op4_line_dedup,
     "op5_decontamination": op5_decontamination,
+    "op6_html_extract": op6_html_extract,
     "op7_simhash": op7_simhash,
     "op8_quality": op8_quality,
     "op9_bpe": op9_bpe,
