@@ -36,7 +36,7 @@ def use_checkpoint_dir(spark: SparkSession) -> None:
         return
     folder = spark.conf.get(CHECKPOINT_DIR_KEY, None)
     if not folder:
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local") or "cluster" in context.master:
             raise ValueError(f"set {CHECKPOINT_DIR_KEY} to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     context.setCheckpointDir(folder)
