@@ -35,10 +35,12 @@ def use_rocksdb(spark: SparkSession) -> None:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path in the folder all executors share.
 
-    The cluster names that folder in ``spark.checkpoint.dir``. Only where the
-    setting is absent (tests, one machine) is a temporary folder made.
+    The cluster names that folder in ``spark.checkpoint.dir``. Without the setting only a
+    local master (tests, one machine) gets a temporary folder.
     """
     base = spark.conf.get(CHECKPOINT_DIR_KEY, None)
     if not base:
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+            raise ValueError(f"set {CHECKPOINT_DIR_KEY} to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     return f"{base.rstrip('/')}/stationflow/{name}-{uuid.uuid4().hex}"
