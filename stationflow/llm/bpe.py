@@ -24,10 +24,11 @@ from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 from .common import as_bytes, as_texts, with_columns
 
 #: Characters of a chunk (a longer document is a chunk of its own).
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 #: Words a task remembers from earlier chunks.
-REMEMBERED = 200_000
-_PAIRS = 1_000_000
+REMEMBERED = 100_000
+#: Pairs a task remembers the rank of.
+_PAIRS = 200_000
 
 
 class Vocabulary:
@@ -38,15 +39,16 @@ class Vocabulary:
         self.name = dict(zip(self.rank.values(), self.rank, strict=True))
         self.byte = [self.rank[bytes([b])] for b in range(256)]
         self.cut = regex.compile(pattern).findall
-        self._pair: dict[tuple[int, int], int] = {}
+        self._pair: dict[int, int] = {}
 
     def pair(self, a: int, b: int) -> int:
         """The rank of the merged pair, or -1."""
-        found = self._pair.get((a, b))
+        key = a << 32 | b
+        found = self._pair.get(key)
         if found is None:
             if len(self._pair) >= _PAIRS:
                 self._pair.clear()
-            found = self._pair[a, b] = self.rank.get(self.name[a] + self.name[b], -1)
+            found = self._pair[key] = self.rank.get(self.name[a] + self.name[b], -1)
         return found
 
     def replay(self, words: list[bytes]) -> list[list[int]]:

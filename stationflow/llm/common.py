@@ -16,6 +16,8 @@ from stationflow.session import CHECKPOINT_DIR_KEY
 # Functions of this package travel with the job: executors need no copy of it installed.
 cloudpickle.register_pickle_by_value(sys.modules[__package__])
 
+BATCH_ROWS_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 1000
 #: Bits that monotonically_increasing_id() uses for the place within a partition.
 PLACE_BITS = 33
 
@@ -72,14 +74,26 @@ def before(parts: DataFrame, value: Column) -> Column:
     return value.over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's rows per Arrow batch: whole texts are long rows."""
+    if int(spark.conf.get(BATCH_ROWS_KEY)) > BATCH_ROWS:
+        spark.conf.set(BATCH_ROWS_KEY, str(BATCH_ROWS))
+
+
 def with_columns(
-    df: DataFrame, reads: list[str], added: StructType, make: Callable[[Iterator[dict]], Iterator[dict]]
+    df: DataFrame,
+    reads: list[str],
+    added: StructType,
+    make: Callable[[Iterator[dict]], Iterator[dict]],
+    regroup: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]] | None = None,
 ) -> DataFrame:
     """Add columns that Python computes, one Arrow batch at a time.
 
     ``make`` gets the batches as dicts of the columns in ``reads`` and yields one dict of
     the columns in ``added`` for each. A column that exists already is replaced in place.
+    ``regroup`` may cut the stream of batches anew first.
     """
+    small_batches(df.sparkSession)
     fresh = {field.name.lower(): field for field in added}
     fields = [fresh.pop(field.name.lower(), field) for field in df.schema] + list(fresh.values())
     made = set(added.names)
@@ -89,7 +103,7 @@ def with_columns(
         held: list[pa.RecordBatch] = []
 
         def inputs():
-            for batch in batches:
+            for batch in regroup(batches) if regroup else batches:
                 held.append(batch)
                 yield {name: batch.column(batch.schema.get_field_index(name)) for name in reads}
 

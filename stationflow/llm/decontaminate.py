@@ -20,11 +20,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, StructField, StructType
 
-from .common import as_bytes, with_columns
+from .common import as_bytes, small_batches, with_columns
 
 BLOCK_WINDOWS = 1_000_000
 #: Words of a batch that are hashed at once.
-WORDS_AT_ONCE = 1 << 20
+WORDS_AT_ONCE = 1 << 18
 # On UTF-8 bytes: digits, lower-case letters and everything beyond ASCII.
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -155,6 +155,7 @@ def mark(
     null id hit words but are not listed; repeated items count once. Empty tables are fine
     on both sides. Input columns with the names of added ones are replaced.
     """
+    small_batches(docs.sparkSession)
     context = docs.sparkSession.sparkContext
     blocks = [context.broadcast(block) for block in _blocks(benchmark, item_col, item_text, block_windows)]
     added = StructType([StructField(text_col, StringType()), *ADDED.fields]) if remove_spans else ADDED

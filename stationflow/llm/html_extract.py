@@ -328,6 +328,24 @@ def extract_run(pages: list[str]) -> list[str]:
     return ["\n".join(blocks(tree, tree.seen)) for tree in trees]
 
 
+def whole_runs(batches: Iterator[pa.RecordBatch], run: int, keys: tuple[str, ...] = ("_host", "_bucket")) -> Iterator[pa.RecordBatch]:
+    """Cut the stream only where a run ends: at a new host or bucket, or after ``run`` pages of one."""
+    rest: pa.RecordBatch | None = None
+    for batch in batches:
+        if rest is not None and rest.num_rows:
+            batch = pa.concat_batches([rest, batch])
+        if not batch.num_rows:
+            continue
+        names = list(zip(*[batch.column(batch.schema.get_field_index(k)).to_pylist() for k in keys], strict=True))
+        start = next((i + 1 for i in range(len(names) - 2, -1, -1) if names[i] != names[-1]), 0)
+        end = start + (len(names) - start) // run * run
+        if end:
+            yield batch.slice(0, end)
+        rest = batch.slice(end)
+    if rest is not None and rest.num_rows:
+        yield rest
+
+
 def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html", run: int = RUN) -> DataFrame:
     """Replace ``html`` by ``text`` (main text, blocks joined by a line break) and add ``n_chars``.
 
@@ -365,4 +383,5 @@ def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html", run:
             yield {"text": pa.array(texts, pa.string()), "n_chars": pa.array([len(t) for t in texts], pa.int64())}
 
     added = StructType([StructField("text", StringType()), StructField("n_chars", LongType())])
-    return with_columns(placed, ["_host", "_bucket", html_col], added, make).drop("_host", "_bucket", "_mark", html_col)
+    made = with_columns(placed, ["_host", "_bucket", html_col], added, make, lambda batches: whole_runs(batches, run))
+    return made.drop("_host", "_bucket", "_mark", html_col)

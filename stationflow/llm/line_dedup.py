@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from .common import as_bytes, checkpointed, with_columns
+from .common import as_bytes, checkpointed, small_batches, with_columns
 
 SHARD_KEYS = 1 << 16
 GROUP_BYTES = 64 << 20
@@ -237,6 +237,7 @@ def dedup_lines(
     empty table gives an empty one; input columns with the names of added ones are
     replaced, all others are kept.
     """
+    small_batches(docs.sparkSession)
     built, n = _shards(docs, id_col, text_col, least, min_docs, shard_keys)
     per_group = max(1, group_bytes // (KEY_BYTES * shard_keys))
     context = docs.sparkSession.sparkContext
