@@ -12,7 +12,9 @@ Tokens are stored packed, as little-endian unsigned 32-bit integers.
 from __future__ import annotations
 
 import base64
+import bisect
 import heapq
+import itertools
 import struct
 
 import numpy as np
@@ -25,8 +27,8 @@ from .common import as_bytes, as_texts, with_columns
 
 #: Characters of a chunk (a longer document is a chunk of its own).
 CHUNK = 1 << 20
-#: Words a task remembers from earlier chunks.
-REMEMBERED = 100_000
+#: Words a task remembers from earlier chunks, twice.
+REMEMBERED = 250_000
 #: Pairs a task remembers the rank of.
 _PAIRS = 200_000
 
@@ -41,14 +43,11 @@ class Vocabulary:
         self.cut = regex.compile(pattern).findall
         self._pair: dict[int, int] = {}
 
-    def pair(self, a: int, b: int) -> int:
-        """The rank of the merged pair, or -1."""
-        key = a << 32 | b
-        found = self._pair.get(key)
-        if found is None:
-            if len(self._pair) >= _PAIRS:
-                self._pair.clear()
-            found = self._pair[key] = self.rank.get(self.name[a] + self.name[b], -1)
+    def _look_up(self, a: int, b: int) -> int:
+        """The rank of a pair not met yet, or -1; it is kept for the next time."""
+        if len(self._pair) >= _PAIRS:
+            self._pair.clear()
+        found = self._pair[a << 32 | b] = self.rank.get(self.name[a] + self.name[b], -1)
         return found
 
     def replay(self, words: list[bytes]) -> list[list[int]]:
@@ -57,63 +56,76 @@ class Vocabulary:
         A word always takes its lowest rank, leftmost first. If a merge opens a pair of a
         lower rank, the word's other positions wait until that one has been replayed.
         """
-        pair = self.pair
+        known, look_up = self._pair.get, self._look_up
+        # All words one after the other; -1 stands between them and ends every chain.
         token: list[int] = []
-        after: list[int] = []
-        ahead: list[int] = []
-        owner: list[int] = []
         starts: list[int] = []
+        for word in words:
+            starts.append(len(token))
+            token += map(self.byte.__getitem__, word)
+            token.append(-1)
+        after, ahead = list(range(1, len(token) + 1)), list(range(-1, len(token) - 1))
         places: dict[int, list[int]] = {}
-        for number, word in enumerate(words):
-            start, size = len(token), len(word)
-            starts.append(start)
-            token += [self.byte[b] for b in word]
-            after += [*range(start + 1, start + size), -1]
-            ahead += [-1, *range(start, start + size - 1)]
-            owner += [number] * size
-            for at in range(start, start + size - 1):
-                rank = pair(token[at], token[at + 1])
+        for at, (one, two) in enumerate(itertools.pairwise(token)):
+            if one >= 0 and two >= 0:
+                rank = known(one << 32 | two)
+                if rank is None:
+                    rank = look_up(one, two)
                 if rank >= 0:
-                    places.setdefault(rank, []).append(at)
+                    if rank in places:
+                        places[rank].append(at)
+                    else:
+                        places[rank] = [at]
         queue = list(places)
         heapq.heapify(queue)
         while queue:
             rank = heapq.heappop(queue)
             waiting, again = -1, []
             for at in sorted(places.pop(rank, ())):
-                right = after[at]
-                if token[at] < 0 or right < 0 or pair(token[at], token[right]) != rank:
+                one, right = token[at], after[at]
+                # A token that has been merged away is -2: its pairs are no longer there.
+                if one < 0 or token[right] < 0 or known(one << 32 | token[right], -1) != rank:
+                    if one >= 0 and token[right] >= 0 and look_up(one, token[right]) == rank:
+                        again.append(at)
                     continue
-                if owner[at] == waiting:
+                if at < waiting:
                     again.append(at)
                     continue
-                token[at], token[right] = rank, -1
+                token[at], token[right] = rank, -2
                 following, before = after[right], ahead[at]
-                after[at] = following
-                if following >= 0:
-                    ahead[following] = at
-                for left, right in ((at, following), (before, at)):
-                    if left < 0 or right < 0:
-                        continue
-                    new = pair(token[left], token[right])
+                after[at], ahead[following] = following, at
+                next_token, low = token[following], False
+                if next_token >= 0:
+                    new = known(rank << 32 | next_token)
+                    if new is None:
+                        new = look_up(rank, next_token)
                     if new >= 0:
-                        if new not in places:
-                            places[new] = []
+                        low = new < rank
+                        if new in places:
+                            places[new].append(at)
+                        else:
+                            places[new] = [at]
                             heapq.heappush(queue, new)
-                        places[new].append(left)
-                        if new < rank:
-                            waiting = owner[at]
+                if before >= 0 and token[before] >= 0:
+                    new = known(token[before] << 32 | rank)
+                    if new is None:
+                        new = look_up(token[before], rank)
+                    if new >= 0:
+                        low = low or new < rank
+                        if new in places:
+                            places[new].append(before)
+                        else:
+                            places[new] = [before]
+                            heapq.heappush(queue, new)
+                if low:
+                    # Positions up to this word's end wait.
+                    waiting = starts[bisect.bisect_right(starts, at)] if at < starts[-1] else len(token)
             if again:
+                if rank not in places:
+                    heapq.heappush(queue, rank)
                 places.setdefault(rank, []).extend(again)
-                heapq.heappush(queue, rank)
-        out = []
-        for start, word in zip(starts, words, strict=True):
-            tokens, at = [], start if word else -1
-            while at >= 0:
-                tokens.append(token[at])
-                at = after[at]
-            out.append(tokens)
-        return out
+        ends = [*starts[1:], len(token)][: len(words)]
+        return [[t for t in token[start:end] if t >= 0] for start, end in zip(starts, ends, strict=True)]
 
 
 class Encoder:
@@ -122,13 +134,17 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         pieces = [self.vocabulary.cut(text) for text in texts]
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new, replayed = dict.fromkeys(w for words in pieces for w in set(words) if w not in self.known), []
+            self.known, self.older = {}, self.known
+        new, replayed = set().union(*pieces).difference(self.known), []
         for word in new:
+            if word in self.older:
+                self.known[word] = self.older[word]
+                continue
             data = word.encode("utf-8")
             whole = self.vocabulary.rank.get(data)
             if whole is None:
