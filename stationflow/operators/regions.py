@@ -6,33 +6,39 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CELL = 0.25
+#: Scope of readings outside every box.
+UNASSIGNED = "unassigned"
 
 
 def with_region(readings: DataFrame, regions: DataFrame, cell: float = CELL) -> DataFrame:
     """Add ``scope``, one row per region whose box contains the reading.
 
+    A reading outside every box keeps its row, with the scope ``unassigned``.
+
     ``regions`` has ``scope, min_lat, max_lat, min_lon, max_lon``; a box holds
     its lower edges, not its upper ones. Boxes are cut into grid cells so the
     match is an equality join on the cell with the exact test after it, never a
-    comparison of every reading with every region. Spark sees the size of
-    ``regions`` and broadcasts it only when it is small.
+    comparison of every reading with every region. The cells are merged, not
+    broadcast: Spark knows the size of ``regions`` but not how many cells they have.
     """
     def index(c, shrink: float = 0.0):
         return F.floor((c - F.lit(shrink)) / F.lit(cell)).cast("int")
 
     # One cell more than needed at an exact upper edge is harmless.
     cells = regions.withColumn(
-        "_row", F.explode(F.sequence(index(F.col("min_lat")), index(F.col("max_lat"))))
-    ).withColumn("_col", F.explode(F.sequence(index(F.col("min_lon")), index(F.col("max_lon")))))
+        "_in_row", F.explode(F.sequence(index(F.col("min_lat")), index(F.col("max_lat"))))
+    ).withColumn("_in_col", F.explode(F.sequence(index(F.col("min_lon")), index(F.col("max_lon")))))
     placed = readings.withColumns({"_row": index(F.col("lat")), "_col": index(F.col("lon"))})
     inside = (
-        (F.col("lat") >= F.col("min_lat"))
+        (F.col("_row") == F.col("_in_row"))
+        & (F.col("_col") == F.col("_in_col"))
+        & (F.col("lat") >= F.col("min_lat"))
         & (F.col("lat") < F.col("max_lat"))
         & (F.col("lon") >= F.col("min_lon"))
         & (F.col("lon") < F.col("max_lon"))
     )
     return (
-        placed.join(cells, ["_row", "_col"], "inner")
-        .where(inside)
-        .drop("_row", "_col", "min_lat", "max_lat", "min_lon", "max_lon")
+        placed.join(cells.hint("merge"), inside, "left")
+        .withColumn("scope", F.coalesce("scope", F.lit(UNASSIGNED)))
+        .drop("_row", "_col", "_in_row", "_in_col", "min_lat", "max_lat", "min_lon", "max_lon")
     )

@@ -307,7 +307,7 @@ ORACLE: dict[str, str] = {
   FROM settings WHERE NOT (first_type = 'click' AND last_type = 'signup')""",
     "regional_1h": _with("clean")
     + _summary(
-        """(SELECT c.*, n.n_name FROM clean c JOIN nation n
+        """(SELECT c.*, coalesce(n.n_name, 'unassigned') AS n_name FROM clean c LEFT JOIN nation n
   ON c.lon >= CAST(n.n_nationkey AS DOUBLE) / 4 + 16 AND c.lon < CAST(n.n_nationkey + 1 AS DOUBLE) / 4 + 16)""",
         3600,
         scope="n_name",

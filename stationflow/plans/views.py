@@ -116,12 +116,9 @@ def raw_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table as a stream."""
-    return (
-        spark.readStream.schema(events(spark, sf_dir).schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(sf_dir)
-    )
+    """The events table as a stream, be it one file or a folder of part files."""
+    # A pattern matches both; a plain path would have to be a folder.
+    return spark.readStream.schema(events(spark, sf_dir).schema).parquet(f"{sf_dir}/events.parque[t]")
 
 
 def _sensor_settings(rows: DataFrame) -> DataFrame:

@@ -114,15 +114,16 @@ def ingest_batch(
     """Process one batch of topic rows.
 
     ``handler`` may change the accepted rows (with their ``event`` struct)
-    before they are stored; it never sees a rejected row.
+    before they are stored; it never sees a rejected row. It runs once a batch, and
+    the rows it returns are those stored, published and counted as processed.
     """
     decoded = decode(batch, entity).persist()
+    good = accepted(decoded)
+    if handler is not None:
+        good = handler(good).persist()
     try:
         if outputs.dead_letters is not None:
             outputs.dead_letters(dead_letter_topic(dead_letters(decoded)), name)
-        good = accepted(decoded)
-        if handler is not None:
-            good = handler(good)
         outputs.history(good.select("event.*", "partition", "offset"), name)
         outputs.clean(clean_topic(good, entity), name)
         if outputs.audit is not None:
@@ -131,11 +132,13 @@ def ingest_batch(
                 decoded.agg(
                     F.count(F.lit(1)).alias("offered"),
                     F.count_if(F.col("reason").isNotNull()).alias("rejected"),
-                    F.count_if(F.col("reason").isNull()).alias("processed"),
+                    F.lit(good.count()).alias("processed"),
                 ),
                 name,
             )
     finally:
+        if handler is not None:
+            good.unpersist()
         decoded.unpersist()
 
 

@@ -220,3 +220,33 @@ def test_wall_clock_closes_a_silent_stream(spark, root):
     assert query.exception() is None
     assert [(r.avg_temp_c, r.min_temp_c, r.max_temp_c, r["count"]) for r in rows] == [(21.17, 20.0, 22.5, 3)]
     assert late == 1
+
+
+def test_streams_read_files_and_folders_alike(spark, sf_dir, tmp_path):
+    from pyspark.sql import functions as F
+
+    from stationflow.plans import views
+
+    whole = views.events(spark, sf_dir)
+    whole.repartition(4).write.parquet(str(tmp_path / "events.parquet"))
+    for folder in (sf_dir, str(tmp_path)):
+        query = views.events_stream(spark, folder).writeStream.format("memory").queryName("seen").trigger(availableNow=True).start()
+        query.awaitTermination()
+        assert spark.table("seen").agg(F.sum("event_id")).first() == whole.agg(F.sum("event_id")).first()
+
+
+def test_audit_counts_what_the_handler_keeps(spark, tmp_path):
+    from builders import READING, at, topic, wire
+
+    from stationflow.streaming import ingest
+
+    kept = []
+    rows = topic(spark, [wire(READING), wire({**READING, "ts": at(5)}), b"not json at all"])
+    outputs = ingest.Outputs(
+        dead_letters=None,
+        history=lambda df, name: kept.append(df.count()),
+        clean=lambda df, name: kept.append(df.count()),
+        audit=lambda df, name: kept.append(df.first().processed),
+    )
+    ingest.ingest_batch(rows, "b1", outputs, handler=lambda good: good.limit(1))
+    assert kept == [1, 1, 1]

@@ -83,13 +83,8 @@ def test_regions_against_brute_force(spark):
     )
     placed = with_region(df, regions)
     got = sorted((r.n, r.scope) for r in placed.collect())
-    want = sorted(
-        (n, s)
-        for n, lat, lon in places
-        for s, a, b, c, d in boxes
-        if a <= lat < b and c <= lon < d
-    )
-    assert got == want
+    inside = {n: [s for s, a, b, c, d in boxes if a <= lat < b and c <= lon < d] for n, lat, lon in places}
+    assert got == sorted((n, s) for n, scopes in inside.items() for s in scopes or ["unassigned"])
     plan = placed._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
