@@ -90,6 +90,10 @@ def summarise(
     window = tumbling(size) if df.isStreaming else window_start(size)
     start = F.col("_w.start") if df.isStreaming else F.col("_w")
     grouped = df.groupBy(scope.alias("scope"), window.alias("_w")).agg(*partial_columns(scale=scale))
+    return _finished(grouped, start, size, scale)
+
+
+def _finished(grouped: DataFrame, start: Column, size: timedelta, scale: int) -> DataFrame:
     return grouped.select(
         "scope",
         start.alias("window_start"),
@@ -101,6 +105,20 @@ def summarise(
     )
 
 
+def merge_partials(partials: DataFrame, size: timedelta = S.WINDOW_SIZE, scale: int = SUM_SCALE) -> DataFrame:
+    """The aggregates of ``partial_columns`` rows with ``scope`` and ``window_start``.
+
+    Equal to ``summarise`` over all their readings, in whatever parts they came.
+    """
+    merged = partials.groupBy("scope", "window_start").agg(
+        F.sum("total").alias("total"),
+        F.min("min_temp_c").alias("min_temp_c"),
+        F.max("max_temp_c").alias("max_temp_c"),
+        F.sum("count").alias("count"),
+    )
+    return _finished(merged, F.col("window_start"), size, scale)
+
+
 def late_count(df: DataFrame, size: timedelta = S.WINDOW_SIZE, grace: timedelta = S.GRACE) -> DataFrame:
     """Rows dropped as late, in total."""
     return df.agg(F.count_if(is_late(size, grace)).alias("late"))

@@ -328,7 +328,6 @@ ORACLE: dict[str, str] = {
   UNION ALL SELECT 'clean', count(*) FROM decoded WHERE reason IS NULL
   UNION ALL SELECT 'dead_letters', count(*) FROM decoded WHERE reason IS NOT NULL
   UNION ALL SELECT 'audit_processed', count(*) FROM decoded WHERE reason IS NULL""",
-    # Watermark: newest event time minus 2 s grace and twice 60 s of skew.
     "stream_tumbling_1h": _with(
         "clean",
         more={
@@ -336,7 +335,19 @@ ORACLE: dict[str, str] = {
             "hourly": _summary("kept", 3600),
         },
     )
-    + "SELECT * FROM hourly WHERE window_end <= (SELECT max(ts) FROM kept) - to_seconds(122)",
+    + "SELECT * FROM hourly",
+    "stream_closed_twice": _with(
+        "clean",
+        more={
+            "kept": f"SELECT * FROM clean WHERE NOT ({_late(3600)})",
+            "hourly": _summary("kept", 3600),
+        },
+    )
+    + "SELECT * FROM hourly",
+    "stream_balance": _with("clean")
+    + f"""SELECT f.fate, count(c.fate) AS n FROM (VALUES ('sent'), ('waiting'), ('late')) f(fate) LEFT JOIN (
+  SELECT CASE WHEN {_late(3600)} THEN 'late' WHEN {_bucket(3600)} + INTERVAL 1 HOUR + to_seconds(2)
+  <= TIMESTAMP '2024-01-15 00:00:00' THEN 'sent' ELSE 'waiting' END AS fate FROM clean) c USING (fate) GROUP BY f.fate""",
     "stream_raw_to_feed": _with(
         "decoded",
         more={
@@ -344,5 +355,5 @@ ORACLE: dict[str, str] = {
             "hourly": _summary("kept", 3600),
         },
     )
-    + "SELECT * FROM hourly WHERE window_end <= (SELECT max(ts) FROM kept) - to_seconds(122)",
+    + "SELECT * FROM hourly",
 }

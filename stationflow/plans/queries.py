@@ -7,7 +7,7 @@ its tables. Times come out as ``timestamp_ntz`` in UTC.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,13 +31,8 @@ from stationflow.operators.validation import (
 from stationflow.plans import views
 from stationflow.session import configure, scratch_path
 from stationflow.sources import history, topics
-from stationflow.streaming.aggregate import (
-    aggregate_stream,
-    aggregates_topic,
-    future_rows,
-    readings_from_topic,
-    start_aggregates,
-)
+from stationflow.streaming import rollup
+from stationflow.streaming.aggregate import aggregates_topic, future_rows, readings_from_topic
 from stationflow.streaming.feed import feed_messages, live_feed
 from stationflow.streaming.ingest import (
     clean_topic,
@@ -615,24 +610,51 @@ _AGGREGATE_JSON = (
 )
 
 
-def _sent_aggregates(spark: SparkSession, readings: DataFrame) -> DataFrame:
-    """Hourly windows of a stream, as a subscriber of the topic gets them."""
-    root = scratch_path(spark, "aggregate")
-    hourly = aggregate_stream(readings, HOUR)
-    start_aggregates(hourly, f"{root}/aggregates", f"{root}/checkpoint", once=True).awaitTermination()
-    sent = feed_messages(topics.read_topic(spark, f"{root}/aggregates"))
+#: Topic files of one batch of the window stream.
+MAX_FILES = 200
+
+
+def _sent(spark: SparkSession, root: str) -> DataFrame:
+    """The windows in the aggregates topic, as its subscribers decode them."""
+    sent = feed_messages(rollup.aggregates(spark, root))
     return sent.select(F.from_json("message", _AGGREGATE_JSON).alias("m")).select("m.*")
 
 
+def _valid_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = views.as_readings(views.events_stream(spark, sf_dir))
+    return validate(rows, READING).where(F.col("reason").isNull())
+
+
 @query
 def stream_tumbling_1h(spark, sf_dir):
-    """Hourly windows of a stream: those the watermark has passed."""
-    rows = views.as_readings(views.events_stream(spark, sf_dir))
-    return _sent_aggregates(spark, validate(rows, READING).where(F.col("reason").isNull()))
+    """Hourly windows of a stream, closed by the clock: all of them."""
+    root = scratch_path(spark, "aggregate")
+    rollup.drain(_valid_stream(spark, sf_dir), root, HOUR)
+    return _sent(spark, root)
+
+
+@query
+def stream_balance(spark, sf_dir):
+    """Readings sent, waiting for their window to end, and late, at midnight before 15 January."""
+    root = scratch_path(spark, "balance")
+    now = datetime(2024, 1, 15, tzinfo=timezone.utc)
+    rollup.drain(_valid_stream(spark, sf_dir), root, HOUR, now=now, settle=timedelta(0))
+    return rollup.balance(spark, root, _sent(spark, root))
+
+
+@query
+def stream_closed_twice(spark, sf_dir):
+    """Windows sent by a closing on 15 January and by a later one: each window once."""
+    root = scratch_path(spark, "closings")
+    rollup.drain(_valid_stream(spark, sf_dir), root, HOUR, now=datetime(2024, 1, 15, tzinfo=timezone.utc))
+    rollup.drain(_valid_stream(spark, sf_dir), root, HOUR)
+    return _sent(spark, root)
 
 
 @query
 def stream_raw_to_feed(spark, sf_dir):
-    """Raw topic to clean topic to hourly windows to a subscriber."""
-    clean = topics.stream_topic(spark, f"{_ingested(spark, sf_dir)}/clean")
-    return _sent_aggregates(spark, readings_from_topic(clean))
+    """Raw topic to clean topic to hourly windows to a subscriber, in bounded batches."""
+    clean = topics.stream_topic(spark, f"{_ingested(spark, sf_dir)}/clean", MAX_FILES)
+    root = scratch_path(spark, "aggregate")
+    rollup.drain(readings_from_topic(clean), root, HOUR)
+    return _sent(spark, root)

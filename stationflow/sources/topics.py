@@ -71,10 +71,10 @@ def read_topic(spark: SparkSession, path: str) -> DataFrame:
 def stream_topic(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """A file topic as a stream, from the earliest retained row.
 
-    ``max_files`` bounds a batch. Set it for ingest, so that a backlog is worked
-    off in batches the cluster can cache. Leave it out when windows read a
-    backlog: files of one write have no order among them, and a watermark moved
-    by the first would close windows the next still fill.
+    ``max_files`` bounds a batch, so that a backlog is worked off in batches the
+    cluster can hold. Files of one write have no order among them: read windows
+    with ``rollup``, which takes them in any order. A watermark moved by the
+    first file would close windows the next still fill.
     """
     reader = spark.readStream.schema(TOPIC_FILE)
     if max_files is not None:

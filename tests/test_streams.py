@@ -11,7 +11,7 @@ from stationflow import schemas as S
 from stationflow.operators import codec, windows
 from stationflow.operators import validation as V
 from stationflow.sources import history, topics
-from stationflow.streaming import aggregate, feed, ingest, wallclock
+from stationflow.streaming import aggregate, feed, ingest, rollup, wallclock
 
 
 def message(sensor, second, temp):
@@ -250,3 +250,65 @@ def test_audit_counts_what_the_handler_keeps(spark, tmp_path):
     )
     ingest.ingest_batch(rows, "b1", outputs, handler=lambda good: good.limit(1))
     assert kept == [1, 1, 1]
+
+
+def rolled(spark, root):
+    return codec.decode(rollup.aggregates(spark, root), V.AGGREGATE).select("event.*")
+
+
+def test_rollup_equals_batch_in_any_order(spark, root):
+    # Newest first, one file a batch: a watermark would drop nearly all of it.
+    files = [
+        [(1000, 1, 1000), (10_000, 5, 500)],
+        [(2, 60, 501), (25, 10, 26), (3, 50, 13)],  # late, on time, late
+        [(1, 20, 1), (5, 22, 5), (12, 30, 13), (9, 21, 11)],
+    ]
+    for rows in files:
+        write_readings(spark, f"{root}/in", *rows)
+        time.sleep(1.1)
+
+    def flush(second):
+        stream = spark.readStream.schema(READINGS).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+        rollup.drain(stream, root, now=at(second), settle=timedelta(0))
+        return summary_rows(rolled(spark, root))
+
+    batch = windows.summarise(windows.on_time(spark.read.schema(READINGS).parquet(f"{root}/in")))
+    want = summary_rows(batch)
+    # The reading dated ahead waits; the windows that are over come out without newer data.
+    first = flush(2000)
+    assert first == [w for w in want if w[0] < 2000] and len(first) == 4
+    balance = {r.fate: r.n for r in rollup.balance(spark, root, rolled(spark, root)).collect()}
+    assert balance == {"sent": 6, "waiting": 1, "late": 2}
+    assert flush(2000) == first
+    assert flush(20_000) == want
+
+
+def test_rollup_repeats_a_broken_closing_and_refuses_missed_rows(spark, root, monkeypatch):
+    write_readings(spark, f"{root}/in", (1, 20, 1), (12, 30, 12))
+
+    def flush(second):
+        stream = spark.readStream.schema(READINGS).parquet(f"{root}/in")
+        rollup.drain(stream, root, now=at(second), settle=timedelta(0))
+
+    with monkeypatch.context() as patch:
+        real = rollup.append_topic
+
+        def broken(*args):
+            real(*args)
+            raise RuntimeError("lost the driver")
+
+        patch.setattr(rollup, "append_topic", broken)
+        with pytest.raises(RuntimeError):
+            flush(15)
+    flush(30)
+    assert [row[0] for row in summary_rows(rolled(spark, root))] == [0, 10]
+    write_readings(spark, f"{root}/in", (2, 20, 3))
+    with pytest.raises(Exception, match="on time for a window that is closed"):
+        flush(40)
+
+
+def test_rollup_of_an_empty_topic(spark, root):
+    spark.createDataFrame([], READINGS).write.parquet(f"{root}/in")
+    rollup.drain(spark.readStream.schema(READINGS).parquet(f"{root}/in"), root, now=at(5))
+    assert rollup.aggregates(spark, root).count() == 0
+    assert [r.n for r in rollup.balance(spark, root, rolled(spark, root)).collect()] == [0, 0, 0]
