@@ -156,6 +156,13 @@ _RFC3339 = "replace(CAST({0} AS VARCHAR), ' ', 'T') || 'Z'"
 
 _SENSOR_LIST = "id, lat, lon, start_temp_c, pattern, interval_ns, created_at"
 
+_REGIONAL = _summary(
+    """(SELECT c.*, coalesce(n.n_name, 'unassigned') AS n_name FROM clean c LEFT JOIN nation n
+  ON c.lon >= CAST(n.n_nationkey AS DOUBLE) / 4 + 16 AND c.lon < CAST(n.n_nationkey + 1 AS DOUBLE) / 4 + 16)""",
+    3600,
+    scope="n_name",
+)
+
 ORACLE: dict[str, str] = {
     "tumbling_10s": _with("clean") + _summary("clean", 10),
     "tumbling_1h": _with("clean") + _summary("clean", 3600),
@@ -305,13 +312,9 @@ ORACLE: dict[str, str] = {
     + """SELECT id, CASE WHEN first_type = 'click' THEN 'start' WHEN last_type = 'signup' THEN 'stop'
   WHEN first_value <> last_value THEN 'changed' ELSE 'keep' END AS action
   FROM settings WHERE NOT (first_type = 'click' AND last_type = 'signup')""",
-    "regional_1h": _with("clean")
-    + _summary(
-        """(SELECT c.*, coalesce(n.n_name, 'unassigned') AS n_name FROM clean c LEFT JOIN nation n
-  ON c.lon >= CAST(n.n_nationkey AS DOUBLE) / 4 + 16 AND c.lon < CAST(n.n_nationkey + 1 AS DOUBLE) / 4 + 16)""",
-        3600,
-        scope="n_name",
-    ),
+    "regional_1h": _with("clean") + _REGIONAL,
+    "stream_feed_from_latest": _with("clean", more={"hourly": _REGIONAL})
+    + "SELECT * FROM hourly WHERE window_end >= TIMESTAMP '2024-01-15 00:00:00'",
     "service_metrics": _with("checked")
     + f"""SELECT 'ingestion' AS service, {_bucket(3600)} AS window_start, count(*) AS handled,
   count(*) / 3600.0 AS rate_per_second, count(reason) / count(*) AS error_share,

@@ -33,7 +33,7 @@ from stationflow.session import configure, scratch_path
 from stationflow.sources import history, topics
 from stationflow.streaming import rollup
 from stationflow.streaming.aggregate import aggregates_topic, future_rows, readings_from_topic
-from stationflow.streaming.feed import feed_messages, live_feed
+from stationflow.streaming.feed import feed_messages, live_feed, start_feed
 from stationflow.streaming.ingest import (
     clean_topic,
     dead_letter_topic,
@@ -658,3 +658,26 @@ def stream_raw_to_feed(spark, sf_dir):
     root = scratch_path(spark, "aggregate")
     rollup.drain(readings_from_topic(clean), root, HOUR)
     return _sent(spark, root)
+
+
+@query
+def stream_feed_from_latest(spark, sf_dir):
+    """What a subscriber of the regional windows gets that joins on 15 January.
+
+    Regions share topic partitions, so their offsets repeat.
+    """
+    root = scratch_path(spark, "latest")
+    placed = with_region(views.clean_readings(spark, sf_dir), views.regions(spark, sf_dir))
+    rows = aggregates_topic(windows.summarise(placed, HOUR, F.col("scope")), F.col("window_end"))
+    joined = F.lit("2024-01-15 00:00:00").cast("timestamp")
+    topics.append_topic(rows.where(F.col("timestamp") < joined), f"{root}/topic", "before")
+    topics.end_files(spark, f"{root}/topic").write.parquet(f"{root}/backlog")
+    topics.append_topic(rows.where(F.col("timestamp") >= joined), f"{root}/topic", "after")
+
+    def subscriber(messages: DataFrame, number: int) -> None:
+        messages.write.mode("overwrite").parquet(f"{root}/sent/number={number}")
+
+    live = topics.stream_topic(spark, f"{root}/topic", MAX_FILES, spark.read.parquet(f"{root}/backlog"))
+    start_feed(live, subscriber, f"{root}/checkpoint", once=True).awaitTermination()
+    sent = spark.read.parquet(f"{root}/sent")
+    return sent.select(F.from_json("message", _AGGREGATE_JSON).alias("m")).select("m.*")

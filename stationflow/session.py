@@ -14,6 +14,8 @@ _REQUIRED = {
     "spark.sql.session.timeZone": "UTC",
     # A repeated JSON key keeps its last value instead of spoiling the payload.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # Times in files get statistics, so that scans can skip by them.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 
 

@@ -69,24 +69,30 @@ def counts_by_sensor(history: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Days:
-    """The days a batch touches; ``listed`` is empty when there are too many."""
+    """What a batch touches: its bounds in time, and its days unless there are too many."""
 
-    first: date
-    last: date
+    first_us: int
+    last_us: int
     listed: tuple[date, ...] = ()
 
 
 def touched_days(offered: DataFrame, most: int = MAX_LISTED_DAYS) -> Days | None:
-    day = offered.select(F.to_date("ts").alias("day"))
-    ends = day.agg(F.min("day").alias("first"), F.max("day").alias("last")).first()
-    if ends.first is None:
+    """One job as a rule: the rows shrink to one for each day."""
+    ends = F.unix_micros(F.min("ts")).alias("first"), F.unix_micros(F.max("ts")).alias("last")
+    days = offered.where(F.col("ts").isNotNull()).groupBy(F.to_date("ts").alias("day")).agg(*ends)
+    found = days.limit(most + 1).collect()
+    if not found:
         return None
-    listed = [row.day for row in day.distinct().limit(most + 1).collect()]
-    return Days(ends["first"], ends["last"], tuple(sorted(listed)) if len(listed) <= most else ())
+    if len(found) > most:
+        both = offered.agg(*ends).first()
+        return Days(both["first"], both["last"])
+    return Days(min(d["first"] for d in found), max(d["last"] for d in found), tuple(sorted(d.day for d in found)))
 
 
 def _stored_keys(spark: SparkSession, path: str, days: Days, batch: str) -> DataFrame:
+    """Keys of other batches within the bounds: files of other times are skipped by their statistics."""
     reader = spark.read.schema(S.HISTORY).option("basePath", path)
+    first, last = (F.timestamp_micros(F.lit(us)) for us in (days.first_us, days.last_us))
     if days.listed:
         # Listing only the touched folders keeps planning time independent of
         # the age of the table.
@@ -98,10 +104,8 @@ def _stored_keys(spark: SparkSession, path: str, days: Days, batch: str) -> Data
                 raise
             return spark.createDataFrame([], S.READING).select(*READING_KEY)
     else:
-        rows = reader.parquet(path).where(
-            F.col("event_date").between(F.lit(days.first), F.lit(days.last))
-        )
-    return rows.where(F.col("batch") != batch).select(*READING_KEY)
+        rows = reader.parquet(path).where(F.col("event_date").between(F.to_date(first), F.to_date(last)))
+    return rows.where((F.col("batch") != batch) & F.col("ts").between(first, last)).select(*READING_KEY)
 
 
 def append_ignore(spark: SparkSession, path: str, offered: DataFrame, batch: str) -> None:

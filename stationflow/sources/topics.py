@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 from stationflow import schemas as S
 from stationflow.functions.times import interval
 
+_FILE = "_metadata.file_path"
+
 TOPIC_FILE = T.StructType(
     S.TOPIC_ROW.fields
     + [T.StructField("day", T.DateType()), T.StructField("batch", T.StringType())]
@@ -68,9 +70,23 @@ def read_topic(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(TOPIC_FILE).parquet(path).select(*S.TOPIC_ROW.names)
 
 
-def stream_topic(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+def end_files(spark: SparkSession, path: str) -> DataFrame:
+    """The files a file topic has now: "latest" begins behind them.
+
+    Offsets of a derived topic are those of its source and may repeat within a
+    partition; files do not. Store the result: it is the place to resume from.
+    """
+    return spark.read.schema(TOPIC_FILE).parquet(path).select(F.col(_FILE).alias("file")).distinct()
+
+
+def stream_topic(
+    spark: SparkSession, path: str, max_files: int | None = None, backlog: DataFrame | None = None
+) -> DataFrame:
     """A file topic as a stream, from the earliest retained row.
 
+    With ``backlog`` (from ``end_files``) it begins at latest: rows of those files
+    are passed over, all others come.
+
     ``max_files`` bounds a batch, so that a backlog is worked off in batches the
     cluster can hold. Files of one write have no order among them: read windows
     with ``rollup``, which takes them in any order. A watermark moved by the
@@ -79,7 +95,10 @@ def stream_topic(spark: SparkSession, path: str, max_files: int | None = None) -
     reader = spark.readStream.schema(TOPIC_FILE)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path).select(*S.TOPIC_ROW.names)
+    rows = reader.parquet(path)
+    if backlog is not None:
+        rows = rows.withColumn("file", F.col(_FILE)).join(backlog, "file", "left_anti")
+    return rows.select(*S.TOPIC_ROW.names)
 
 
 def topic_rows(
@@ -125,6 +144,8 @@ def end_offsets(rows: DataFrame) -> DataFrame:
 def after_offsets(rows: DataFrame, ends: DataFrame) -> DataFrame:
     """Rows behind the given end offsets; unlisted partitions are read whole.
 
+    For topics whose offsets are positions; for a derived file topic use ``end_files``.
+
     ``ends`` has one row per partition of the topic. It becomes one small map
     that every task looks into, so the rows are only filtered.
     """

@@ -124,6 +124,15 @@ def test_big_batches_take_the_shuffle_path(spark, table, monkeypatch):
     assert stored(spark, table) == [("a", 0, 1.0), ("b", 1, 1.0), ("c", 2, 2.0)]
 
 
+def test_stored_keys_of_other_times_are_skipped_by_statistics(spark, table):
+    history.append_ignore(spark, table, offered(spark, ("a", 0, 1, 0), ("b", 50, 1, 1)), "q-0")
+    days = history.touched_days(offered(spark, ("a", 50, 2, 2), ("c", 60, 2, 3)))
+    keys = history._stored_keys(spark, table, days, "q-1")
+    assert [r.sensor_id for r in keys.collect()] == ["b"]
+    plan = keys._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts" in plan and "LessThanOrEqual(ts" in plan
+
+
 def test_range_scan_prunes_days(spark, table):
     rows = [("a", day * 86_400, day, day) for day in range(5)]
     history.append_ignore(spark, table, offered(spark, *rows), "q-0")

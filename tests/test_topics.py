@@ -97,3 +97,16 @@ def test_service_figures(spark):
     assert (row.max_latency_ms, row.p95_latency_ms) == (3000.0, 3000.0)
     burn = metrics.slo_burn(df).first()
     assert burn.good_share == 2 / 3 and abs(burn.budget_burn - 100 / 3) < 1e-9
+
+
+def test_latest_by_files_loses_no_row_of_a_derived_topic(spark, tmp_path):
+    path = str(tmp_path / "letters")
+    # The backlog ends at offset 10,000; a live letter of another source partition has offset 6.
+    topics.append_topic(topic(spark, [b"old"], start=10_000), path, "0")
+    backlog = topics.end_files(spark, path)
+    backlog.write.parquet(str(tmp_path / "backlog"))
+    topics.append_topic(topic(spark, [b"live"], start=6), path, "1")
+    live = topics.stream_topic(spark, path, backlog=spark.read.parquet(str(tmp_path / "backlog")))
+    query = live.writeStream.format("memory").queryName("latest_by_files").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert [bytes(r.value) for r in spark.table("latest_by_files").collect()] == [b"live"]
