@@ -34,6 +34,8 @@ SEED = 42
 MINIMA = 6
 #: Fingerprints of a block; a key with more is split into blocks that meet in pairs.
 BLOCK = 2048
+#: Nodes of one component that meet in one key of a join.
+DEALT = 512
 #: Keys known to be larger than a block, at most: they are broadcast (16 bytes each).
 LARGE_KEYS = 1_000_000
 #: Shingles that are unpacked to bits at once.
@@ -218,10 +220,11 @@ def _signed(value: int) -> int:
 
 
 def band_keys(nodes: DataFrame, radius: int) -> DataFrame:
-    """(key, node, print): a row for each pair of bands of each 64-bit fingerprint."""
-    value = F.conv(F.hex("print"), 16, -10).cast("long")
+    """(key, node, print): a row for each pair of bands of each fingerprint; ``node`` is its 64 bits."""
+    value = F.col("node")
     keys = [F.xxhash64(value.bitwiseAND(F.lit(_signed(mask))), F.lit(i)) for i, mask in enumerate(_band_pairs(radius))]
-    return nodes.select(F.explode(F.array(*keys)).alias("key"), "node", "print")
+    bytes_ = F.unhex(F.lpad(F.hex(value), 16, "0")).alias("print")
+    return nodes.select(F.explode(F.array(*keys)).alias("key"), "node", bytes_)
 
 
 def minima_keys(rows: DataFrame) -> DataFrame:
@@ -303,6 +306,29 @@ def links(keyed: DataFrame, lanes: int, radius: int) -> DataFrame:
 # --- operator -------------------------------------------------------------------------
 
 
+def _with_smallest(named: DataFrame) -> DataFrame:
+    """Add ``component_id``: the smallest ``least`` of each component.
+
+    ``named`` has ``node``, ``least``, ``component`` and ``linked``; a node without links is
+    its own component and needs no partner. A component of very many nodes is dealt to
+    several keys of the join, with a copy of its one smallest id for each.
+    """
+    sizes = checkpointed(
+        named.where("linked").groupBy("component").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("size"))
+    )
+    total = sizes.agg(F.sum("size")).first()[0] or 0
+    # Components above the border cannot be more than LARGE_KEYS.
+    border = max(DEALT, total // LARGE_KEYS)
+    parts = F.when(F.col("size") > border, F.ceil(F.col("size") / DEALT)).otherwise(1).cast("int")
+    large = sizes.where(F.col("size") > border).select("component", parts.alias("parts"))
+    copies = sizes.select("component", "component_id", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+    part = F.pmod(F.xxhash64("node", F.lit(7)), F.coalesce("parts", F.lit(1))).cast("int")
+    dealt = named.join(F.broadcast(large), "component", "left").withColumn("part", part)
+    return dealt.join(copies, ["component", "part"], "left").select(
+        "node", "component", F.coalesce("component_id", "least").alias("component_id")
+    )
+
+
 def group_near_duplicates(
     docs: DataFrame,
     words: int = 3,
@@ -331,12 +357,11 @@ def group_near_duplicates(
     # Wider fingerprints are named by a hash of theirs.
     node = F.xxhash64("print") if lanes > 1 else F.conv(F.hex("print"), 16, -10).cast("long")
     rows = checkpointed(printed.withColumn("node", node))
-    nodes = rows.groupBy("node").agg(F.first("print").alias("print"), F.min("doc_id").alias("least"))
+    nodes = rows.groupBy("node").agg(F.min("doc_id").alias("least"))
     found = links(minima_keys(rows) if minima else band_keys(nodes, radius), lanes, radius)
     reached = components(checkpointed(found))
-    named = nodes.select("node", "least").join(reached, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    to_id = checkpointed(named.join(smallest, "component").select("node", "component", "component_id"))
+    linked = nodes.join(reached, "node", "left").withColumn("linked", F.col("component").isNotNull())
+    to_id = checkpointed(_with_smallest(checkpointed(linked.withColumn("component", F.coalesce("component", "node")))))
     return rows.join(to_id, "node").select(
         "doc_id", *carried, F.lower(F.hex("print")).alias("fingerprint"), "component_id", "component"
     )
