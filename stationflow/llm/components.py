@@ -3,6 +3,7 @@
 Every round each node takes the smallest label among its own and its neighbours' (a
 minimum that shrinks before the shuffle, so a node with very many edges is no hot spot)
 and then the label of its label. Labels are written to the checkpoint folder each round.
+A label that very many nodes carry is dealt over several keys of the join.
 """
 
 from __future__ import annotations
@@ -11,6 +12,28 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import checkpointed
 
+#: Rows of one key that meet in one key of a dealt join.
+DEALT = 512
+#: Keys known to be dealt, at most: they are broadcast (16 bytes each).
+LARGE_KEYS = 1_000_000
+
+
+def join_dealt(rows: DataFrame, unique: DataFrame, key: str, by: str, total: int) -> DataFrame:
+    """``rows`` left-joined with ``unique``, which has one row at most for each ``key``.
+
+    A key with more than ``DEALT`` rows is cut into parts by a hash of ``by``, and its one
+    partner is copied for each part. ``total`` is the number of ``rows``: keys above the
+    border cannot be more than ``LARGE_KEYS``. Null keys find no partner.
+    """
+    border = max(DEALT, total // LARGE_KEYS)
+    sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_size")).where(F.col("_size") > border)
+    large = F.broadcast(sizes.select(key, F.ceil(F.col("_size") / DEALT).cast("int").alias("_parts")))
+    parts = F.coalesce("_parts", F.lit(1))
+    mine = F.pmod(F.xxhash64(by, F.lit(7)), parts).cast("int")
+    dealt = rows.join(large, key, "left").withColumn("_part", mine).drop("_parts")
+    copies = unique.join(large, key, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
+    return dealt.join(copies, [key, "_part"], "left").drop("_part")
+
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) for each node of an edge; the component is its smallest node.
@@ -23,12 +46,13 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         .distinct()
     )
     labels = checkpointed(both.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("component")))
+    total = labels.count()
     while True:
         # The label of each node goes to its neighbours, and to those that carry its name.
         offers = both.join(labels, "node").select(F.col("other").alias("node"), "component")
-        nearest = offers.unionByName(labels).groupBy("node").agg(F.min("component").alias("component"))
+        nearest = checkpointed(offers.unionByName(labels).groupBy("node").agg(F.min("component").alias("component")))
         jump = nearest.select(F.col("node").alias("component"), F.col("component").alias("further"))
-        moved = nearest.join(jump, "component", "left").select(
+        moved = join_dealt(nearest, jump, "component", "node", total).select(
             "node", F.least("component", "further").alias("component")
         )
         after = checkpointed(moved)

@@ -28,14 +28,12 @@ from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
 from .common import as_bytes, checkpointed, with_columns
-from .components import components
+from .components import components, join_dealt
 
 SEED = 42
 MINIMA = 6
 #: Fingerprints of a block; a key with more is split into blocks that meet in pairs.
 BLOCK = 2048
-#: Nodes of one component that meet in one key of a join.
-DEALT = 512
 #: Keys known to be larger than a block, at most: they are broadcast (16 bytes each).
 LARGE_KEYS = 1_000_000
 #: Shingles that are unpacked to bits at once.
@@ -310,21 +308,11 @@ def _with_smallest(named: DataFrame) -> DataFrame:
     """Add ``component_id``: the smallest ``least`` of each component.
 
     ``named`` has ``node``, ``least``, ``component`` and ``linked``; a node without links is
-    its own component and needs no partner. A component of very many nodes is dealt to
-    several keys of the join, with a copy of its one smallest id for each.
+    its own component and needs no partner.
     """
-    sizes = checkpointed(
-        named.where("linked").groupBy("component").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("size"))
-    )
-    total = sizes.agg(F.sum("size")).first()[0] or 0
-    # Components above the border cannot be more than LARGE_KEYS.
-    border = max(DEALT, total // LARGE_KEYS)
-    parts = F.when(F.col("size") > border, F.ceil(F.col("size") / DEALT)).otherwise(1).cast("int")
-    large = sizes.where(F.col("size") > border).select("component", parts.alias("parts"))
-    copies = sizes.select("component", "component_id", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
-    part = F.pmod(F.xxhash64("node", F.lit(7)), F.coalesce("parts", F.lit(1))).cast("int")
-    dealt = named.join(F.broadcast(large), "component", "left").withColumn("part", part)
-    return dealt.join(copies, ["component", "part"], "left").select(
+    linked = named.where("linked")
+    smallest = checkpointed(linked.groupBy("component").agg(F.min("least").alias("component_id")))
+    return join_dealt(named, smallest, "component", "node", named.count()).select(
         "node", "component", F.coalesce("component_id", "least").alias("component_id")
     )
 

@@ -144,12 +144,24 @@ def test_large_keys_meet_in_pairs(make_docs, monkeypatch):
     assert sorted((r.doc_id is None, r.doc_id) for r in kept) == [(False, 0), (True, None)]
 
 
-def test_components(spark):
+@pytest.mark.parametrize("dealt", [4, components.DEALT])
+def test_components(spark, monkeypatch, dealt):
+    monkeypatch.setattr(components, "DEALT", dealt)
     edges = [(i + 1, i) for i in range(30)] + [(50, 40), (50, 50), (60, 50)]
     got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(31)}, 40: 40, 50: 40, 60: 40}
 
 
+def test_dealt_join_equals_plain_join(spark, monkeypatch):
+    monkeypatch.setattr(components, "DEALT", 3)
+    rows = spark.createDataFrame([(i % 20 and 1, i) for i in range(60)] + [(None, 60), (7, 61)], "k long, n long")
+    unique = spark.createDataFrame([(0, "zero"), (1, "one"), (9, "nine"), (None, "none")], "k long, v string")
+    for some in (rows, rows.limit(0)):
+        got = components.join_dealt(some, unique, "k", "n", 62)
+        assert got.columns == ["k", "n", "v"]
+        assert sorted(got.collect(), key=str) == sorted(some.join(unique, "k", "left").collect(), key=str)
+
+
 def test_keep_one_keeps_nulls_and_one_of_equal_rows(make_docs, edges):
     kept = simhash.keep_one(make_docs(edges), 5, 51, 4, 6).collect()
     assert sorted((r.doc_id or 0) for r in kept) == sorted([1, 0, 4, 5, 7, -8])
