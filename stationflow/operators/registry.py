@@ -14,7 +14,7 @@ from stationflow.functions.durations import format_duration, parse_duration
 from stationflow.functions.fields import fields_of
 from stationflow.functions.numbers import float_text, parse_float
 from stationflow.functions.times import format_rfc3339, parse_rfc3339
-from stationflow.operators.validation import SENSOR, Entity, first_code, first_reason
+from stationflow.operators.validation import SENSOR, Entity, first_code, first_reason, valid_rows
 
 SENSOR_COLUMNS = tuple(S.SENSOR.names)
 
@@ -146,13 +146,14 @@ def response(sensors: DataFrame) -> DataFrame:
     )
 
 
-def upsert(registry: DataFrame, changes: DataFrame, seq: str = "seq") -> DataFrame:
-    """A new registry in which the last change of each id replaces its row.
+def upsert(registry: DataFrame, changes: DataFrame, seq: str = "seq", entity: Entity = SENSOR) -> DataFrame:
+    """A new registry in which the last valid change of each id replaces its row.
 
-    Changes need a ``seq``; rows already registered come before all of them.
+    Changes need a ``seq``; rows already registered come before all of them. A change
+    that breaks a rule changes nothing; ``validate`` tells which and why.
     """
     rows = registry.select(*SENSOR_COLUMNS, F.lit(None).cast("bigint").alias("_seq")).unionByName(
-        changes.select(*SENSOR_COLUMNS, F.col(seq).cast("bigint").alias("_seq"))
+        valid_rows(changes, entity).select(*SENSOR_COLUMNS, F.col(seq).cast("bigint").alias("_seq"))
     )
     # NULL sorts below every sequence number inside the struct.
     last = F.max(F.struct("_seq", *SENSOR_COLUMNS)).alias("_last")

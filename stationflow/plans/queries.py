@@ -520,8 +520,7 @@ def registry_get(spark, sf_dir):
 @query
 def registry_upsert(spark, sf_dir):
     """Every valid event registers its sensor again; the last one counts."""
-    changes = validate(views.sensor_changes(spark, sf_dir), SENSOR).where(F.col("reason").isNull())
-    return registry.upsert(views.running_sensors(spark, sf_dir), changes)
+    return registry.upsert(views.running_sensors(spark, sf_dir), views.sensor_changes(spark, sf_dir))
 
 
 @query

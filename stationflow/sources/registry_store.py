@@ -16,6 +16,19 @@ def write_snapshot(sensors: DataFrame, path: str, version: int) -> None:
     to_stored(sensors).write.mode("errorifexists").parquet(f"{path}/version={version}")
 
 
+def current_version(spark: SparkSession, path: str) -> int | None:
+    """The highest version that was written to its end; None if there is none.
+
+    A folder without the writer's ``_SUCCESS`` mark is still being written or was left by
+    a job that failed.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    marks = hadoop.Path(f"{path}/version=*/_SUCCESS")
+    found = marks.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(marks) or []
+    names = [status.getPath().getParent().getName().split("=", 1)[1] for status in found]
+    return max((int(name) for name in names if name.isdecimal()), default=None)
+
+
 def read_snapshot(spark: SparkSession, path: str, version: int, strict: bool = True) -> DataFrame:
     """Sensors of one version.
 

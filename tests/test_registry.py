@@ -3,7 +3,7 @@ from builders import BASE, SENSOR, frame
 
 from stationflow import schemas as S
 from stationflow.operators import registry as R
-from stationflow.sources.registry_store import read_snapshot, write_snapshot
+from stationflow.sources.registry_store import current_version, read_snapshot, write_snapshot
 
 REQUEST = "request_key string, lat double, lon double, start_temp_c double, pattern string, interval string"
 
@@ -105,6 +105,8 @@ def test_upsert_last_change_wins(spark):
     changes = changes.withColumn("seq", F.when(F.col("lat") == 48.0, 2).otherwise(1))
     new = {r.id: r.lat for r in R.upsert(old, changes).collect()}
     assert new == {"a": 48.0, "b": 47.4979, "c": 47.4979}
+    bad = sensors(spark, {"id": "b", "lat": 90.0}, {"id": "d", "pattern": "odd"}).withColumn("seq", F.lit(3))
+    assert {r.id: r.lat for r in R.upsert(old, bad).collect()} == {"a": 46.0, "b": 47.4979}
 
 
 def test_remove_and_report(spark):
@@ -144,3 +146,13 @@ def test_snapshots(spark, tmp_path):
     with pytest.raises(Exception, match="(?i)already exists"):
         write_snapshot(first, path, 2)
     assert read_snapshot(spark, path, 2, strict=False).first().bad_field is None
+
+
+def test_current_version_is_complete(spark, tmp_path):
+    path = str(tmp_path / "registry")
+    assert current_version(spark, path) is None
+    for version in (1, 2, 10):
+        write_snapshot(sensors(spark, {"id": f"v{version}"}), path, version)
+    (tmp_path / "registry" / "version=11").mkdir()
+    assert current_version(spark, path) == 10
+    assert ids(read_snapshot(spark, path, current_version(spark, path))) == ["v10"]
