@@ -13,9 +13,11 @@ from stationflow.session import scratch_path
 
 #: Tail probability of the top grade from which a document stays.
 SELECT_AT = 0.5
-#: Near-duplicates: shingles of five words, four lanes of 64 bits, and at least 0.8 of the
-#: bits equal, so at most 51 of 256 differ.
-WORDS, LANES, RADIUS = 5, 4, 51
+#: Near-duplicates: sets of shingles of five words with a Jaccard similarity of at least 4/5.
+WORDS, SIMILARITY = 5, (4, 5)
+#: Candidates: four lanes of 64 bits, at most 76 of 256 differ. Of sets with that similarity
+#: 48 differ at most on average (four shingles of five), 6.3 standard deviation.
+LANES, RADIUS = 4, 76
 
 
 def select_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +35,7 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: that with the smallest id."""
-    return simhash.keep_one(docs, WORDS, RADIUS, LANES, simhash.MINIMA)
+    return simhash.keep_one(docs, WORDS, RADIUS, LANES, simhash.MINIMA, similarity=SIMILARITY)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,6 +14,10 @@ In a block the fingerprints are stored as vertical bit planes. A query bit turns
 into the differences of 64 fingerprints per machine word; carry-save counters add them for
 all at once, and a tile is abandoned as soon as all its counts exceed the radius. Links
 are reduced to a spanning forest within the block, never listed as pairs.
+
+Fingerprints only estimate similarity. With ``similarity`` they choose candidates: the
+candidates of a block meet again with their texts, and only pairs whose sets of shingles
+have that Jaccard similarity are linked.
 """
 
 from __future__ import annotations
@@ -34,7 +38,9 @@ SEED = 42
 MINIMA = 6
 #: Fingerprints of a block; a key with more is split into blocks that meet in pairs.
 BLOCK = 2048
-#: Keys known to be larger than a block, at most: they are broadcast (16 bytes each).
+#: Shingles of a block whose texts are compared; a key with more is dealt too.
+WEIGHT = 1 << 20
+#: Keys known to be larger (or heavier) than a block, at most: they are broadcast (16 bytes each).
 LARGE_KEYS = 1_000_000
 #: Shingles that are unpacked to bits at once.
 AT_ONCE = 1 << 17
@@ -82,13 +88,12 @@ def _majority(hashes: np.ndarray, owner_starts: np.ndarray, counts: np.ndarray,
     return out
 
 
-def fingerprints(texts: list[bytes], words: int, lanes: int, minima: int) -> tuple[np.ndarray, np.ndarray]:
-    """Fingerprints (texts x lanes) and the ``minima`` smallest mixed shingle hashes of each text."""
-    parts = [shingle_hashes(t, words) for t in texts]
+def fingerprints(parts: list[np.ndarray], lanes: int, minima: int) -> tuple[np.ndarray, np.ndarray]:
+    """Fingerprints (texts x lanes) and the ``minima`` smallest mixed hashes, given the shingle hashes of each text."""
     counts = np.array([len(p) for p in parts], dtype=np.int64)
     starts = np.cumsum(counts) - counts
     flat = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
-    least = np.zeros((len(texts), minima), dtype=np.uint64)
+    least = np.zeros((len(parts), minima), dtype=np.uint64)
     full = np.flatnonzero(counts)
     for k in range(minima if len(full) else 0):
         with np.errstate(over="ignore"):
@@ -99,22 +104,36 @@ def fingerprints(texts: list[bytes], words: int, lanes: int, minima: int) -> tup
     return _majority(flat, starts, counts, lanes), least
 
 
-def with_fingerprint(docs: DataFrame, words: int = 3, lanes: int = 1, minima: int = 0, text_col: str = "text") -> DataFrame:
-    """Add ``print`` (8 bytes a lane, big-endian) and, if asked for, ``minima`` (array of long)."""
+def with_fingerprint(
+    docs: DataFrame, words: int = 3, lanes: int = 1, minima: int = 0, text_col: str = "text", sets: bool = False
+) -> DataFrame:
+    """Add ``print`` (8 bytes a lane, big-endian) and, if asked for, ``minima`` (array of long).
+
+    With ``sets`` a repeated shingle counts once, and ``node`` (a hash of the set) and
+    ``weight`` (its size) are added.
+    """
     fields = [StructField("print", BinaryType())] + [StructField("minima", ArrayType(LongType()))] * bool(minima)
+    fields += [StructField("node", LongType()), StructField("weight", LongType())] * sets
 
     def make(batches):
         for batch in batches:
             texts = as_bytes(batch[text_col])
-            found, least = [], []
+            found, least, nodes, sizes = [], [], [], []
             # A few texts at a time: their hashes are held together.
             for i in range(0, len(texts), 256):
-                prints, smallest = fingerprints(texts[i : i + 256], words, lanes, minima)
+                parts = [shingle_hashes(t, words) for t in texts[i : i + 256]]
+                if sets:
+                    parts = [np.unique(part) for part in parts]
+                    nodes += [_signed(xxhash.xxh64_intdigest(part.tobytes(), SEED)) for part in parts]
+                    sizes += [len(part) for part in parts]
+                prints, smallest = fingerprints(parts, lanes, minima)
                 found += [row.astype(">u8").tobytes() for row in prints]
                 least += smallest.view(np.int64).tolist()
             out = {"print": pa.array(found, pa.binary())}
             if minima:
                 out["minima"] = pa.array(least, pa.list_(pa.int64()))
+            if sets:
+                out |= {"node": pa.array(nodes, pa.int64()), "weight": pa.array(sizes, pa.int64())}
             yield out
 
     return with_columns(docs, [text_col], StructType(fields), make)
@@ -225,24 +244,31 @@ def band_keys(nodes: DataFrame, radius: int) -> DataFrame:
     return nodes.select(F.explode(F.array(*keys)).alias("key"), "node", bytes_)
 
 
-def minima_keys(rows: DataFrame) -> DataFrame:
+def minima_keys(rows: DataFrame, *more: str) -> DataFrame:
     """(key, node, print): a row for each smallest shingle hash of the texts behind a fingerprint."""
-    return rows.select(F.explode(F.transform("minima", lambda m, i: F.xxhash64(m, i))).alias("key"), "node", "print").distinct()
+    keys = F.explode(F.transform("minima", lambda m, i: F.xxhash64(m, i))).alias("key")
+    return rows.select(keys, "node", "print", *more).distinct()
 
 
-def links(keyed: DataFrame, lanes: int, radius: int) -> DataFrame:
+def links(keyed: DataFrame, lanes: int, radius: int, grouped: bool = False) -> DataFrame:
     """Edges (a, b) between nodes whose fingerprints are close: a spanning forest for each block.
 
+    If ``grouped``, (group, node) instead: the nodes of each tree of a block's forest, under
+    a hash of the whole list, so that a list found by several keys is there once. Blocks are
+    bounded by the sum of ``weight`` then, too.
+
     ``keyed`` has ``key``, ``node`` (both long) and ``print``. Rows of one key are sorted
     together; keys of a single row are passed over, short keys share a
     block, and a key with more than ``BLOCK`` rows is dealt to blocks that meet in pairs,
     each pair in a group of its own.
     """
-    sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
-    total = sizes.agg(F.sum("size")).first()[0] or 0
-    # Keys above the border cannot be more than LARGE_KEYS.
-    border = max(BLOCK, total // LARGE_KEYS)
-    large = sizes.where(F.col("size") > border).select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("parts"))
+    weight = F.sum("weight") if grouped else F.lit(0)
+    sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size"), weight.alias("weight"))
+    total, heavy = (n or 0 for n in sizes.agg(F.sum("size"), F.sum("weight")).first())
+    # Keys above a border cannot be more than LARGE_KEYS.
+    over = (F.col("size") > max(BLOCK, total // LARGE_KEYS)) | (F.col("weight") > max(WEIGHT, heavy // LARGE_KEYS))
+    wanted = F.least("size", F.ceil(F.greatest(F.col("size") / BLOCK, F.col("weight") / WEIGHT)))
+    large = sizes.where(over & (F.col("size") > 1)).select("key", wanted.cast("int").alias("parts"))
     parts = F.coalesce("parts", F.lit(1))
     mine = F.pmod(F.xxhash64("node", F.lit(7)), parts).cast("int")
     placed = (
@@ -260,9 +286,21 @@ def links(keyed: DataFrame, lanes: int, radius: int) -> DataFrame:
             prints = np.concatenate([b[1] for b in blocks])
             side = int((blocks[0][2] == blocks[0][2].min()).sum()) if blocks[0][3] else None
             root = forest(prints, radius, side)
+            if grouped:
+                return trees(nodes_, root, np.repeat(np.arange(len(blocks)), [len(b[0]) for b in blocks]))
             linked = np.flatnonzero(root != np.arange(len(root)))
             return pa.RecordBatch.from_arrays([pa.array(nodes_[linked]), pa.array(nodes_[root[linked]])], names=["a", "b"])
 
+        def trees(nodes_: np.ndarray, root: np.ndarray, block: np.ndarray):
+            """The nodes that one block has of each tree; those of several blocks stay apart."""
+            order = np.lexsort((nodes_, root, block))
+            cuts = np.flatnonzero((np.diff(root[order]) != 0) | (np.diff(block[order]) != 0)) + 1
+            lists = [part for part in np.split(nodes_[order], cuts) if len(part) > 1]
+            names = [_signed(xxhash.xxh64_intdigest(part.tobytes(), SEED)) for part in lists]
+            named = np.repeat(np.array(names, np.int64), [len(part) for part in lists])
+            members = np.concatenate([np.zeros(0, np.int64), *lists])
+            return pa.RecordBatch.from_arrays([pa.array(named), pa.array(members)], names=["group", "node"])
+
         def groups():
             """Rows of one (key, low, high), in order; they may span Arrow batches."""
             rest = None
@@ -298,7 +336,66 @@ def links(keyed: DataFrame, lanes: int, radius: int) -> DataFrame:
         if held:
             yield flush(held)
 
-    return placed.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "mine").mapInArrow(compare, "a long, b long")
+    made = "group long, node long" if grouped else "a long, b long"
+    return placed.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "mine").mapInArrow(compare, made)
+
+
+def alike(sets: list[np.ndarray], similarity: tuple[int, int]) -> np.ndarray:
+    """For each set one that it is reached from over pairs of at least this Jaccard similarity (a fraction)."""
+    part, whole = similarity
+    order = np.argsort([len(s) for s in sets], kind="stable")
+    sizes = np.array([len(sets[i]) for i in order], dtype=np.int64)
+    codes = np.unique(np.concatenate([sets[i] for i in order]), return_inverse=True)[1]
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    # A larger set than this cannot be similar enough.
+    limits = np.searchsorted(sizes, sizes * whole // part, side="right")
+    root = np.arange(len(sets))
+    mine = np.zeros(int(codes.max(initial=-1)) + 1, dtype=bool)
+    for i in range(int((sizes == 0).sum()), len(sets)):
+        after, limit = i + 1, int(limits[i])
+        if not (root[after:limit] != root[i]).any():
+            continue
+        mine[codes[starts[i] : ends[i]]] = True
+        common = np.add.reduceat(mine[codes[starts[after] : ends[limit - 1]]], starts[after:limit] - starts[after], dtype=np.int64)
+        mine[codes[starts[i] : ends[i]]] = False
+        hit = whole * common >= part * (sizes[i] + sizes[after:limit] - common)
+        root[np.isin(root, root[after:limit][hit])] = root[i]
+    out = np.arange(len(sets))
+    out[order] = order[root]
+    return out
+
+
+def verified(groups: DataFrame, rows: DataFrame, texts: DataFrame, words: int, similarity: tuple[int, int]) -> DataFrame:
+    """Edges (a, b) between nodes of a group whose sets of shingles are similar: a spanning forest for each group.
+
+    ``groups`` has ``group`` and ``node``, ``rows`` has ``node`` and ``said``, ``texts`` has
+    ``said`` and ``text``. Equal texts shrink before the shuffle.
+    """
+    spoken = rows.groupBy("node").agg(F.min("said").alias("said"))
+    unique = texts.groupBy("said").agg(F.first("text").alias("text"))
+    placed = groups.join(spoken, "node").join(unique, "said").select("group", "node", "text")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flush():
+            root = alike(sets, similarity)
+            linked = np.flatnonzero(root != np.arange(len(root)))
+            names = np.array(nodes, dtype=np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(names[linked]), pa.array(names[root[linked]])], names=["a", "b"])
+
+        current, nodes, sets = None, [], []
+        for batch in batches:
+            for group, node, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                if group != current:
+                    if len(nodes) > 1:
+                        yield flush()
+                    current, nodes, sets = group, [], []
+                nodes.append(node)
+                sets.append(np.unique(shingle_hashes((text.as_py() or "").encode(), words)))
+        if len(nodes) > 1:
+            yield flush()
+
+    return placed.repartition("group").sortWithinPartitions("group").mapInArrow(compare, "a long, b long")
 
 
 # --- operator -------------------------------------------------------------------------
@@ -326,6 +423,7 @@ def group_near_duplicates(
     id_col: str = "doc_id",
     text_col: str = "text",
     carry: str | None = None,
+    similarity: tuple[int, int] | None = None,
 ) -> DataFrame:
     """(doc_id, fingerprint, component_id, component), a row for each input row.
 
@@ -333,20 +431,32 @@ def group_near_duplicates(
     fewer; ``component`` names the set reachable over links, ``component_id`` is the
     smallest id in it. Equal fingerprints are linked, zero ones (texts without words,
     nulls) too. With ``minima`` = 0 every link is found; otherwise those of texts that
-    share one of so many smallest shingle hashes. Null ids are ignored for the smallest
+    share one of so many smallest shingle hashes. With ``similarity`` (a fraction, part and
+    whole) a link also needs that Jaccard similarity of the sets of shingles, and equal sets
+    are linked instead of equal fingerprints. Null ids are ignored for the smallest
     id; a component of null ids has a null one. Repeated rows are fine; an empty table
     gives an empty one; of other columns only ``carry`` is kept.
     """
     if not minima and (lanes != 1 or radius > 4):
         raise ValueError("bands are for one lane and a radius of up to 4; ask for minima")
+    if similarity and not minima:
+        raise ValueError("similarity needs minima")
     carried = [carry] if carry else []
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *carried)
-    printed = with_fingerprint(slim, words, lanes, minima).drop("text")
-    # Wider fingerprints are named by a hash of theirs.
-    node = F.xxhash64("print") if lanes > 1 else F.conv(F.hex("print"), 16, -10).cast("long")
-    rows = checkpointed(printed.withColumn("node", node))
+    said = F.xxhash64(F.coalesce("text", F.lit(""))).alias("said")
+    if similarity:
+        rows = checkpointed(with_fingerprint(slim.select("*", said), words, lanes, minima, sets=True).drop("text"))
+    else:
+        printed = with_fingerprint(slim, words, lanes, minima).drop("text")
+        # Wider fingerprints are named by a hash of theirs.
+        node = F.xxhash64("print") if lanes > 1 else F.conv(F.hex("print"), 16, -10).cast("long")
+        rows = checkpointed(printed.withColumn("node", node))
     nodes = rows.groupBy("node").agg(F.min("doc_id").alias("least"))
-    found = links(minima_keys(rows) if minima else band_keys(nodes, radius), lanes, radius)
+    if similarity:
+        groups = links(minima_keys(rows, "weight"), lanes, radius, grouped=True).distinct()
+        found = verified(groups, rows, slim.select(said, "text"), words, similarity)
+    else:
+        found = links(minima_keys(rows) if minima else band_keys(nodes, radius), lanes, radius)
     reached = components(checkpointed(found))
     linked = nodes.join(reached, "node", "left").withColumn("linked", F.col("component").isNotNull())
     to_id = checkpointed(_with_smallest(checkpointed(linked.withColumn("component", F.coalesce("component", "node")))))
@@ -356,7 +466,14 @@ def group_near_duplicates(
 
 
 def keep_one(
-    docs: DataFrame, words: int, radius: int, lanes: int, minima: int, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    words: int,
+    radius: int,
+    lanes: int,
+    minima: int,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    similarity: tuple[int, int] | None = None,
 ) -> DataFrame:
     """The rows of ``docs``, one of each group of near-duplicates: that with the smallest id.
 
@@ -364,7 +481,7 @@ def keep_one(
     """
     by_text = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), by_text.alias("_text"))
-    grouped = group_near_duplicates(slim, words, radius, lanes, minima, carry="_text")
+    grouped = group_near_duplicates(slim, words, radius, lanes, minima, carry="_text", similarity=similarity)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("_none"), F.col("doc_id").alias("_id"), F.col("_text"))).alias("first")
     winners = grouped.groupBy("component").agg(first).select("first.*").withColumn("_id", F.coalesce("_id", F.lit(-1)))
     named = docs.withColumns({"_none": F.col(id_col).isNull(), "_id": F.coalesce(F.col(id_col).cast("long"), F.lit(-1)), "_text": by_text})

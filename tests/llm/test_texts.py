@@ -168,6 +168,43 @@ def test_keep_one_keeps_nulls_and_one_of_equal_rows(make_docs, edges):
     assert simhash.keep_one(make_docs([]), 5, 51, 4, 6).count() == 0
 
 
+def shingle_set(text, words=5):
+    parts = text.split()
+    return {tuple(parts[i : i + words]) for i in range(max(1, len(parts) - words + 1))}
+
+
+def test_keep_one_joins_by_true_similarity(spark, make_docs, monkeypatch):
+    rng = random.Random(21)
+    texts, want, similarities = [], [], []
+    for extra in (25, 43, 57, 100, 120, 171, 200):
+        for _ in range(8):
+            base = [f"w{rng.randrange(10**9)}" for _ in range(404)]
+            pair = " ".join(base), " ".join([*base, *[f"v{rng.randrange(10**9)}" for _ in range(extra)]])
+            similar = len(shingle_set(pair[0]) & shingle_set(pair[1])) / len(shingle_set(pair[0]) | shingle_set(pair[1]))
+            similarities.append(round(similar, 2))
+            want += [len(texts)] if similar >= 0.8 else [len(texts), len(texts) + 1]
+            texts += pair
+    assert {0.8, 0.77, 0.7} <= set(similarities)
+    # One repeated phrase decides every bit, yet the sets share one shingle.
+    for _ in range(2):
+        want.append(len(texts))
+        texts.append(" ".join(["same"] * 2000 + [f"u{rng.randrange(10**9)}" for _ in range(100)]))
+    for weight in (simhash.WEIGHT, 500):
+        monkeypatch.setattr(simhash, "WEIGHT", weight)
+        kept = corpus_pipeline.drop_near_duplicates(spark, make_docs(enumerate(texts)), "")
+        assert sorted(r.doc_id for r in kept.collect()) == want
+
+
+def test_alike_equals_brute_force():
+    rng = np.random.default_rng(22)
+    bases = [rng.permutation(1000)[:40].astype(np.uint64) for _ in range(8)]
+    sets = [np.sort(rng.permutation(bases[i % 8])[: rng.integers(20, 41)]) for i in range(120)] + [np.zeros(0, np.uint64)] * 2
+    near = lambda a, b: a < 120 and b < 120 and 5 * len(np.intersect1d(sets[a], sets[b])) >= 4 * len(np.union1d(sets[a], sets[b]))
+    root, top = simhash.alike(sets, (4, 5)), smallest_reachable(list(range(122)), near)
+    assert all((root[a] == root[b]) == (top[a] == top[b]) for a in range(122) for b in range(122))
+    assert 2 < len(set(root.tolist())) < 122
+
+
 # --- quality -----------------------------------------------------------------------------
 
 
