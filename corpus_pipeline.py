@@ -19,6 +19,10 @@ WORDS, SIMILARITY = 5, (4, 5)
 #: 48 differ at most on average (four shingles of five), 6.3 standard deviation.
 LANES, RADIUS = 4, 76
 
+#: Words of a benchmark passage that tell it from chance; op5's windows are as long.
+PASSAGE = 10
+_WORDS = "[0-9A-Za-z[^\\x00-\\x7F]]+"
+
 
 def select_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier expects to be good; the others, toxic ones included, go."""
@@ -39,9 +43,20 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark passage."""
-    marked = decontaminate.mark(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return marked.where(~F.col("contaminated")).select(docs.columns)
+    """Documents without a benchmark passage; ``n_chars`` follows the text.
+
+    An item of fewer than ``PASSAGE`` words is met by chance: its words are cut, and a
+    document goes only if nothing else was in it.
+    """
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    long = F.regexp_count("text", F.lit(_WORDS)) >= PASSAGE
+    kept = decontaminate.mark(docs, benchmark.where(long), PASSAGE).where(~F.col("contaminated")).select(docs.columns)
+    short = benchmark.where(~long)
+    if short.isEmpty():
+        return kept
+    cut = decontaminate.mark(kept, short, PASSAGE, remove_spans=True).where(~F.col("contaminated") | (F.col("n_hit") < F.col("n_words")))
+    size = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+    return cut.withColumn("n_chars", F.when(F.col("contaminated"), size).otherwise(F.col("n_chars"))).select(docs.columns)
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

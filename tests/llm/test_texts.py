@@ -311,3 +311,15 @@ def test_pipeline(spark, sf_dir):
     assert len({r.doc_id for r in rows}) == len(rows) <= docs.count()
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, sf_dir).columns == docs.columns
+
+
+def test_short_items_do_not_drop_documents(spark, tmp_path):
+    long = " ".join(f"w{i}" for i in range(10))
+    spark.createDataFrame([(1, "Yes"), (2, "São Paulo"), (3, long), (4, None), (5, "...")], "item_id long, text string").write.parquet(
+        f"{tmp_path}/benchmark.parquet"
+    )
+    rows = [(1, "A clean text, yes.", 18), (2, f"yes {long}", 0), (3, "são PAULO", 9), (4, None, None), (5, "no hit", 6), (6, "", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars int")
+    got = corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path)).collect()
+    want = [(1, "A clean text, .", 15), (4, "", None), (5, "no hit", 6), (6, "", 0)]
+    assert sorted((r.doc_id, r.text or "", r.n_chars) for r in got) == want
