@@ -69,7 +69,7 @@ _RAW_END = {tag: re.compile(rf"</{tag}\b[^>]*>", re.I) for tag in RAW}
 
 
 class Node:
-    __slots__ = ("tag", "label", "names", "role", "children", "sign", "same", "seen", "twin")
+    __slots__ = ("tag", "label", "names", "role", "children", "sign", "same", "seen", "twin", "wraps")
 
     def __init__(self, tag: str, rest: str = ""):
         self.tag = tag
@@ -87,10 +87,19 @@ class Node:
         self.sign = 0
         self.same = self.seen = 0
         self.twin: Node | None = None
+        #: Wraps most of the page's text: names say nothing about it.
+        self.wraps = False
 
     @property
     def boilerplate(self) -> bool:
-        return self.tag in BOILERPLATE_TAGS or self.role in BOILERPLATE_ROLES or not self.names.isdisjoint(BOILERPLATE_WORDS)
+        if self.tag in BOILERPLATE_TAGS and self.tag != "form":
+            return True
+        return self.named and not self.wraps
+
+    @property
+    def named(self) -> bool:
+        """A form, or an element whose role, class or id says that it is boilerplate."""
+        return self.tag == "form" or self.role in BOILERPLATE_ROLES or not self.names.isdisjoint(BOILERPLATE_WORDS)
 
     def elements(self) -> list[Node]:
         return [child for child in self.children if isinstance(child, Node)]
@@ -261,8 +270,46 @@ def is_template(node: Node, witnesses: int) -> bool:
 # --- content ---------------------------------------------------------------------------
 
 
+def _sizes(page: Node) -> dict[int, int]:
+    """Length of the text below each element, links and boilerplate elements aside; by ``id``."""
+    sizes: dict[int, int] = {}
+    for node in reversed(_nodes(page)):
+        if node.tag == "a" or (node.tag in BOILERPLATE_TAGS and node.tag != "form"):
+            sizes[id(node)] = 0
+        else:
+            sizes[id(node)] = sum(len(c.strip()) if isinstance(c, str) else sizes[id(c)] for c in node.children)
+    return sizes
+
+
+def find_wrappers(page: Node) -> None:
+    """Set ``wraps`` of named elements that hold most of the page's text, or all of its content.
+
+    One beside an ``article`` or ``main`` element, as a long list of comments, keeps its name.
+    """
+    sizes = _sizes(page)
+    for node in _nodes(page):
+        node.wraps = 2 * sizes[id(node)] > sizes[id(page)]
+    content = [n for n in _nodes(page) if n.tag in ("article", "main") and not (n.named and not n.wraps) and sizes[id(n)]]
+    for node in _nodes(page):
+        if node.wraps and node.named:
+            inside = {id(n) for n in _nodes(node)}
+            if any(id(n) not in inside and id(node) not in {id(m) for m in _nodes(n)} for n in content):
+                node.wraps = False
+    if not blocks(page) and sizes[id(page)]:
+        # Only named elements hold text: the page is its descendants.
+        for node in _nodes(page):
+            node.wraps = True
+
+
 def regions(page: Node) -> list[Node]:
-    """The outermost ``article`` and ``main`` elements outside boilerplate, or the page."""
+    """The outermost ``article`` and ``main`` elements outside boilerplate, or the page.
+
+    The page too if they hold less than half of the text outside boilerplate.
+    """
+    sizes: dict[int, int] = {}
+    for node in reversed(_nodes(page)):
+        parts = (len(c.strip()) if isinstance(c, str) else sizes[id(c)] for c in node.children)
+        sizes[id(node)] = 0 if node.tag in ("a", "header") or node.boilerplate else sum(parts)
     found, stack = [], [page]
     while stack:
         node = stack.pop()
@@ -273,7 +320,8 @@ def regions(page: Node) -> list[Node]:
         if not node.boilerplate:
             stack += node.elements()[::-1]
     with_text = [node for node in found if _text(node)]
-    return with_text or [page]
+    most = 2 * sum(sizes[id(node)] for node in with_text) >= sizes[id(page)]
+    return with_text if with_text and most else [page]
 
 
 def _menu(node: Node) -> bool:
@@ -323,6 +371,8 @@ def blocks(page: Node, witnesses: int = 0) -> list[str]:
 def extract_run(pages: list[str]) -> list[str]:
     """The main text of each page of a run."""
     trees = [parse(page) for page in pages]
+    for tree in trees:
+        find_wrappers(tree)
     if len(trees) >= WITNESSES:
         induce(trees)
     return ["\n".join(blocks(tree, tree.seen)) for tree in trees]

@@ -286,6 +286,24 @@ def test_pages_equal_their_articles(spark, sf_dir):
         assert got[r.page_id] == "\n".join(b for b in blocks if b)
 
 
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<body class='search-enabled'><div>{}</div></body>",
+        "<div class='content no-sidebar'><p>{}</p></div><ul class='menu'><li><a>Home</a></ul>",
+        "<article class='post comments-open'><p>{}</p></article><footer>About us</footer>",
+        "<body><form id='aspnetForm'><div><p>{}</p></div></form></body>",
+        "<div><p>{}</p></div><article class='teaser'><a>Read more</a></article>",
+        "<main><p>{}</p></main><div class='comments'><p>" + "I disagree. " * 90 + "</p></div>",
+        "<div class='widget'>{}</div><div class='widget'><a>More</a></div>",
+    ],
+)
+def test_names_of_wrappers_do_not_drop_the_page(html):
+    said = "The whole text of an article, told at some length. " * 9
+    (text,) = html_extract.extract_run([html.format(said)])
+    assert said.strip() in text and "Home" not in text and "About us" not in text and "disagree" not in text
+
+
 def test_runs_do_not_depend_on_batches():
     import pyarrow as pa
 
