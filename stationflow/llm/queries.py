@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, html_extract, line_dedup, quality, secret_scan, sharding, simhash, topk, url_filter
+from . import (
+    bpe, decontaminate, html_extract, line_dedup, periodic, pii, quality, secret_scan, sharding, simhash, topk, url_filter, whitening,
+)
 
 SHARDS = 40
 #: Tail probability from which a document is selected.
@@ -93,6 +95,63 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_planted_period(docs: DataFrame) -> DataFrame:
+    """(doc_id, text), where one document of ten repeats a stretch of its words to its end.
+
+    h = crc32 of the decimal doc_id, g = h / 10. If h % 10 = 0, of the n words each word i >= a
+    becomes word a + (i - a) % p, with a = g % n and p = 1 + (n - a) / (3 + g % 8). A null
+    doc_id leaves the text as it is.
+    """
+    text = F.coalesce("text", F.lit(""))
+    mark = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8"))
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    g, n = F.floor(F.col("mark") / 10), F.size("words")
+    a = F.pmod(g, n)
+    p = 1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))
+    at = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    repeated = F.transform(F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.get("words", at(i).cast("int")))
+    # Only those documents are cut into words here.
+    chosen = docs.select("doc_id", text.alias("text"), mark.alias("mark"))
+    cut = chosen.withColumn("words", F.when(F.col("mark") % 10 == 0, words)).withColumns({"a": a, "p": p})
+    planted = F.when(F.size("words") > 0, F.array_join(repeated, " "))
+    return cut.select("doc_id", F.coalesce(planted, "text").alias("text"))
+
+
+def op11_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.find_runs(with_planted_period(table(spark, sf_dir, "documents")))
+    # Greatest length / period first, compared as whole numbers; the order of the runs breaks ties.
+    better = lambda best, r: best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"])
+    none = F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>")
+    best = F.aggregate("runs", none, lambda best, r: F.when(better(best, r), r).otherwise(best))
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.scan(docs, pii.train(docs))
+    base = F.filter("found", lambda s: s["base"])
+
+    def count_of(kind: str):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count_of(kind) for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.written(base), 256).alias("base_sha256"), pii.written(F.col("found")).alias("spans"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``deviation`` is null where it is beyond a long."""
+    made = whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return made.select(
+        "vec_id", "component", "n", F.col("deviation").try_cast("bigint").alias("deviation"), "whitened", "explained", "identity_error"
+    )
+
+
 # Each kind's expression in one outer group, the group whose length counts, the least length.
 _SECRETS = [
     ("assign", r"""((?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+))""", 2, 6),
@@ -120,6 +179,9 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_bpe": op9_bpe,
     "op10_secret_scan": op10_secret_scan,
+    "op11_periodic": op11_periodic,
+    "op12_pii": op12_pii,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLE = {
