@@ -351,6 +351,30 @@ ORACLE: dict[str, str] = {
     + f"""SELECT f.fate, count(c.fate) AS n FROM (VALUES ('sent'), ('waiting'), ('late')) f(fate) LEFT JOIN (
   SELECT CASE WHEN {_late(3600)} THEN 'late' WHEN {_bucket(3600)} + INTERVAL 1 HOUR + to_seconds(2)
   <= TIMESTAMP '2024-01-15 00:00:00' THEN 'sent' ELSE 'waiting' END AS fate FROM clean) c USING (fate) GROUP BY f.fate""",
+    "stream_missed": _with(
+        "clean",
+        more={
+            "missed": f"""SELECT * FROM clean WHERE NOT ({_late(3600)}) AND event_id % 2 = 1
+  AND {_bucket(3600)} + INTERVAL 1 HOUR + to_seconds(2) <= TIMESTAMP '2024-01-15 00:00:00'""",
+            "hourly": _summary("missed", 3600),
+        },
+    )
+    + "SELECT * FROM hourly",
+    "stream_missed_balance": _with("clean")
+    + f"""SELECT f.fate, count(c.fate) AS n FROM (VALUES ('sent'), ('waiting'), ('late'), ('missed')) f(fate) LEFT JOIN (
+  SELECT CASE WHEN {_late(3600)} THEN 'late' WHEN event_id % 2 = 1 AND {_bucket(3600)} + INTERVAL 1 HOUR + to_seconds(2)
+  <= TIMESTAMP '2024-01-15 00:00:00' THEN 'missed' ELSE 'sent' END AS fate FROM clean) c USING (fate) GROUP BY f.fate""",
+    "stream_first_deliveries": _with(
+        "clean",
+        more={
+            "kept": f"SELECT * FROM clean WHERE NOT ({_late(3600)})",
+            "hourly": _summary("kept", 3600),
+        },
+    )
+    + "SELECT * FROM hourly",
+    "stream_audit": _with("decoded")
+    + """SELECT 'ingest.' || what AS metric, n FROM (SELECT count(*) AS offered, count(reason) AS rejected,
+  count(*) - count(reason) AS accepted FROM decoded) UNPIVOT (n FOR what IN (offered, rejected, accepted))""",
     "stream_raw_to_feed": _with(
         "decoded",
         more={

@@ -32,6 +32,7 @@ from stationflow.plans import views
 from stationflow.session import configure, scratch_path
 from stationflow.sources import history, topics
 from stationflow.streaming import rollup
+from stationflow.streaming.audit import AuditListener, metric_totals, read_audit
 from stationflow.streaming.aggregate import aggregates_topic, future_rows, readings_from_topic
 from stationflow.streaming.feed import feed_messages, live_feed, start_feed
 from stationflow.streaming.ingest import (
@@ -603,6 +604,22 @@ def stream_ingest_outputs(spark, sf_dir):
     )
 
 
+@query
+def stream_audit(spark, sf_dir):
+    """Rows offered, accepted and rejected by the ingest stream, from the totals its listener wrote."""
+    root = scratch_path(spark, "audit")
+    listener = AuditListener(spark, f"{root}/progress")
+    spark.streams.addListener(listener)
+    try:
+        rows = views.as_topic(views.events_stream(spark, sf_dir))
+        run = start_ingest(rows, file_outputs(spark, root), f"{root}/checkpoint", once=True)
+        run.awaitTermination()
+        listener.await_run(run.runId)
+    finally:
+        spark.streams.removeListener(listener)
+    return metric_totals(read_audit(spark, f"{root}/progress")).where("metric <> 'rows'").select("metric", "n")
+
+
 _AGGREGATE_JSON = (
     "scope string, window_start timestamp, window_end timestamp, avg_temp_c double,"
     " min_temp_c double, max_temp_c double, count bigint"
@@ -638,9 +655,48 @@ def stream_balance(spark, sf_dir):
     root = scratch_path(spark, "balance")
     now = datetime(2024, 1, 15, tzinfo=timezone.utc)
     rollup.drain(_valid_stream(spark, sf_dir), root, HOUR, now=now, settle=timedelta(0))
+    return rollup.balance(spark, root, _sent(spark, root)).where("fate <> 'missed'")
+
+
+def _missed(spark: SparkSession, sf_dir: str) -> str:
+    """Half of the readings can be read only after the closing on 15 January; the output folder."""
+    root = scratch_path(spark, "missed")
+    valid = views.clean_readings(spark, sf_dir)
+    folder = f"{root}/topic"
+    valid.where("event_id % 2 = 0").write.parquet(folder)
+    stream = spark.readStream.schema(valid.schema).parquet(folder)
+    rollup.drain(stream, root, HOUR, now=datetime(2024, 1, 15, tzinfo=timezone.utc), settle=timedelta(0))
+    valid.where("event_id % 2 = 1").write.mode("append").parquet(folder)
+    rollup.drain(stream, root, HOUR)
+    return root
+
+
+@query
+def stream_missed(spark, sf_dir):
+    """Hourly aggregates of readings that came on time but were visible after their window was sent."""
+    return rollup.corrections(spark, _missed(spark, sf_dir), HOUR)
+
+
+@query
+def stream_missed_balance(spark, sf_dir):
+    """Readings sent, waiting, late and missed, when half of them became visible late."""
+    root = _missed(spark, sf_dir)
     return rollup.balance(spark, root, _sent(spark, root))
 
 
+@query
+def stream_first_deliveries(spark, sf_dir):
+    """Hourly windows of a stream with repeated deliveries, each reading counted once, in six batches."""
+    root = scratch_path(spark, "first")
+    rows = views.deliveries(spark, sf_dir)
+    # First deliveries come last: what counts is the position, not the order of reading.
+    for copy in (1, 0):
+        rows.where(F.col("copy") == copy).repartition(3, "event_id").write.mode("append").parquet(f"{root}/topic")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/topic")
+    rollup.drain(stream, root, HOUR, drop_duplicates=True, fan=4)
+    return _sent(spark, root)
+
+
 @query
 def stream_closed_twice(spark, sf_dir):
     """Windows sent by a closing on 15 January and by a later one: each window once."""

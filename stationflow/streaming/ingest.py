@@ -43,6 +43,16 @@ class Outputs:
 def file_outputs(spark: SparkSession, root: str) -> Outputs:
     """Parquet folders below ``root``: history, clean, dead_letters, audit."""
     ensure_history(spark, f"{root}/history")
+    return Outputs(
+        dead_letters=lambda rows, batch: append_topic(rows, f"{root}/dead_letters", batch),
+        history=lambda rows, batch: append_ignore(rows.sparkSession, f"{root}/history", rows, batch),
+        clean=lambda rows, batch: append_topic(rows, f"{root}/clean", batch),
+        audit=audit_folder(f"{root}/audit"),
+    )
+
+
+def audit_folder(path: str) -> Writer:
+    """A writer of audit rows, one folder for each batch."""
 
     def audit(rows: DataFrame, batch: str) -> None:
         (
@@ -50,20 +60,17 @@ def file_outputs(spark: SparkSession, root: str) -> Outputs:
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("batch")
-            .parquet(f"{root}/audit")
+            .parquet(path)
         )
 
-    return Outputs(
-        dead_letters=lambda rows, batch: append_topic(rows, f"{root}/dead_letters", batch),
-        history=lambda rows, batch: append_ignore(rows.sparkSession, f"{root}/history", rows, batch),
-        clean=lambda rows, batch: append_topic(rows, f"{root}/clean", batch),
-        audit=audit,
-    )
+    return audit
 
 
-def kafka_outputs(spark: SparkSession, brokers: str, history_path: str) -> Outputs:
+def kafka_outputs(spark: SparkSession, brokers: str, history_path: str, audit_path: str | None = None) -> Outputs:
     """History as a Parquet table, dead letters and clean readings to Kafka.
 
+    With ``audit_path`` each batch leaves its counts there once its rows were sent.
+
     Kafka rows of a batch that is run again are sent again, so their readers
     have to bear duplicates; the history does not get any.
     """
@@ -77,6 +84,7 @@ def kafka_outputs(spark: SparkSession, brokers: str, history_path: str) -> Outpu
         dead_letters=topic(S.DEAD_LETTER_TOPIC),
         history=lambda rows, batch: append_ignore(rows.sparkSession, history_path, rows, batch),
         clean=topic(S.CLEAN_TOPIC),
+        audit=audit_folder(audit_path) if audit_path else None,
     )
 
 
@@ -111,13 +119,20 @@ def ingest_batch(
     entity: Entity = READING,
     handler: Handler | None = None,
 ) -> None:
-    """Process one batch of topic rows.
+    """Process one batch of topic rows."""
+    _ingest_decoded(decode(batch, entity), name, outputs, entity, handler)
+
+
+def _ingest_decoded(
+    decoded: DataFrame, name: str, outputs: Outputs, entity: Entity, handler: Handler | None
+) -> None:
+    """Write one batch of decoded rows.
 
     ``handler`` may change the accepted rows (with their ``event`` struct)
     before they are stored; it never sees a rejected row. It runs once a batch, and
     the rows it returns are those stored, published and counted as processed.
     """
-    decoded = decode(batch, entity).persist()
+    decoded = decoded.persist()
     good = accepted(decoded)
     if handler is not None:
         good = handler(good).persist()
@@ -150,17 +165,27 @@ def start_ingest(
     handler: Handler | None = None,
     once: bool = False,
     period: str = "1 second",
+    seen: str = "ingest",
 ) -> StreamingQuery:
     """Run ``ingest_batch`` on each batch of a stream of topic rows.
 
     A batch is cached while it is written, so bound it at the source:
-    ``max_files`` of a file topic, ``max_offsets`` of a Kafka topic.
+    ``max_files`` of a file topic, ``max_offsets`` of a Kafka topic. Progress reports carry
+    ``offered``, ``rejected`` and ``accepted`` under the name ``seen``, whatever the outputs
+    are. They are for watching: rows of a cached block that was lost are counted again.
+    The audit rows of ``outputs`` are exact.
     """
+    decoded = decode(rows, entity).observe(
+        seen,
+        F.count(F.lit(1)).alias("offered"),
+        F.count_if(F.col("reason").isNotNull()).alias("rejected"),
+        F.count_if(F.col("reason").isNull()).alias("accepted"),
+    )
 
     def body(batch: DataFrame, name: str) -> None:
-        ingest_batch(batch, name, outputs, entity, handler)
+        _ingest_decoded(batch, name, outputs, entity, handler)
 
     run = named_batches(rows.sparkSession, checkpoint, body)
-    writer = rows.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    writer = decoded.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if once else {"processingTime": period}
     return writer.trigger(**trigger).start()

@@ -7,21 +7,21 @@ from datetime import datetime, timedelta, timezone
 
 from stationflow import schemas as S
 
-BASE = datetime(2026, 7, 21, 12, 0, 0, tzinfo=timezone.utc)
-READING = {"sensor_id": "sensor-0001", "lat": 47.4979, "lon": 19.0402, "temp_c": 21.5, "ts": BASE}
+BASE = datetime(2025, 3, 9, 12, 0, 0, tzinfo=timezone.utc)
+READING = {"sensor_id": "sensor-0417", "lat": 46.9036, "lon": 19.6877, "temp_c": 17.25, "ts": BASE}
 SENSOR = {
-    "id": "sensor-0001",
-    "lat": 47.4979,
-    "lon": 19.0402,
-    "start_temp_c": 18.5,
-    "pattern": "rising",
-    "interval_ns": 5_000_000_000,
+    "id": "sensor-0417",
+    "lat": 46.9036,
+    "lon": 19.6877,
+    "start_temp_c": 11.75,
+    "pattern": "falling",
+    "interval_ns": 12_000_000_000,
     "created_at": BASE,
 }
 DEAD_LETTER = {
     "source_topic": "sensor.readings",
-    "partition": 3,
-    "offset": 42,
+    "partition": 4,
+    "offset": 117,
     "reason": "unmarshal: invalid JSON",
     "failed_at": BASE,
     "payload": b"not json at all",
@@ -51,7 +51,7 @@ def wire(reading):
     return json.dumps({**reading, "ts": ts}).encode()
 
 
-def topic(spark, values, partition=0, start=0, key=b"sensor-0001", when=BASE):
+def topic(spark, values, partition=0, start=0, key=b"sensor-0417", when=BASE):
     rows = [
         (key, value, S.READINGS_TOPIC.name, partition, start + n, when) for n, value in enumerate(values)
     ]

@@ -20,13 +20,13 @@ def test_text_round_trip(spark):
     df = sensors(spark, {}, {"id": "b", "lat": 46.123456789012345, "interval_ns": 90_000_000_000})
     text = R.to_stored(df).orderBy("id").collect()
     assert text[1].asDict() == {
-        "id": "sensor-0001",
-        "lat": "47.4979",
-        "lon": "19.0402",
-        "start_temp_c": "18.5",
-        "pattern": "rising",
-        "interval": "5s",
-        "created_at": "2026-07-21T12:00:00Z",
+        "id": "sensor-0417",
+        "lat": "46.9036",
+        "lon": "19.6877",
+        "start_temp_c": "11.75",
+        "pattern": "falling",
+        "interval": "12s",
+        "created_at": "2025-03-09T12:00:00Z",
     }
     assert text[0].interval == "1m30s"
     back = R.from_stored_strict(R.to_stored(df))
@@ -40,7 +40,7 @@ def test_corrupt_fields(spark, name, value):
 
     text = R.to_stored(sensors(spark, {})).withColumn(name, F.lit(value).cast("string"))
     assert R.from_stored(text).first().bad_field == name
-    with pytest.raises(Exception, match=f"sensor sensor-0001: field {name}"):
+    with pytest.raises(Exception, match=f"sensor sensor-0417: field {name}"):
         R.from_stored_strict(text).collect()
     with pytest.raises(Exception, match=f"field {name}"):
         R.from_stored_strict(text).select("id").collect()
@@ -104,9 +104,9 @@ def test_upsert_last_change_wins(spark):
     changes = sensors(spark, {"id": "a", "lat": 47.0}, {"id": "a", "lat": 48.0}, {"id": "c"})
     changes = changes.withColumn("seq", F.when(F.col("lat") == 48.0, 2).otherwise(1))
     new = {r.id: r.lat for r in R.upsert(old, changes).collect()}
-    assert new == {"a": 48.0, "b": 47.4979, "c": 47.4979}
+    assert new == {"a": 48.0, "b": 46.9036, "c": 46.9036}
     bad = sensors(spark, {"id": "b", "lat": 90.0}, {"id": "d", "pattern": "odd"}).withColumn("seq", F.lit(3))
-    assert {r.id: r.lat for r in R.upsert(old, bad).collect()} == {"a": 46.0, "b": 47.4979}
+    assert {r.id: r.lat for r in R.upsert(old, bad).collect()} == {"a": 46.0, "b": 46.9036}
 
 
 def test_remove_and_report(spark):

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from stationflow import schemas as S
 from stationflow.operators import codec, windows
 from stationflow.operators import validation as V
-from stationflow.sources import history, topics
-from stationflow.streaming import aggregate, feed, ingest, rollup, wallclock
+from stationflow.sources import files, history, topics
+from stationflow.streaming import aggregate, audit, feed, ingest, manifest, rollup, wallclock
 
 
 def message(sensor, second, temp):
@@ -278,12 +278,12 @@ def test_rollup_equals_batch_in_any_order(spark, root):
     first = flush(2000)
     assert first == [w for w in want if w[0] < 2000] and len(first) == 4
     balance = {r.fate: r.n for r in rollup.balance(spark, root, rolled(spark, root)).collect()}
-    assert balance == {"sent": 6, "waiting": 1, "late": 2}
+    assert balance == {"sent": 6, "waiting": 1, "late": 2, "missed": 0}
     assert flush(2000) == first
     assert flush(20_000) == want
 
 
-def test_rollup_repeats_a_broken_closing_and_refuses_missed_rows(spark, root, monkeypatch):
+def test_rollup_repeats_a_broken_closing_and_counts_missed_rows(spark, root, monkeypatch):
     write_readings(spark, f"{root}/in", (1, 20, 1), (12, 30, 12))
 
     def flush(second):
@@ -302,13 +302,166 @@ def test_rollup_repeats_a_broken_closing_and_refuses_missed_rows(spark, root, mo
             flush(15)
     flush(30)
     assert [row[0] for row in summary_rows(rolled(spark, root))] == [0, 10]
-    write_readings(spark, f"{root}/in", (2, 20, 3))
-    with pytest.raises(Exception, match="on time for a window that is closed"):
-        flush(40)
+    # On time by its arrival, but read after its window was sent: counted, kept apart, no error.
+    write_readings(spark, f"{root}/in", (2, 20, 3), (7, 40, 8), (3, 50, 13), (31, 8, 32))
+    flush(40)
+    assert [row[0] for row in summary_rows(rolled(spark, root))] == [0, 10]
+    assert summary_rows(rollup.corrections(spark, root)) == [(0, 30.0, 20.0, 40.0, 2)]
+    flush(60)
+    assert [row[0] for row in summary_rows(rolled(spark, root))] == [0, 10, 30]
+    balance = {r.fate: r.n for r in rollup.balance(spark, root, rolled(spark, root)).collect()}
+    assert balance == {"sent": 3, "waiting": 0, "late": 1, "missed": 2}
 
 
 def test_rollup_of_an_empty_topic(spark, root):
     spark.createDataFrame([], READINGS).write.parquet(f"{root}/in")
     rollup.drain(spark.readStream.schema(READINGS).parquet(f"{root}/in"), root, now=at(5))
     assert rollup.aggregates(spark, root).count() == 0
-    assert [r.n for r in rollup.balance(spark, root, rolled(spark, root)).collect()] == [0, 0, 0]
+    assert [r.n for r in rollup.balance(spark, root, rolled(spark, root)).collect()] == [0, 0, 0, 0]
+
+
+def file_stream(spark, root, schema=READINGS):
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+
+
+def test_closings_open_few_segments():
+    """A thousand flushes, merged by tiers of sixteen: never more than 45 segments."""
+    segments, most = [], 0
+    for n in range(1, 1001):
+        segments.append(manifest.Segment(str(n), 0, n, n + 5))
+        while members := manifest.to_merge(segments):
+            ends = [s.first_us for s in members], [s.last_us for s in members]
+            segments = [s for s in segments if s not in members]
+            segments.append(manifest.Segment(f"{members[0].name}+", members[0].tier + 1, min(ends[0]), max(ends[1])))
+        most = max(most, len(segments))
+    assert most <= 45
+    opened = [s for s in segments if s.holds(900, 1000)]
+    assert {s.last_us for s in opened} == {s.last_us for s in segments if s.last_us > 900}
+
+
+@pytest.mark.parametrize("after", [False, True])
+@pytest.mark.parametrize("step", range(4))
+def test_compaction_killed_anywhere_loses_and_doubles_nothing(spark, root, monkeypatch, step, after):
+    """The process dies before or after the n-th step that touches storage; the next flush goes on."""
+    rows = [(i, 20 + i % 7, i + 1) for i in range(0, 64, 3)]
+    for part in range(3):
+        write_readings(spark, f"{root}/in", *rows[part::3], (500 + part, 10 + part, 501 + part))
+
+    def flush(second, fan=3):
+        rollup.drain(file_stream(spark, root), root, now=at(second), settle=timedelta(0), fan=fan)
+
+    steps = iter(range(100))
+
+    def dying(real):
+        def run(*args, **kwargs):
+            mine = next(steps) == step
+            out = None if mine and not after else real(*args, **kwargs)
+            if mine:
+                raise RuntimeError("killed")
+            return out
+
+        return run
+
+    flush(0, fan=99)
+    before = len(manifest.read(spark, root).segments)
+    assert before >= 3
+    with monkeypatch.context() as patch:
+        for owner, name in ((rollup, "_segments"), (rollup, "_write_segment"), (files, "write_new")):
+            patch.setattr(owner, name, dying(getattr(owner, name)))
+        with pytest.raises(RuntimeError, match="killed"):
+            rollup.compact(spark, root, fan=3)
+    flush(40)
+    assert len(manifest.read(spark, root).segments) < before
+    flush(2000)
+    whole = windows.summarise(windows.on_time(spark.read.schema(READINGS).parquet(f"{root}/in")))
+    assert summary_rows(rolled(spark, root)) == summary_rows(whole)
+
+
+def test_a_batch_that_runs_again_is_added_once(spark, root):
+    import shutil
+
+    write_readings(spark, f"{root}/in", (1, 20, 1), (12, 30, 12))
+    rollup.drain(file_stream(spark, root), root, now=at(0), settle=timedelta(0))
+    # The process died before the query could write its commit.
+    shutil.rmtree(f"{root}/checkpoint/commits")
+    rollup.drain(file_stream(spark, root), root, now=at(100), settle=timedelta(0))
+    assert [(row[0], row[-1]) for row in summary_rows(rolled(spark, root))] == [(0, 1), (10, 1)]
+
+
+def test_a_table_keeps_its_window_size(spark, root):
+    write_readings(spark, f"{root}/in", (1, 20, 1))
+    rollup.drain(file_stream(spark, root), root, now=at(0), settle=timedelta(0))
+    write_readings(spark, f"{root}/in", (2, 20, 2))
+    with pytest.raises(Exception, match="another window size"):
+        rollup.drain(file_stream(spark, root), root, timedelta(hours=1), now=at(9), settle=timedelta(0))
+
+
+@pytest.mark.parametrize("order", [[0, 1, 2], [2, 1, 0], [1, 2, 0]])
+def test_first_deliveries_count_in_any_order(spark, root, order):
+    kind = f"{READINGS}, `partition` int, `offset` bigint"
+    parts = [[("a", 1, 20.0, 5), ("b", 1, 10.0, 6)], [("a", 1, 99.0, 7), ("a", 3, 30.0, 8)], [("b", 1, 50.0, 2), ("b", 1, 50.0, 2)]]
+    for n in order:
+        rows = [(s, 47.5, 19.0, t, at(sec), at(sec + 1), 0, o) for s, sec, t, o in parts[n]]
+        spark.createDataFrame(rows, kind).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    rollup.drain(file_stream(spark, root, kind), root, now=at(50), settle=timedelta(0), drop_duplicates=True, fan=2)
+    assert summary_rows(rolled(spark, root)) == [(0, 33.33, 20.0, 50.0, 3)]
+
+
+def test_flushes_on_a_timer_close_a_silent_stream(spark, root):
+    now = datetime.now(timezone.utc).replace(microsecond=0)
+    rows = [("a", 47.5, 19.0, t, now, now) for t in (20.0, 22.0)]
+    spark.createDataFrame(rows, READINGS).write.parquet(f"{root}/in")
+    stream = spark.readStream.schema(READINGS).parquet(f"{root}/in")
+    flushes = rollup.start_flushes(stream, root, timedelta(milliseconds=200), size=timedelta(seconds=2), settle=timedelta(0))
+    try:
+        deadline = time.time() + 90
+        while time.time() < deadline and flushes.is_active and not rolled(spark, root).count():
+            time.sleep(0.5)
+    finally:
+        flushes.stop()
+    assert flushes.done > 0 and not flushes.is_active
+    assert [(r.avg_temp_c, r["count"]) for r in rolled(spark, root).collect()] == [(21.0, 2)]
+
+
+def test_an_error_of_a_flush_ends_the_timer():
+    def flush():
+        raise RuntimeError("disk full")
+
+    flushes = rollup.Flushes(flush, timedelta(0))
+    with pytest.raises(RuntimeError, match="disk full"):
+        flushes.await_termination(10)
+    assert not flushes.is_active and flushes.done == 0
+
+
+def test_a_version_is_written_once(spark, root):
+    state = manifest.commit(spark, root, manifest.Manifest(), counts={"late": 1}, closing=(1, 5))
+    assert manifest.read(spark, root) == state
+    with pytest.raises(FileExistsError):
+        manifest.commit(spark, root, manifest.Manifest())
+    for _ in range(manifest.KEPT_VERSIONS + 3):
+        state = manifest.commit(spark, root, state, segments=(manifest.Segment("a", 1, 2, 3),), garbage=("b",), closing=None)
+    assert manifest.read(spark, root) == state
+    assert len(manifest.files.names(spark, f"{root}/manifest")) <= manifest.KEPT_VERSIONS
+
+
+def test_audit_totals_over_runs(spark, root):
+    listener = audit.AuditListener(spark, f"{root}/progress")
+    spark.streams.addListener(listener)
+    done = []
+    outputs = ingest.Outputs(dead_letters=None, history=lambda df, n: done.append(df.count()), clean=lambda df, n: None)
+    try:
+        for payloads in ([wire(READING), b"no"], [wire(READING)], []):
+            if payloads:
+                topic(spark, payloads).write.mode("append").parquet(f"{root}/in")
+            stream = spark.readStream.schema(S.TOPIC_ROW).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+            run = ingest.start_ingest(stream, outputs, f"{root}/checkpoint", once=True)
+            run.awaitTermination()
+            assert listener.await_run(run.runId)
+    finally:
+        spark.streams.removeListener(listener)
+    rows = audit.read_audit(spark, f"{root}/progress")
+    # The third run found nothing to do.
+    assert rows.count() == 2 and rows.select("query").distinct().count() == 1
+    totals = {r.metric: r.n for r in audit.metric_totals(rows).collect()}
+    assert totals == {"rows": 3, "ingest.offered": 3, "ingest.rejected": 1, "ingest.accepted": 2}
+    assert audit.read_audit(spark, f"{root}/none").count() == 0

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from stationflow import schemas as S
 from stationflow.operators import metrics
-from stationflow.operators.regions import with_region
+from stationflow.operators.regions import cover, with_region
 from stationflow.sources import topics
 
 
@@ -89,6 +89,82 @@ def test_regions_against_brute_force(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+BOXES = "scope string, min_lat double, max_lat double, min_lon double, max_lon double"
+
+
+def test_many_boxes_of_all_sizes(spark):
+    """Broadcast cells, and the form for more cells than may be broadcast, against all pairs."""
+    import random
+
+    rng = random.Random(9)
+    boxes = []
+    for n in range(60):
+        lat, lon = rng.uniform(-60, 60), rng.uniform(-150, 150)
+        high, wide = (10 ** rng.uniform(-4, 1.3) for _ in "ab")
+        boxes.append((f"r{n}", lat, lat + high, lon, lon + wide))
+    boxes.append(("point", 1.0, 1.0, 2.0, 2.0))
+    boxes.append(("reversed", 5.0, 4.0, 2.0, 3.0))
+    edges = [(lat, lon) for _, a, b, c, d in boxes for lat, lon in ((a, c), (b, d), (a, d), ((a + b) / 2, (c + d) / 2))]
+    places = [(n, *p) for n, p in enumerate([*edges, *edges[:9], (None, 3.0), (float("nan"), 2.0), (1e30, 0.0), (95.0, -200.0)])]
+    df = spark.createDataFrame(places, "n int, lat double, lon double")
+    regions = spark.createDataFrame(boxes, BOXES)
+
+    def scopes(lat, lon):
+        return [s for s, a, b, c, d in boxes if lat is not None and a <= lat < b and c <= lon < d] or ["unassigned"]
+
+    want = sorted((n, s) for n, lat, lon in places for s in scopes(lat, lon))
+    for limit in (250_000, 0):
+        placed = with_region(df, regions, limit)
+        assert placed.columns == ["n", "lat", "lon", "scope"]
+        assert sorted((r.n, r.scope) for r in placed.collect()) == want
+    none = with_region(df, regions.where("false"))
+    assert {r.scope for r in none.collect()} == {"unassigned"} and none.count() == len(places)
+
+
+def test_cells_of_a_box_are_few(spark):
+    import random
+
+    rng = random.Random(1)
+    boxes = [("ten", 40.0, 50.0, 10.0, 20.0), ("stripe", 45.7, 48.65, 16.0, 16.25), ("line", 0.0, 20.0, 5.0, 5.0001)]
+    boxes += [(f"r{n}", a, a + 10 ** rng.uniform(-4, 1.5), b, b + 10 ** rng.uniform(-4, 1.5)) for n in range(200) for a, b in [(rng.uniform(-50, 50), rng.uniform(-100, 100))]]
+    cells = cover(spark.createDataFrame(boxes, BOXES))
+    sizes = {r.scope: r["count"] for r in cells.groupBy("scope").count().collect()}
+    assert set(sizes) == {b[0] for b in boxes} and max(sizes.values()) < 200
+    assert cells.where("scope = 'ten'").select("level").distinct().count() > 1
+
+
+def test_readings_are_not_shuffled_to_find_their_region(spark):
+    """Half of the readings lie in one cell: they stay where they are."""
+    df = spark.range(2000).selectExpr("id AS n", "if(id % 2 = 0, 47.1, 46.0 + id / 1000) AS lat", "19.0D AS lon")
+    regions = spark.createDataFrame([("a", 45.0, 47.0, 18.0, 20.0), ("b", 47.0, 48.0, 18.0, 20.0)], BOXES)
+    placed = with_region(df.repartition(4), regions)
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert placed.groupBy("scope").count().orderBy("scope").collect()[0]["count"] > 400
+
+
+def test_percentile_is_exact_on_large_groups(spark):
+    import math
+    import random
+
+    rng = random.Random(2)
+    rows = []
+    for service, n in (("a", 20_000), ("b", 1), ("c", 20), ("d", 100)):
+        spread = rng.choice([10**3, 10**6])
+        rows += [(service, at(0), at(0) + timedelta(microseconds=int(rng.expovariate(1 / spread)) - 50), i % 7 == 0) for i in range(n)]
+    rows += [("c", at(0), None, False), ("e", None, at(0), True)]
+    df = spark.createDataFrame(rows, "service string, ts timestamp, arrival_ts timestamp, is_error boolean")
+    for share in ((95, 100), (1, 2), (1, 1)):
+        got = {r.service: r for r in metrics.service_metrics(df, timedelta(hours=1), share).collect()}
+        for service in "abcd":
+            known = sorted((b - a) / timedelta(microseconds=1) for s, a, b, _ in rows if s == service and a and b)
+            row = got[service]
+            assert row.p95_latency_ms == known[math.ceil(len(known) * share[0] / share[1]) - 1] / 1000
+            assert row.max_latency_ms == known[-1] / 1000 and math.isclose(row.avg_latency_ms, sum(known) / len(known) / 1000)
+            assert row.handled == sum(s == service for s, *_ in rows)
+        assert (got["e"].handled, got["e"].p95_latency_ms, got["e"].error_share) == (1, None, 1.0)
+
+
 def test_service_figures(spark):
     rows = [("a", at(0), at(1), False), ("a", at(1), at(4), True), ("a", at(2), at(4), False)]
     df = spark.createDataFrame(rows, "service string, ts timestamp, arrival_ts timestamp, is_error boolean")

@@ -27,10 +27,10 @@ def test_reading_rules(spark):
         ({"temp_c": -math.inf}, "temperature", "temperature out of plausible range: -Inf°C"),
         ({"temp_c": 60.25}, "temperature", "temperature out of plausible range: 60.2°C"),
         ({"temp_c": 61.15}, "temperature", "temperature out of plausible range: 61.1°C"),
-        ({"lat": 52.5}, "coordinates", "coordinates outside Hungary: (52.5000, 19.0402)"),
-        ({"lat": math.nan}, "coordinates", "coordinates outside Hungary: (NaN, 19.0402)"),
-        ({"lon": math.nan}, "coordinates", "coordinates outside Hungary: (47.4979, NaN)"),
-        ({"lon": 2.35}, "coordinates", "coordinates outside Hungary: (47.4979, 2.3500)"),
+        ({"lat": 52.5}, "coordinates", "coordinates outside Hungary: (52.5000, 19.6877)"),
+        ({"lat": math.nan}, "coordinates", "coordinates outside Hungary: (NaN, 19.6877)"),
+        ({"lon": math.nan}, "coordinates", "coordinates outside Hungary: (46.9036, NaN)"),
+        ({"lon": 2.35}, "coordinates", "coordinates outside Hungary: (46.9036, 2.3500)"),
         ({"lat": None, "lon": None}, "coordinates", "coordinates outside Hungary: (0.0000, 0.0000)"),
         ({"temp_c": -28.0}, None, None),
         ({"temp_c": None}, None, None),
@@ -107,7 +107,7 @@ def test_limits_are_parameters(spark):
     wide = V.reading_entity(S.Limits(max_lat=60.0, region="the map"))
     got = verdicts(spark, wide, READING, [{"lat": 52.5}, {"lat": 61.0}])
     assert got[0] == (None, None)
-    assert got[1][1] == "coordinates outside the map: (61.0000, 19.0402)"
+    assert got[1][1] == "coordinates outside the map: (61.0000, 19.6877)"
 
 
 @pytest.mark.parametrize("pattern,known", [("steady", True), ("noisy", True), ("Steady", False), ("", False)])
