@@ -3,7 +3,7 @@
 Every round each node takes the smallest label among its own and its neighbours' (a
 minimum that shrinks before the shuffle, so a node with very many edges is no hot spot)
 and then the label of its label. Labels are written to the checkpoint folder each round.
-A label that very many nodes carry is dealt over several keys of the join.
+A node with very many edges, or a label that very many nodes carry, is dealt over several keys of the join.
 """
 
 from __future__ import annotations
@@ -46,10 +46,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         .distinct()
     )
     labels = checkpointed(both.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("component")))
-    total = labels.count()
+    total, edges_ = labels.count(), both.count()
     while True:
         # The label of each node goes to its neighbours, and to those that carry its name.
-        offers = both.join(labels, "node").select(F.col("other").alias("node"), "component")
+        offers = join_dealt(both, labels, "node", "other", edges_).select(F.col("other").alias("node"), "component")
         nearest = checkpointed(offers.unionByName(labels).groupBy("node").agg(F.min("component").alias("component")))
         jump = nearest.select(F.col("node").alias("component"), F.col("component").alias("further"))
         moved = join_dealt(nearest, jump, "component", "node", total).select(

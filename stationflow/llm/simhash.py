@@ -15,9 +15,9 @@ into the differences of 64 fingerprints per machine word; carry-save counters ad
 all at once, and a tile is abandoned as soon as all its counts exceed the radius. Links
 are reduced to a spanning forest within the block, never listed as pairs.
 
-Fingerprints only estimate similarity. With ``similarity`` they choose candidates: the
-candidates of a block meet again with their texts, and only pairs whose sets of shingles
-have that Jaccard similarity are linked.
+Fingerprints only estimate similarity. With ``similarity`` they choose candidates: nodes
+that candidate links connect are a family, the sets of shingles of its members are
+compared, and only pairs that have that Jaccard similarity are linked.
 """
 
 from __future__ import annotations
@@ -38,9 +38,9 @@ SEED = 42
 MINIMA = 6
 #: Fingerprints of a block; a key with more is split into blocks that meet in pairs.
 BLOCK = 2048
-#: Shingles of a block whose texts are compared; a key with more is dealt too.
-WEIGHT = 1 << 20
-#: Keys known to be larger (or heavier) than a block, at most: they are broadcast (16 bytes each).
+#: Members of a family that meet in a unit of a comparison by sets, and their shingles; a family with more is dealt.
+MEMBERS, WEIGHT = 256, 1 << 19
+#: Keys known to be larger than a block, at most: they are broadcast (16 bytes each).
 LARGE_KEYS = 1_000_000
 #: Shingles that are unpacked to bits at once.
 AT_ONCE = 1 << 17
@@ -109,23 +109,21 @@ def with_fingerprint(
 ) -> DataFrame:
     """Add ``print`` (8 bytes a lane, big-endian) and, if asked for, ``minima`` (array of long).
 
-    With ``sets`` a repeated shingle counts once, and ``node`` (a hash of the set) and
-    ``weight`` (its size) are added.
+    With ``sets`` a repeated shingle counts once, and ``node`` (a hash of the set) is added.
     """
     fields = [StructField("print", BinaryType())] + [StructField("minima", ArrayType(LongType()))] * bool(minima)
-    fields += [StructField("node", LongType()), StructField("weight", LongType())] * sets
+    fields += [StructField("node", LongType())] * sets
 
     def make(batches):
         for batch in batches:
             texts = as_bytes(batch[text_col])
-            found, least, nodes, sizes = [], [], [], []
+            found, least, nodes = [], [], []
             # A few texts at a time: their hashes are held together.
             for i in range(0, len(texts), 256):
                 parts = [shingle_hashes(t, words) for t in texts[i : i + 256]]
                 if sets:
                     parts = [np.unique(part) for part in parts]
                     nodes += [_signed(xxhash.xxh64_intdigest(part.tobytes(), SEED)) for part in parts]
-                    sizes += [len(part) for part in parts]
                 prints, smallest = fingerprints(parts, lanes, minima)
                 found += [row.astype(">u8").tobytes() for row in prints]
                 least += smallest.view(np.int64).tolist()
@@ -133,7 +131,7 @@ def with_fingerprint(
             if minima:
                 out["minima"] = pa.array(least, pa.list_(pa.int64()))
             if sets:
-                out |= {"node": pa.array(nodes, pa.int64()), "weight": pa.array(sizes, pa.int64())}
+                out["node"] = pa.array(nodes, pa.int64())
             yield out
 
     return with_columns(docs, [text_col], StructType(fields), make)
@@ -244,31 +242,25 @@ def band_keys(nodes: DataFrame, radius: int) -> DataFrame:
     return nodes.select(F.explode(F.array(*keys)).alias("key"), "node", bytes_)
 
 
-def minima_keys(rows: DataFrame, *more: str) -> DataFrame:
+def minima_keys(rows: DataFrame) -> DataFrame:
     """(key, node, print): a row for each smallest shingle hash of the texts behind a fingerprint."""
     keys = F.explode(F.transform("minima", lambda m, i: F.xxhash64(m, i))).alias("key")
-    return rows.select(keys, "node", "print", *more).distinct()
+    return rows.select(keys, "node", "print").distinct()
 
 
-def links(keyed: DataFrame, lanes: int, radius: int, grouped: bool = False) -> DataFrame:
+def links(keyed: DataFrame, lanes: int, radius: int) -> DataFrame:
     """Edges (a, b) between nodes whose fingerprints are close: a spanning forest for each block.
 
-    If ``grouped``, (group, node) instead: the nodes of each tree of a block's forest, under
-    a hash of the whole list, so that a list found by several keys is there once. Blocks are
-    bounded by the sum of ``weight`` then, too.
-
     ``keyed`` has ``key``, ``node`` (both long) and ``print``. Rows of one key are sorted
     together; keys of a single row are passed over, short keys share a
     block, and a key with more than ``BLOCK`` rows is dealt to blocks that meet in pairs,
     each pair in a group of its own.
     """
-    weight = F.sum("weight") if grouped else F.lit(0)
-    sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size"), weight.alias("weight"))
-    total, heavy = (n or 0 for n in sizes.agg(F.sum("size"), F.sum("weight")).first())
+    sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
+    total = sizes.agg(F.sum("size")).first()[0] or 0
     # Keys above a border cannot be more than LARGE_KEYS.
-    over = (F.col("size") > max(BLOCK, total // LARGE_KEYS)) | (F.col("weight") > max(WEIGHT, heavy // LARGE_KEYS))
-    wanted = F.least("size", F.ceil(F.greatest(F.col("size") / BLOCK, F.col("weight") / WEIGHT)))
-    large = sizes.where(over & (F.col("size") > 1)).select("key", wanted.cast("int").alias("parts"))
+    over = F.col("size") > max(BLOCK, total // LARGE_KEYS)
+    large = sizes.where(over).select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("parts"))
     parts = F.coalesce("parts", F.lit(1))
     mine = F.pmod(F.xxhash64("node", F.lit(7)), parts).cast("int")
     placed = (
@@ -286,21 +278,9 @@ def links(keyed: DataFrame, lanes: int, radius: int, grouped: bool = False) -> D
             prints = np.concatenate([b[1] for b in blocks])
             side = int((blocks[0][2] == blocks[0][2].min()).sum()) if blocks[0][3] else None
             root = forest(prints, radius, side)
-            if grouped:
-                return trees(nodes_, root, np.repeat(np.arange(len(blocks)), [len(b[0]) for b in blocks]))
             linked = np.flatnonzero(root != np.arange(len(root)))
             return pa.RecordBatch.from_arrays([pa.array(nodes_[linked]), pa.array(nodes_[root[linked]])], names=["a", "b"])
 
-        def trees(nodes_: np.ndarray, root: np.ndarray, block: np.ndarray):
-            """The nodes that one block has of each tree; those of several blocks stay apart."""
-            order = np.lexsort((nodes_, root, block))
-            cuts = np.flatnonzero((np.diff(root[order]) != 0) | (np.diff(block[order]) != 0)) + 1
-            lists = [part for part in np.split(nodes_[order], cuts) if len(part) > 1]
-            names = [_signed(xxhash.xxh64_intdigest(part.tobytes(), SEED)) for part in lists]
-            named = np.repeat(np.array(names, np.int64), [len(part) for part in lists])
-            members = np.concatenate([np.zeros(0, np.int64), *lists])
-            return pa.RecordBatch.from_arrays([pa.array(named), pa.array(members)], names=["group", "node"])
-
         def groups():
             """Rows of one (key, low, high), in order; they may span Arrow batches."""
             rest = None
@@ -336,66 +316,145 @@ def links(keyed: DataFrame, lanes: int, radius: int, grouped: bool = False) -> D
         if held:
             yield flush(held)
 
-    made = "group long, node long" if grouped else "a long, b long"
-    return placed.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "mine").mapInArrow(compare, made)
+    return placed.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "mine").mapInArrow(compare, "a long, b long")
+
+
+def similar(a: np.ndarray, b: np.ndarray, similarity: tuple[int, int]) -> bool:
+    """Whether two sorted sets have at least this Jaccard similarity (a fraction)."""
+    part, whole = similarity
+    if whole * min(len(a), len(b)) < part * max(len(a), len(b)):
+        return False
+    common = len(a) + len(b) - len(np.union1d(a, b))
+    return whole * common >= part * (len(a) + len(b) - common)
+
 
+def alike(sets: list[np.ndarray], similarity: tuple[int, int], asking: np.ndarray | None = None) -> np.ndarray:
+    """For each set one that it is reached from over pairs of at least this Jaccard similarity (a fraction).
 
-def alike(sets: list[np.ndarray], similarity: tuple[int, int]) -> np.ndarray:
-    """For each set one that it is reached from over pairs of at least this Jaccard similarity (a fraction)."""
+    With ``asking`` (marks) only pairs count of which one or both are marked.
+    """
     part, whole = similarity
     order = np.argsort([len(s) for s in sets], kind="stable")
+    asks = np.ones(len(sets), dtype=bool) if asking is None else asking[order]
     sizes = np.array([len(sets[i]) for i in order], dtype=np.int64)
     codes = np.unique(np.concatenate([sets[i] for i in order]), return_inverse=True)[1]
     ends = np.cumsum(sizes)
     starts = ends - sizes
-    # A larger set than this cannot be similar enough.
-    limits = np.searchsorted(sizes, sizes * whole // part, side="right")
+    # Smaller and larger sets than these cannot be similar enough.
+    lows = np.maximum(np.searchsorted(sizes, -(-sizes * part // whole)), int((sizes == 0).sum()))
+    highs = np.searchsorted(sizes, sizes * whole // part, side="right")
     root = np.arange(len(sets))
     mine = np.zeros(int(codes.max(initial=-1)) + 1, dtype=bool)
-    for i in range(int((sizes == 0).sum()), len(sets)):
-        after, limit = i + 1, int(limits[i])
-        if not (root[after:limit] != root[i]).any():
+    for i in np.flatnonzero(asks & (sizes > 0)).tolist():
+        # A pair of two marked sets is met once.
+        low, high = (int(lows[i]), int(highs[i])) if asking is not None else (i + 1, int(highs[i]))
+        if low >= high or not (root[low:high] != root[i]).any():
             continue
         mine[codes[starts[i] : ends[i]]] = True
-        common = np.add.reduceat(mine[codes[starts[after] : ends[limit - 1]]], starts[after:limit] - starts[after], dtype=np.int64)
+        common = np.add.reduceat(mine[codes[starts[low] : ends[high - 1]]], starts[low:high] - starts[low], dtype=np.int64)
         mine[codes[starts[i] : ends[i]]] = False
-        hit = whole * common >= part * (sizes[i] + sizes[after:limit] - common)
-        root[np.isin(root, root[after:limit][hit])] = root[i]
+        hit = whole * common >= part * (sizes[i] + sizes[low:high] - common)
+        root[np.isin(root, root[low:high][hit])] = root[i]
     out = np.arange(len(sets))
     out[order] = order[root]
     return out
 
 
-def verified(groups: DataFrame, rows: DataFrame, texts: DataFrame, words: int, similarity: tuple[int, int]) -> DataFrame:
-    """Edges (a, b) between nodes of a group whose sets of shingles are similar: a spanning forest for each group.
+def _sets(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(value, dtype="<u8") for value in column.to_pylist()]
+
 
-    ``groups`` has ``group`` and ``node``, ``rows`` has ``node`` and ``said``, ``texts`` has
-    ``said`` and ``text``. Equal texts shrink before the shuffle.
+def shingle_sets(families: DataFrame, rows: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """(family, node, hub, weight, shingles): the sorted set of each candidate, hashed once; ``hub`` is a node of the family.
+
+    ``rows`` has ``node`` and ``said``, ``texts`` has ``said`` and ``text``. Equal texts
+    shrink before the shuffle.
     """
     spoken = rows.groupBy("node").agg(F.min("said").alias("said"))
     unique = texts.groupBy("said").agg(F.first("text").alias("text"))
-    placed = groups.join(spoken, "node").join(unique, "said").select("group", "node", "text")
+    first = F.min(F.struct(F.xxhash64("node"), F.col("node").alias("hub"))).alias("first")
+    hubs = families.groupBy("family").agg(first).select("family", "first.hub")
+    named = join_dealt(families, hubs, "family", "node", families.count())
+    placed = named.join(spoken, "node").join(unique, "said").select("family", "node", "hub", "text")
+
+    def make(batches: Iterator[dict]) -> Iterator[dict]:
+        for batch in batches:
+            sets = [np.unique(shingle_hashes(t, words)) for t in as_bytes(batch["text"])]
+            yield {
+                "weight": pa.array([len(s) for s in sets], pa.int64()),
+                "shingles": pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary()),
+            }
+
+    added = StructType([StructField("weight", LongType()), StructField("shingles", BinaryType())])
+    return checkpointed(with_columns(placed, ["text"], added, make).drop("text"))
+
+
+def verified(sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """Edges (a, b) that connect what pairs of a family with that similarity of their sets connect.
+
+    Every member is compared with one of the family, the hub; those that are similar to it
+    need no other comparison among themselves. The rest meet all members of their family, in units of at
+    most ``MEMBERS`` of either side: a large family is dealt over many units.
+    """
+    total = sets.count()
+    hubs = sets.where(F.col("node") == F.col("hub")).select("family", F.col("shingles").alias("of_hub"))
+    met = join_dealt(sets, hubs, "family", "node", total)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = ["family", "node", "hub", "weight"]
+            columns = [batch.column(batch.schema.get_field_index(name)) for name in names]
+            pairs = zip(*[_sets(batch.column(batch.schema.get_field_index(name))) for name in ("shingles", "of_hub")], strict=True)
+            near = pa.array([similar(a, b, similarity) for a, b in pairs], pa.bool_())
+            yield pa.RecordBatch.from_arrays([*columns, near], names=[*names, "near"])
+
+    judged = checkpointed(met.mapInArrow(judge, "family long, node long, hub long, weight long, near boolean"))
+    found = judged.where(F.col("near") & (F.col("node") != F.col("hub"))).select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    far = ~F.col("near")
+    stats = judged.groupBy("family").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("weight").alias("heavy"),
+        F.count_if(far).alias("n_far"), F.sum(F.when(far, F.col("weight")).otherwise(0)).alias("heavy_far"),
+    )
+    parts = lambda n, heavy: F.ceil(F.greatest(F.col(n) / MEMBERS, F.least(n, F.col(heavy) / WEIGHT))).cast("int")
+    # Two members are settled by the hub.
+    left = checkpointed(
+        stats.where((F.col("n_far") > 0) & (F.col("n") > 2)).select("family", parts("n_far", "heavy_far").alias("rows"), parts("n", "heavy").alias("columns"))
+    )
+    if left.isEmpty():
+        return found
+    open_ = join_dealt(judged.select("family", "node", "near"), left, "family", "node", total).where(F.col("rows").isNotNull())
+    # Each set travels once more, for the families that are left.
+    members = sets.select("node", "shingles").join(open_, "node")
+    spot = lambda parts_: F.pmod(F.xxhash64("node", F.lit(7)), F.col(parts_)).cast("int")
+    every = lambda parts_: F.explode(F.sequence(F.lit(0), F.col(parts_) - 1))
+    unit = ["family", "row", "column"]
+    asking = members.where(~F.col("near")).withColumn("row", spot("rows")).withColumn("column", every("columns"))
+    asked = members.withColumn("column", spot("columns")).withColumn("row", every("rows"))
+    both = asking.withColumn("asks", F.lit(True)).unionByName(asked.withColumn("asks", F.lit(False)))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush():
-            root = alike(sets, similarity)
+            nodes, firsts = np.unique(np.array(held["node"], dtype=np.int64), return_index=True)
+            asking_ = np.isin(nodes, np.array([n for n, a in zip(held["node"], held["asks"], strict=True) if a], dtype=np.int64))
+            root = alike([held["set"][i] for i in firsts], similarity, asking_)
             linked = np.flatnonzero(root != np.arange(len(root)))
-            names = np.array(nodes, dtype=np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(names[linked]), pa.array(names[root[linked]])], names=["a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array(nodes[linked]), pa.array(nodes[root[linked]])], names=["a", "b"])
 
-        current, nodes, sets = None, [], []
+        current, held = None, {"node": [], "asks": [], "set": []}
         for batch in batches:
-            for group, node, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                if group != current:
-                    if len(nodes) > 1:
+            keys = zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True)
+            for key, node, asks, set_ in zip(keys, batch.column(3).to_pylist(), batch.column(4).to_pylist(), _sets(batch.column(5)), strict=True):
+                if key != current:
+                    if current is not None:
                         yield flush()
-                    current, nodes, sets = group, [], []
-                nodes.append(node)
-                sets.append(np.unique(shingle_hashes((text.as_py() or "").encode(), words)))
-        if len(nodes) > 1:
+                    current, held = key, {"node": [], "asks": [], "set": []}
+                for name, value in (("node", node), ("asks", asks), ("set", set_)):
+                    held[name].append(value)
+        if current is not None:
             yield flush()
 
-    return placed.repartition("group").sortWithinPartitions("group").mapInArrow(compare, "a long, b long")
+    units = both.select(*unit, "node", "asks", "shingles").repartition(*unit).sortWithinPartitions(*unit)
+    return found.unionByName(units.mapInArrow(compare, "a long, b long"))
 
 
 # --- operator -------------------------------------------------------------------------
@@ -453,8 +512,9 @@ def group_near_duplicates(
         rows = checkpointed(printed.withColumn("node", node))
     nodes = rows.groupBy("node").agg(F.min("doc_id").alias("least"))
     if similarity:
-        groups = links(minima_keys(rows, "weight"), lanes, radius, grouped=True).distinct()
-        found = verified(groups, rows, slim.select(said, "text"), words, similarity)
+        candidates = components(checkpointed(links(minima_keys(rows), lanes, radius)))
+        families = candidates.withColumnRenamed("component", "family")
+        found = verified(shingle_sets(families, rows, slim.select(said, "text"), words), similarity)
     else:
         found = links(minima_keys(rows) if minima else band_keys(nodes, radius), lanes, radius)
     reached = components(checkpointed(found))

@@ -189,12 +189,59 @@ def test_keep_one_joins_by_true_similarity(spark, make_docs, monkeypatch):
     for _ in range(2):
         want.append(len(texts))
         texts.append(" ".join(["same"] * 2000 + [f"u{rng.randrange(10**9)}" for _ in range(100)]))
-    for weight in (simhash.WEIGHT, 500):
+    for weight, members in ((simhash.WEIGHT, 256), (500, 256), (1 << 20, 2)):
         monkeypatch.setattr(simhash, "WEIGHT", weight)
+        monkeypatch.setattr(simhash, "MEMBERS", members)
         kept = corpus_pipeline.drop_near_duplicates(spark, make_docs(enumerate(texts)), "")
         assert sorted(r.doc_id for r in kept.collect()) == want
 
 
+@pytest.mark.parametrize("members", [256, 5])
+def test_verified_families_equal_all_pairs(spark, monkeypatch, members):
+    """Families whose hub is near some members, near none, or has copies; dealt and whole."""
+    monkeypatch.setattr(simhash, "MEMBERS", members)
+    monkeypatch.setattr(components, "DEALT", 4)
+    rng = np.random.default_rng(3)
+    rows = []
+    for family in range(6):
+        base = rng.permutation(5000)[:60]
+        for n in range(4 + 6 * family):
+            own = base if n % 3 else np.r_[base[:30], rng.permutation(5000)[:30]]
+            own = np.unique(np.r_[own[: 60 - n % 9], rng.integers(0, 9000, n % 4)]).astype("<u8")
+            rows.append((family, 100 * family + n, len(own), own.tobytes()))
+    hubs = {}
+    for family, node, _, _ in rows:
+        hubs.setdefault(family, node + family % 3)
+    frame = spark.createDataFrame([(f, n, hubs[f], w, s) for f, n, w, s in rows], "family long, node long, hub long, weight long, shingles binary")
+    sets = {n: set(np.frombuffer(s, "<u8").tolist()) for _, n, _, s in rows}
+    family = {n: f for f, n, _, _ in rows}
+    near = lambda a, b: family[a] == family[b] and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])
+    edges = simhash.verified(frame, (4, 5)).collect()
+    top = smallest_reachable(sorted(sets), near)
+    found = {pair for e in edges for pair in ((e.a, e.b), (e.b, e.a))}
+    made = smallest_reachable(sorted(sets), lambda a, b: (a, b) in found)
+    assert {frozenset(n for n in sets if top[n] == t) for t in top.values()} == {frozenset(n for n in sets if made[n] == t) for t in made.values()}
+    assert 6 < len(set(top.values())) < len(sets)
+
+
+def test_alike_of_asking_sets_only():
+    rng = np.random.default_rng(7)
+    bases = [rng.permutation(400)[:30] for _ in range(4)]
+    sets = [np.unique(np.r_[bases[i % 4][: 30 - i % 6], rng.integers(0, 999, i % 5)]).astype(np.uint64) for i in range(60)] + [np.zeros(0, np.uint64)] * 2
+    asking = rng.random(62) < 0.3
+
+    def near(a, b):
+        both = len(np.intersect1d(sets[a], sets[b]))
+        return (asking[a] or asking[b]) and both and 5 * both >= 4 * (len(sets[a]) + len(sets[b]) - both)
+
+    root, top = simhash.alike(sets, (4, 5), asking), smallest_reachable(list(range(62)), near)
+    assert {frozenset(np.flatnonzero(root == r).tolist()) for r in root} == {frozenset(n for n in top if top[n] == t) for t in top.values()}
+    for a, b in itertools.combinations(range(0, 62, 3), 2):
+        both = len(np.intersect1d(sets[a], sets[b]))
+        whole = len(sets[a]) + len(sets[b]) - both
+        assert simhash.similar(sets[a], sets[b], (4, 5)) == (5 * both >= 4 * whole)
+
+
 def test_alike_equals_brute_force():
     rng = np.random.default_rng(22)
     bases = [rng.permutation(1000)[:40].astype(np.uint64) for _ in range(8)]
