@@ -44,6 +44,16 @@ def use_checkpoint_dir(spark: SparkSession) -> None:
     context.setCheckpointDir(folder)
 
 
+def packed(names: list[str]) -> Column:
+    """The named columns as one struct: whatever their names, none meets a column of an operator."""
+    return F.struct(*[F.col(f"`{name}`") for name in names]) if names else F.struct(F.lit(0).alias("none"))
+
+
+def unpacked(names: list[str], column: str = "_kept") -> list[Column]:
+    """The columns of a struct that ``packed`` made."""
+    return [F.col(f"{column}.`{name}`").alias(name) for name in names]
+
+
 def without(df: DataFrame, names: list[str]) -> DataFrame:
     """``df`` without the columns that an operator is about to add."""
     taken = {name.lower() for name in names}

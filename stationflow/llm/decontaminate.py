@@ -1,13 +1,14 @@
 """Find benchmark passages in documents by a broadcast set of word n-grams.
 
 Items are cut to words; each run of ``n`` words is a window (a shorter item is one window).
-The hashes of all windows, and the windows themselves for the check, are broadcast. Tasks
+The hashes of all windows, and the words themselves for the check, are broadcast. Tasks
 turn whole documents into arrays of word numbers, roll a hash over them, look the hashes
 up and verify each hit word by word.
 
-The benchmark is broadcast in blocks of at most ``BLOCK_WINDOWS`` windows. One block is the
-rule and needs one pass and no shuffle. More blocks are one pass each, and their hits are
-joined by row, so the broadcast stays bounded however large the benchmark.
+The benchmark is broadcast in blocks of at most ``BLOCK_WINDOWS`` windows, as sorted arrays
+that are built once. One block is the rule and needs one pass and no shuffle. More blocks
+are one pass each, one after the other, and their hits are joined by text, so the broadcast
+stays bounded however large the benchmark.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, StructField, StructType
 
-from .common import as_bytes, small_batches, with_columns
+from .common import as_bytes, checkpointed, packed, small_batches, unpacked, with_columns
 
 BLOCK_WINDOWS = 1_000_000
 #: Words of a batch that are hashed at once.
@@ -46,43 +47,85 @@ def _rolled(numbers: np.ndarray, size: int) -> np.ndarray:
 
 
 class Windows:
-    """The windows of a block of items, ready for lookup."""
+    """The windows of a block of items as sorted arrays, ready for lookup.
+
+    Built once for a block and broadcast: words in one string, items as runs of word
+    numbers, and for each window size the hashes in order, each with the place of its
+    window and its item. Tasks only number the words.
+    """
 
     def __init__(self, items: list[tuple[str | None, bytes]], n: int):
-        self.number: dict[bytes, int] = {}
-        self.items: dict[tuple[int, ...], set[str | None]] = {}
+        number: dict[bytes, int] = {}
+        self.names = sorted({item for item, _ in items}, key=lambda i: (i is not None, i or ""))
+        place = {name: at for at, name in enumerate(self.names)}
+        runs: list[np.ndarray] = []
+        owners: list[int] = []
         for item, text in items:
-            words = [self.number.setdefault(w, len(self.number) + 1) for w in words_of(text)]
-            size = min(n, len(words))
-            for i in range(len(words) - size + 1 if words else 0):
-                self.items.setdefault(tuple(words[i : i + size]), set()).add(item)
-        self.hashes: dict[int, np.ndarray] = {}
-        for size in {len(w) for w in self.items}:
-            rows = np.array([w for w in self.items if len(w) == size], dtype=np.int64)
-            self.hashes[size] = np.unique(np.concatenate([_rolled(row, size) for row in rows]))
-
-    def hits(self, documents: list[list[bytes]]) -> list[tuple[np.ndarray, set]]:
+            words = words_of(text)
+            if words:
+                runs.append(np.array([number.setdefault(w, len(number) + 1) for w in words], dtype=np.int64))
+                owners.append(place[item])
+        self.words = b" ".join(number)
+        #: Made by the task that first scans.
+        self._number: dict[bytes, int] | None = None
+        self.flat = np.concatenate(runs) if runs else np.zeros(0, np.int64)
+        lengths = np.array([len(run) for run in runs], dtype=np.int64)
+        starts = np.cumsum(lengths) - lengths
+        sizes = np.minimum(lengths, n)
+        self.known: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        for size in np.unique(sizes).tolist():
+            rolled = _rolled(self.flat, size)
+            those = np.flatnonzero(sizes == size)
+            counts = lengths[those] - size + 1
+            at = np.repeat(starts[those] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+            owner = np.repeat(np.array(owners)[those], counts)
+            order = np.lexsort((at, owner, rolled[at]))
+            at, owner = at[order], owner[order]
+            # The same window once more in its item says nothing new.
+            same = np.zeros(len(at), dtype=bool)
+            same[1:] = (rolled[at[1:]] == rolled[at[:-1]]) & (owner[1:] == owner[:-1])
+            same[same] = self._equal(self.flat, at[same], at[np.flatnonzero(same) - 1], size)
+            self.known[size] = rolled[at[~same]], at[~same], owner[~same]
+
+    def _equal(self, numbers: np.ndarray, a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
+        """Whether the ``size`` numbers at ``a`` are those of the items at ``b``."""
+        out = np.ones(len(a), dtype=bool)
+        for j in range(size):
+            out &= numbers[a + j] == self.flat[b + j]
+        return out
+
+    def numbering(self) -> dict[bytes, int]:
+        return {word: at for at, word in enumerate(self.words.split(b" "), 1)} if self.words else {}
+
+    def hits(self, documents: list[list[bytes]], number: dict[bytes, int]) -> list[tuple[np.ndarray, set]]:
         """For each document the numbers of the words hit, and the items that occur."""
         lengths = np.array([len(words) for words in documents], dtype=np.int64)
         # A zero, which no window holds, stands after each document.
         ends = np.cumsum(lengths + 1)
         starts = ends - lengths - 1
         numbers = np.zeros(int(ends[-1]) if len(ends) else 0, dtype=np.int64)
-        find = self.number.get
+        find = number.get
         for start, words in zip(starts.tolist(), documents, strict=True):
             numbers[start : start + len(words)] = [find(word, 0) for word in words]
         marks = np.zeros(len(numbers) + 1, dtype=np.int64)
         found: list[set] = [set() for _ in documents]
-        for size, known in self.hashes.items():
+        for size, (known, at, owner) in self.known.items():
             rolled = _rolled(numbers, size)
-            at = np.searchsorted(known, rolled)
-            at[at == len(known)] = 0
-            for place in np.flatnonzero(known[at] == rolled).tolist():
-                items = self.items.get(tuple(numbers[place : place + size].tolist()))
-                if items:
-                    marks[place] += 1
-                    marks[place + size] -= 1
-                    found[int(np.searchsorted(ends, place, side="right"))] |= items
+            low = np.searchsorted(known, rolled)
+            low[low == len(known)] = 0
+            places = np.flatnonzero(known[low] == rolled)
+            low = low[places]
+            # Every entry of a hash is verified word by word.
+            counts = np.searchsorted(known, rolled[places], side="right") - low
+            entry = np.repeat(low - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+            place = np.repeat(places, counts)
+            good = self._equal(numbers, place, at[entry], size)
+            place, item = place[good], owner[entry[good]]
+            np.add.at(marks, np.unique(place), 1)
+            np.add.at(marks, np.unique(place) + size, -1)
+            document = np.searchsorted(ends, place, side="right")
+            for pair in np.unique(document * len(self.names) + item).tolist():
+                found[pair // len(self.names)].add(self.names[pair % len(self.names)])
         inside = np.cumsum(marks) > 0
         return [
             (np.flatnonzero(inside[start : start + size]), items)
@@ -93,11 +136,13 @@ class Windows:
         """(words, numbers of the words hit, items) of each text, some texts at a time."""
         held: list[list[bytes]] = []
         size = 0
+        if self._number is None:
+            self._number = self.numbering()
         for i, text in enumerate(texts):
             held.append(words_of(text))
             size += len(held[-1])
             if size >= WORDS_AT_ONCE or i == len(texts) - 1:
-                yield from ((words, *hit) for words, hit in zip(held, self.hits(held), strict=True))
+                yield from ((words, *hit) for words, hit in zip(held, self.hits(held, self._number), strict=True))
                 held, size = [], 0
 
 
@@ -157,7 +202,9 @@ def mark(
     """
     small_batches(docs.sparkSession)
     context = docs.sparkSession.sparkContext
-    blocks = [context.broadcast(block) for block in _blocks(benchmark, item_col, item_text, block_windows)]
+    blocks = _blocks(benchmark, item_col, item_text, block_windows)
+    block = next(blocks)
+    following = next(blocks, None)
     added = StructType([StructField(text_col, StringType()), *ADDED.fields]) if remove_spans else ADDED
 
     def columns(texts, hits):
@@ -174,20 +221,20 @@ def mark(
             out[text_col] = pa.array(clean, pa.string())
         return out
 
-    if len(blocks) == 1:
-        (block,) = blocks
+    if following is None:
+        held = context.broadcast(Windows(block, n))
 
         def scan(batches):
-            windows = Windows(block.value, n)
+            windows = held.value
             for batch in batches:
                 texts = as_bytes(batch[text_col])
                 yield columns(texts, [(len(words), hit, items) for words, hit, items in windows.scan(texts)])
 
         return with_columns(docs, [text_col], added, scan)
 
-    def partial(block):
+    def partial(held):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            windows = Windows(block.value, n)
+            windows = held.value
             for batch in batches:
                 found = [(hit, items) for _, hit, items in windows.scan(as_bytes(batch.column(1)))]
                 some = [i for i, (hit, _) in enumerate(found) if len(hit)]
@@ -197,27 +244,36 @@ def mark(
                         pa.array([found[i][0].tolist() for i in some], pa.list_(pa.int64())),
                         pa.array([sorted(x for x in found[i][1] if x is not None) for i in some], pa.list_(pa.string())),
                     ],
-                    names=["_row", "_hit", "_items"],
+                    names=["row", "hit", "items"],
                 )
 
-        return slim.mapInArrow(run, "_row long, _hit array<long>, _items array<string>")
-
-    # Hits depend on the text alone, so rows are told apart by it.
-    slim = docs.where(F.col(text_col).isNotNull()).select(F.xxhash64(text_col).alias("_row"), text_col).dropDuplicates(["_row"])
-    found = [partial(block) for block in blocks]
-    hits = found[0]
-    for other in found[1:]:
-        hits = hits.unionByName(other)
-    hits = hits.groupBy("_row").agg(
-        F.array_distinct(F.flatten(F.collect_list("_hit"))).alias("_hit"),
-        F.array_distinct(F.flatten(F.collect_list("_items"))).alias("_items"),
+        return slim.mapInArrow(run, "row binary, hit array<long>, items array<string>")
+
+    # Hits depend on the text alone, so rows are told apart by it: by 256 bits, which no two texts share.
+    row = F.unhex(F.sha2(text_col, 256))
+    slim = docs.where(F.col(text_col).isNotNull()).select(row.alias("row"), text_col)
+    hits = None
+    while block is not None:
+        # One block at a time: its hits are written before the next is sent.
+        held = context.broadcast(Windows(block, n))
+        found = checkpointed(partial(held).distinct())
+        held.unpersist()
+        hits = found if hits is None else hits.unionByName(found)
+        block, following = following, next(blocks, None)
+    hits = hits.groupBy("row").agg(
+        F.array_distinct(F.flatten(F.collect_set("hit"))).alias("hit"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items")
     )
-    joined = docs.withColumn("_row", F.xxhash64(text_col)).join(hits, "_row", "left").drop("_row")
+    names = docs.columns
+    apart = docs.select(packed(names).alias("_kept"), F.col(text_col).alias("_text"), row.alias("row")).join(hits, "row", "left")
 
     def merge(batches):
         for batch in batches:
-            texts = as_bytes(batch[text_col])
-            pairs = zip(texts, batch["_hit"].to_pylist(), batch["_items"].to_pylist(), strict=True)
-            yield columns(texts, [(len(words_of(t)), np.sort(np.array(h or [], np.int64)), set(i or ())) for t, h, i in pairs])
-
-    return with_columns(joined, [text_col, "_hit", "_items"], added, merge).drop("_hit", "_items")
+            texts = as_bytes(batch["_text"])
+            pairs = zip(texts, batch["hit"].to_pylist(), batch["items"].to_pylist(), strict=True)
+            made = columns(texts, [(len(words_of(t)), np.sort(np.array(h or [], np.int64)), set(i or ())) for t, h, i in pairs])
+            yield {"_made": pa.StructArray.from_arrays([made[name] for name in added.names], names=added.names)}
+
+    made = with_columns(apart, ["_text", "hit", "items"], StructType([StructField("_made", added)]), merge)
+    new = {name.lower(): name for name in added.names}
+    replaced = [F.col(f"_made.{new.pop(name.lower())}").alias(name) if name.lower() in new else unpacked([name])[0] for name in names]
+    return made.select(*replaced, *[F.col(f"_made.{name}").alias(name) for name in new.values()])

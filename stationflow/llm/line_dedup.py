@@ -7,10 +7,14 @@
    fingerprint, count, keeper.
 3. Documents probe the arrays line by line. Texts are not shuffled and lines not joined.
 
-The arrays are broadcast in groups of shards of at most ``GROUP_BYTES``. As a rule there is
-one group, and the texts are cut in the same pass. With more groups each is one pass that
-yields the places of lines to drop, and the places are joined to the documents at the end,
-so memory stays bounded however many lines repeat.
+As a rule all arrays together have at most ``GROUP_BYTES``: they are broadcast, and the
+texts are cut in the same pass. Larger ones stay where they were written: each document
+sends the hashes of its lines to the shards, whose arrays meet them in a task, and the hashes of lines
+that go come back. A shard whose lines very many documents hold has several copies. Nothing
+passes through the driver then, and no text is shuffled but with its answer at the end.
+
+The index holds the keys that were found in enough documents. ``counts`` is kept, so the
+same index serves a higher limit.
 """
 
 from __future__ import annotations
@@ -24,10 +28,12 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from .common import as_bytes, checkpointed, small_batches, with_columns
+from .common import as_bytes, checkpointed, packed, small_batches, unpacked, with_columns
 
 SHARD_KEYS = 1 << 16
 GROUP_BYTES = 64 << 20
+#: Lines that one copy of a shard is asked for, as a rule; shards with more copies, at most (they are broadcast).
+ASKS, LARGE_SHARDS = 1 << 20, 1_000_000
 #: Bytes of the arrays for each key, the hash itself included.
 KEY_BYTES = 28
 SEEDS = (42, 2_654_435_761)
@@ -134,7 +140,7 @@ def _build(keys: pd.DataFrame) -> pd.DataFrame:
     prints, counts, keepers = np.empty(len(at), np.uint64), np.empty(len(at), np.int32), np.empty(len(at), np.int64)
     prints[at], counts[at], keepers[at] = second, np.minimum(keys["docs"], 2**31 - 1), keys["keeper"]
     parts = {"hash": made.dump(), "prints": prints.tobytes(), "counts": counts.tobytes(), "keepers": keepers.tobytes()}
-    return pd.DataFrame([{"shard": keys["shard"].iloc[0], **parts}])
+    return pd.DataFrame([{"shard": keys["shard"].iloc[0], "asks": int(keys["docs"].sum()), **parts}])
 
 
 class Probe:
@@ -207,11 +213,91 @@ def _shards(docs: DataFrame, id_col: str, text_col: str, least: int, min_docs: i
     built = (
         keys.withColumn("shard", shard)
         .groupBy("shard")
-        .applyInPandas(_build, "shard long, hash binary, prints binary, counts binary, keepers binary")
+        .applyInPandas(_build, "shard long, asks long, hash binary, prints binary, counts binary, keepers binary")
     )
     return checkpointed(built), n
 
 
+def _lines_of(text: bytes, gone: list[dict], least: int) -> set[int]:
+    """Numbers of the lines whose hashes are among those that go."""
+    found = long_keys(text, least)
+    first, second = hashes([key for _, key in found])
+    wanted = {(g["first"], g["second"]) for g in gone}
+    pairs = zip(first.view(np.int64).tolist(), second.view(np.int64).tolist(), strict=True)
+    return {number for (number, _), pair in zip(found, pairs, strict=True) if pair in wanted}
+
+
+def _answers(rows: DataFrame, built: DataFrame, n: int, least: int, min_docs: int) -> DataFrame:
+    """(row, gone): for each ``row`` (with its ``text``) the hashes of its lines that go."""
+    asked = StructType(
+        [StructField("shard", LongType()), StructField("first", LongType()), StructField("second", LongType()), StructField("row", rows.schema["row"].dataType)]
+    )
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            owner, firsts, seconds = [], [], []
+            for at, text in enumerate(as_bytes(batch.column(1))):
+                first, second = hashes(list({key: None for _, key in long_keys(text, least)}))
+                owner += [at] * len(first)
+                firsts.append(first)
+                seconds.append(second)
+            first, second = (np.concatenate(c) if c else np.zeros(0, np.uint64) for c in (firsts, seconds))
+            shard = (first % np.uint64(n)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(shard), pa.array(first.view(np.int64)), pa.array(second.view(np.int64)), batch.column(0).take(pa.array(owner, pa.int64()))],
+                names=asked.names,
+            )
+
+    asks = rows.distinct().mapInArrow(ask, asked)
+    copies = F.greatest(F.lit(1), F.ceil(F.col("asks") / ASKS)).cast("int")
+    # Shards above the border cannot be more than LARGE_SHARDS.
+    total = built.agg(F.sum("asks")).first()[0] or 0
+    many = built.where(F.col("asks") > max(ASKS, total // LARGE_SHARDS)).select("shard", copies.alias("copies"))
+    asks = asks.join(F.broadcast(many), "shard", "left").withColumn(
+        "copy", F.pmod(F.xxhash64("row"), F.coalesce("copies", F.lit(1))).cast("int")
+    )
+    arrays = [name for name in built.columns if name not in ("shard", "asks")]
+    held = built.join(F.broadcast(many), "shard", "left").withColumn(
+        "copy", F.explode(F.sequence(F.lit(0), F.coalesce("copies", F.lit(1)) - 1))
+    )
+    none = [F.lit(None).cast("binary").alias(name) for name in arrays]
+    both = held.select(
+        "shard", "copy", F.lit(0).alias("kind"), *arrays, F.lit(None).cast("long").alias("first"), F.lit(None).cast("long").alias("second"),
+        F.lit(None).cast(rows.schema["row"].dataType).alias("row"),
+    ).unionByName(asks.select("shard", "copy", F.lit(1).alias("kind"), *none, "first", "second", "row"))
+    met = both.repartition("shard", "copy").sortWithinPartitions("shard", "copy", "kind")
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, shard = None, None
+        for batch in batches:
+            column = {name: batch.column(batch.schema.get_field_index(name)) for name in batch.schema.names}
+            keys = list(zip(column["shard"].to_pylist(), column["copy"].to_pylist(), strict=True))
+            kinds = column["kind"].to_numpy(zero_copy_only=False)
+            cuts = [i for i in range(len(keys)) if i == 0 or keys[i] != keys[i - 1] or kinds[i] != kinds[i - 1]] + [len(keys)]
+            for start, stop in zip(cuts, cuts[1:], strict=False):
+                if kinds[start] == 0:
+                    key, shard = keys[start], Shard({name: column[name][start].as_py() for name in arrays})
+                    continue
+                # No array, no line that goes.
+                if keys[start] != key:
+                    continue
+                first, second = (column[name].slice(start, stop - start).to_numpy(zero_copy_only=False).astype(np.int64) for name in ("first", "second"))
+                asker = column["row"].slice(start, stop - start)
+                ids = asker.field("id") if hasattr(asker, "field") else asker.combine_chunks().field("id")
+                at = shard.hash.find(first.view(np.uint64), second.view(np.uint64))
+                known = (at >= 0) & (shard.prints[at] == second.view(np.uint64)) & (shard.counts[at] >= min_docs)
+                own = np.array([-1 if i is None else i for i in ids.to_pylist()], dtype=np.int64)
+                none_ = np.array([i is None for i in ids.to_pylist()], dtype=bool)
+                goes = np.flatnonzero(known & (none_ | (shard.keepers[np.maximum(at, 0)] != own)))
+                yield pa.RecordBatch.from_arrays(
+                    [asker.take(pa.array(goes)), pa.array(first[goes]), pa.array(second[goes])], names=["row", "first", "second"]
+                )
+
+    back = StructType([asked["row"], asked["first"], asked["second"]])
+    goes = met.mapInArrow(answer, back)
+    return goes.groupBy("row").agg(F.collect_set(F.struct("first", "second")).alias("gone"))
+
+
 ADDED = StructType([StructField("n_lines", LongType()), StructField("n_dropped", LongType())])
 
 
@@ -239,60 +325,42 @@ def dedup_lines(
     """
     small_batches(docs.sparkSession)
     built, n = _shards(docs, id_col, text_col, least, min_docs, shard_keys)
-    per_group = max(1, group_bytes // (KEY_BYTES * shard_keys))
-    context = docs.sparkSession.sparkContext
-    groups = []
-    for start in range(0, n, per_group):
-        rows = built.where((F.col("shard") >= start) & (F.col("shard") < start + per_group)).collect()
-        rows = [{k: bytes(v) if k != "shard" else v for k, v in row.asDict().items()} for row in rows]
-        groups.append(context.broadcast((rows, n, least, min_docs)))
-
-    text_type = StructType([StructField(text_col, StringType()), *ADDED.fields])
-    if len(groups) == 1:
-        (group,) = groups
+    added = StructType([StructField(text_col, StringType()), *ADDED.fields])
+
+    def columns(texts: list[bytes], gone: list[set[int]]) -> dict:
+        return {
+            text_col: pa.array([_cut(t, g) if g else t.decode("utf-8", "replace") for t, g in zip(texts, gone, strict=True)], pa.string()),
+            "n_lines": pa.array([t.count(b"\n") + 1 for t in texts], pa.int64()),
+            "n_dropped": pa.array([len(g) for g in gone], pa.int64()),
+        }
+
+    if n * shard_keys * KEY_BYTES <= group_bytes:
+        # At most group_bytes, by the number of keys counted.
+        rows = [{k: bytes(v) if isinstance(v, bytearray) else v for k, v in row.asDict().items()} for row in built.collect()]
+        held = docs.sparkSession.sparkContext.broadcast((rows, n, least, min_docs))
 
         def cut(batches):
-            probe = Probe(*group.value)
+            probe = Probe(*held.value)
             for batch in batches:
                 texts = as_bytes(batch[text_col])
-                gone = probe.doomed(texts, batch[id_col].to_pylist())
-                yield {
-                    text_col: pa.array([_cut(t, g) if g else t.decode("utf-8", "replace") for t, g in zip(texts, gone, strict=True)], pa.string()),
-                    "n_lines": pa.array([t.count(b"\n") + 1 for t in texts], pa.int64()),
-                    "n_dropped": pa.array([len(g) for g in gone], pa.int64()),
-                }
-
-        return with_columns(docs, [id_col, text_col], text_type, cut)
-
-    def places(group):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            probe = Probe(*group.value)
-            for batch in batches:
-                gone = probe.doomed(as_bytes(batch.column(1)), batch.column(0).to_pylist())
-                some = [i for i, lines in enumerate(gone) if lines]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(2).take(pa.array(some, pa.int64())), pa.array([sorted(gone[i]) for i in some], pa.list_(pa.int64()))],
-                    names=["_row", "_lines"],
-                )
+                yield columns(texts, probe.doomed(texts, batch[id_col].to_pylist()))
 
-        return docs.select(F.col(id_col).cast("long"), text_col, row.alias("_row")).mapInArrow(run, "_row long, _lines array<long>")
+        return with_columns(docs, [id_col, text_col], added, cut)
 
-    # Rows alike in id and text lose the same lines.
-    row = F.xxhash64(id_col, text_col)
-    found = [places(group) for group in groups]
-    lines = found[0]
-    for other in found[1:]:
-        lines = lines.unionByName(other)
-    lines = lines.distinct().groupBy("_row").agg(F.flatten(F.collect_list("_lines")).alias("_lines"))
-    marked = docs.withColumn("_row", row).join(lines, "_row", "left").drop("_row")
+    # Rows alike in id and text lose the same lines. Of the text 256 bits, which no two texts share.
+    row = F.struct(F.col(id_col).cast("long").alias("id"), F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)).alias("said"))
+    gone = _answers(docs.select(row.alias("row"), F.col(text_col).alias("text")), built, n, least, min_docs)
+    names = docs.columns
+    apart = docs.select(packed(names).alias("_kept"), F.col(text_col).alias("_text"), row.alias("row")).join(gone, "row", "left")
 
-    def cut_marked(batches):
+    def cut_answered(batches):
         for batch in batches:
-            texts, gone = as_bytes(batch[text_col]), [set(g or ()) for g in batch["_lines"].to_pylist()]
-            yield {
-                text_col: pa.array([_cut(t, g) for t, g in zip(texts, gone, strict=True)], pa.string()),
-                "n_lines": pa.array([t.count(b"\n") + 1 for t in texts], pa.int64()),
-                "n_dropped": pa.array([len(g) for g in gone], pa.int64()),
-            }
-
-    return with_columns(marked, [text_col, "_lines"], text_type, cut_marked).drop("_lines")
+            texts = as_bytes(batch["_text"])
+            lines = [_lines_of(t, g, least) if g else set() for t, g in zip(texts, batch["gone"].to_pylist(), strict=True)]
+            made = columns(texts, lines)
+            yield {"_made": pa.StructArray.from_arrays([made[name] for name in added.names], names=added.names)}
+
+    made = with_columns(apart, ["_text", "gone"], StructType([StructField("_made", added)]), cut_answered)
+    new = {name.lower(): name for name in added.names}
+    replaced = [F.col(f"_made.{new.pop(name.lower())}").alias(name) if name.lower() in new else unpacked([name])[0] for name in names]
+    return made.select(*replaced, *[F.col(f"_made.{name}").alias(name) for name in new.values()])

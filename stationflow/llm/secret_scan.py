@@ -19,7 +19,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import checkpointed
+from .common import checkpointed, packed, unpacked
 
 MASK_BITS = 62
 #: Candidate rows (16 bytes each) that are broadcast; more are joined by shuffle.
@@ -194,14 +194,15 @@ def scan(
     id and text together, and rows alike in both have the same secrets. An empty table
     gives an empty one. An input column named ``found`` is replaced.
     """
-    kept = [name for name in (df.columns if keep is None else keep) if name not in ("found", "_key", "_rules")]
+    kept = [name for name in (df.columns if keep is None else keep) if name != "found"]
     picked = checkpointed(candidates(df, rules, id_col, text_col)).select(F.col("key").alias("_key"), F.col("rules").alias("_rules"))
     if picked.count() <= BROADCAST_ROWS:
         picked = F.broadcast(picked)
-    carried = list(dict.fromkeys([*kept, text_col]))
-    rows = df.select(*carried, _row_key(id_col, F.col(text_col)).alias("_key")).join(picked, "_key", "left")
+    carried = [name for name in kept if name != text_col]
+    rows = df.select(packed(carried).alias("_kept"), F.col(text_col).alias("_text"), _row_key(id_col, F.col(text_col)).alias("_key"))
+    rows = rows.join(picked, "_key", "left")
     none = F.array().cast("array<struct<start:bigint,rule:int,end:bigint,kind:string>>")
-    text = F.col(text_col)
+    text = F.col("_text")
     spans = []
     for number, rule in enumerate(rules):
         if trigram_query(rule.pattern):
@@ -209,7 +210,8 @@ def scan(
         else:
             wanted = text.rlike(rule.pattern)
         spans.append(F.when(wanted, _matches(text, rule, number)).otherwise(none))
-    return rows.select(*kept, F.array_sort(F.flatten(F.array(*spans))).alias("found"))
+    mine = {name: column for name, column in zip(carried, unpacked(carried), strict=True)} | {text_col: text.alias(text_col)}
+    return rows.select(*[mine[name] for name in kept], F.array_sort(F.flatten(F.array(*spans))).alias("found"))
 
 
 def written(spans: Column) -> Column:

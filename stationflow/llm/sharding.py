@@ -15,7 +15,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import before, in_order
+from .common import before, in_order, packed, unpacked
 
 ROUNDS = 4
 LONGEST_WALK = 64
@@ -83,16 +83,17 @@ def assign(
     interchangeable: which of them gets which of their places is left open. An empty table
     gives an empty one. Input columns with the names of added ones are replaced.
     """
-    added = ["size", "text_crc32", "law", "row_number", "shard", "slot", "grown_shard", "_hash", "_part", "_at"]
+    added = ["size", "text_crc32", "law", "row_number", "shard", "slot", "grown_shard"]
     text = F.coalesce(F.col(text_col), F.lit("")) if text_col in df.columns else F.lit("")
     kept = [name for name in (df.columns if keep is None else keep) if name not in added]
     narrow = df.select(
-        *kept,
+        packed(kept).alias("_kept"),
+        F.col(id_col).alias("_id"),
         (F.octet_length(text).cast("long") + 16).alias("size"),
         F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
         F.xxhash64(text).alias("_hash"),
     )
-    rows = in_order(narrow, id_col, "size", "text_crc32", "_hash")
+    rows = in_order(narrow, "_id", "size", "text_crc32", "_hash")
     parts = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
     n = parts.agg(F.sum("_rows")).first()[0] or 0
     # One row for each range, so the broadcast is as small as the list of tasks.
@@ -103,7 +104,7 @@ def assign(
         .withColumn("row_number", F.col("_start") + F.col("_at"))
         .withColumn("_to", place)
         .select(
-            *kept,
+            *unpacked(kept),
             "size",
             "text_crc32",
             F.lit("rows").alias("law"),

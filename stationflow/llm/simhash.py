@@ -316,7 +316,9 @@ def links(keyed: DataFrame, lanes: int, radius: int) -> DataFrame:
         if held:
             yield flush(held)
 
-    return placed.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "mine").mapInArrow(compare, "a long, b long")
+    # In the order of their nodes, so that trees found by several keys have the same edges.
+    order = ["key", "low", "high", "mine", "node"]
+    return placed.repartition("key", "low", "high").sortWithinPartitions(*order).mapInArrow(compare, "a long, b long")
 
 
 def similar(a: np.ndarray, b: np.ndarray, similarity: tuple[int, int]) -> bool:
@@ -389,13 +391,62 @@ def shingle_sets(families: DataFrame, rows: DataFrame, texts: DataFrame, words:
     return checkpointed(with_columns(placed, ["text"], added, make).drop("text"))
 
 
+def _trees(units: DataFrame, keys: list[str], similarity: tuple[int, int]) -> DataFrame:
+    """Edges (a, b) between similar sets of each unit: a spanning forest.
+
+    ``units`` has the key columns, ``node``, ``asks`` (pairs of which one asks are compared)
+    and ``shingles``. A node may come twice, once asking.
+    """
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flush():
+            nodes, firsts = np.unique(np.array(held["node"], dtype=np.int64), return_index=True)
+            marks = np.array(held["asks"], dtype=bool)
+            asking = None if marks.all() else np.isin(nodes, np.array(held["node"], dtype=np.int64)[marks])
+            root = alike([held["set"][i] for i in firsts], similarity, asking)
+            linked = np.flatnonzero(root != np.arange(len(root)))
+            return pa.RecordBatch.from_arrays([pa.array(nodes[linked]), pa.array(nodes[root[linked]])], names=["a", "b"])
+
+        current, held = None, {"node": [], "asks": [], "set": []}
+        for batch in batches:
+            at = zip(*[batch.column(i).to_pylist() for i in range(len(keys))], strict=True)
+            rest = (batch.column(i).to_pylist() for i in (len(keys), len(keys) + 1))
+            for key, node, asks, set_ in zip(at, *rest, _sets(batch.column(len(keys) + 2)), strict=True):
+                if key != current:
+                    if len(held["node"]) > 1:
+                        yield flush()
+                    current, held = key, {"node": [], "asks": [], "set": []}
+                for name, value in (("node", node), ("asks", asks), ("set", set_)):
+                    held[name].append(value)
+        if len(held["node"]) > 1:
+            yield flush()
+
+    placed = units.select(*keys, "node", "asks", "shingles").repartition(*keys).sortWithinPartitions(*keys)
+    return placed.mapInArrow(compare, "a long, b long")
+
+
 def verified(sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     """Edges (a, b) that connect what pairs of a family with that similarity of their sets connect.
 
-    Every member is compared with one of the family, the hub; those that are similar to it
-    need no other comparison among themselves. The rest meet all members of their family, in units of at
-    most ``MEMBERS`` of either side: a large family is dealt over many units.
+    Families of at most ``MEMBERS`` (and ``WEIGHT`` shingles) are compared in one place. In a
+    larger one every member is compared with one of them, the hub; those that are similar
+    to it need no other comparison among themselves. The rest meet all members of their
+    family, in units of at most ``MEMBERS`` of either side, dealt over tasks.
     """
+    sizes = sets.groupBy("family").agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("heavy"))
+    total, weight = (n or 0 for n in sizes.agg(F.sum("n"), F.sum("heavy")).first())
+    # Families above a border cannot be more than LARGE_KEYS; two members need no more than one comparison.
+    over = (F.col("n") > max(MEMBERS, total // LARGE_KEYS)) | (F.col("heavy") > max(WEIGHT, weight // LARGE_KEYS))
+    large = checkpointed(sizes.where(over & (F.col("n") > 2)).select("family", F.lit(True).alias("large")))
+    marked = sets.join(F.broadcast(large), "family", "left")
+    small = marked.where(F.col("large").isNull()).withColumn("asks", F.lit(True))
+    found = _trees(small, ["family"], similarity)
+    if large.isEmpty():
+        return found
+    return found.unionByName(_large_families(checkpointed(marked.where("large").drop("large")), similarity))
+
+
+def _large_families(sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     total = sets.count()
     hubs = sets.where(F.col("node") == F.col("hub")).select("family", F.col("shingles").alias("of_hub"))
     met = join_dealt(sets, hubs, "family", "node", total)
@@ -416,9 +467,8 @@ def verified(sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
         F.count_if(far).alias("n_far"), F.sum(F.when(far, F.col("weight")).otherwise(0)).alias("heavy_far"),
     )
     parts = lambda n, heavy: F.ceil(F.greatest(F.col(n) / MEMBERS, F.least(n, F.col(heavy) / WEIGHT))).cast("int")
-    # Two members are settled by the hub.
     left = checkpointed(
-        stats.where((F.col("n_far") > 0) & (F.col("n") > 2)).select("family", parts("n_far", "heavy_far").alias("rows"), parts("n", "heavy").alias("columns"))
+        stats.where(F.col("n_far") > 0).select("family", parts("n_far", "heavy_far").alias("rows"), parts("n", "heavy").alias("columns"))
     )
     if left.isEmpty():
         return found
@@ -427,34 +477,10 @@ def verified(sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     members = sets.select("node", "shingles").join(open_, "node")
     spot = lambda parts_: F.pmod(F.xxhash64("node", F.lit(7)), F.col(parts_)).cast("int")
     every = lambda parts_: F.explode(F.sequence(F.lit(0), F.col(parts_) - 1))
-    unit = ["family", "row", "column"]
     asking = members.where(~F.col("near")).withColumn("row", spot("rows")).withColumn("column", every("columns"))
     asked = members.withColumn("column", spot("columns")).withColumn("row", every("rows"))
     both = asking.withColumn("asks", F.lit(True)).unionByName(asked.withColumn("asks", F.lit(False)))
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush():
-            nodes, firsts = np.unique(np.array(held["node"], dtype=np.int64), return_index=True)
-            asking_ = np.isin(nodes, np.array([n for n, a in zip(held["node"], held["asks"], strict=True) if a], dtype=np.int64))
-            root = alike([held["set"][i] for i in firsts], similarity, asking_)
-            linked = np.flatnonzero(root != np.arange(len(root)))
-            return pa.RecordBatch.from_arrays([pa.array(nodes[linked]), pa.array(nodes[root[linked]])], names=["a", "b"])
-
-        current, held = None, {"node": [], "asks": [], "set": []}
-        for batch in batches:
-            keys = zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True)
-            for key, node, asks, set_ in zip(keys, batch.column(3).to_pylist(), batch.column(4).to_pylist(), _sets(batch.column(5)), strict=True):
-                if key != current:
-                    if current is not None:
-                        yield flush()
-                    current, held = key, {"node": [], "asks": [], "set": []}
-                for name, value in (("node", node), ("asks", asks), ("set", set_)):
-                    held[name].append(value)
-        if current is not None:
-            yield flush()
-
-    units = both.select(*unit, "node", "asks", "shingles").repartition(*unit).sortWithinPartitions(*unit)
-    return found.unionByName(units.mapInArrow(compare, "a long, b long"))
+    return found.unionByName(_trees(both, ["family", "row", "column"], similarity))
 
 
 # --- operator -------------------------------------------------------------------------

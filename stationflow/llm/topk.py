@@ -19,9 +19,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from . import common  # noqa: F401  (ships this package with the job)
 
 QUERY_BLOCK = 1024
-CANDIDATE_BLOCK = 4096
+CANDIDATE_BLOCK = 16_384
 #: Queries whose score rows are held at once.
-TILE = 128
+TILE = 64
 
 
 def weights(vector: Column, scale: int = 1024) -> Column:
@@ -84,20 +84,21 @@ def top_k(
     """The k best candidates of each query, as (query_id, rank, vec_id, score).
 
     Both tables have ``vec_id`` long and ``weights`` array of long (other columns are not
-    read). A candidate with the query's vec_id is the query itself. Rows with a null id
-    or null weights take no part; of rows that share an id the one with the smallest
-    weights counts, once. Vectors may differ in length: missing components are zero. Ties
+    read). Candidates with the query's vec_id are the query itself. Rows with a null id
+    or null weights take no part; every other row does, also of rows that share an id: a
+    candidate id comes once for each of its rows, and the rows of a query id compete for
+    its k places. Vectors may differ in length: missing components are zero. Ties
     go to the smaller vec_id. Scores are 64-bit; a larger inner product is out of range.
     """
     ready = [
         df.select(F.col("vec_id").cast("long"), F.col("weights").cast("array<bigint>").alias("weights"))
         .where(F.col("vec_id").isNotNull() & F.col("weights").isNotNull())
-        .groupBy("vec_id")
-        .agg(F.min("weights").alias("weights"))
+        .withColumn("row", F.monotonically_increasing_id())
         for df in (queries, candidates)
     ]
     columns = [max(1, -(-df.count() // size)) for df, size in zip(ready, (query_block, candidate_block), strict=True)]
-    mine = [F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int") for n in columns]
+    # By the row, not by its id: rows that share one do not meet in one block.
+    mine = [F.pmod(F.xxhash64("row"), F.lit(n)).cast("int") for n in columns]
     other = [F.explode(F.sequence(F.lit(0), F.lit(n - 1))) for n in columns]
     asked = ready[0].select("vec_id", "weights", mine[0].alias("q"), other[1].alias("c"))
     held = ready[1].select("vec_id", "weights", other[0].alias("q"), mine[1].alias("c"))

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from .common import before, in_order
+from .common import before, in_order, packed, unpacked
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 START, URL, END = 0, 1, 2
@@ -85,12 +85,13 @@ def judge(pages: DataFrame, rules: DataFrame, url_col: str = "url", keep: list[s
     gives an empty one. ``keep`` names the columns to carry, all by default; input columns
     with the names of added ones are replaced.
     """
-    added = ["host", "path", "rule", "verdict", "_row", "_key", "_kind", "_top", "_part", "_at"]
+    added = ["host", "path", "rule", "verdict"]
     kept = [name for name in (pages.columns if keep is None else keep) if name not in added]
     events = _events(rules)
     deepest = rules.agg(F.max(F.size(F.split("host", r"\.")))).first()[0] or 0
-    named = pages.select(F.monotonically_increasing_id().alias("_row"), *kept, F.col(url_col).alias("_url")).select(
-        "_row", *kept, host_of(F.col("_url")).alias("host"), path_of(F.col("_url")).alias("path")
+    url = F.col(url_col)
+    named = pages.select(
+        F.monotonically_increasing_id().alias("_row"), packed(kept).alias("_kept"), host_of(url).alias("host"), path_of(url).alias("path")
     )
     labels = F.split("host", r"\.")
     suffix = F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(F.size(labels), F.lit(deepest))))).alias("_n")
@@ -121,9 +122,9 @@ def judge(pages: DataFrame, rules: DataFrame, url_col: str = "url", keep: list[s
     )
     return (
         fits.groupBy("_row")
-        .agg(*[F.first(name).alias(name) for name in (*kept, "host", "path")], F.max("_rule").alias("_rule"))
+        .agg(*[F.first(name).alias(name) for name in ("_kept", "host", "path")], F.max("_rule").alias("_rule"))
         .select(
-            *kept, "host", "path",
+            *unpacked(kept), "host", "path",
             F.col("_rule.rule").alias("rule"), F.coalesce("_rule.verdict", F.lit(default)).alias("verdict"),
         )
     )

@@ -46,15 +46,64 @@ def test_empty_tables(make_docs, spark):
 
 def test_top_k_equals_brute_force(spark):
     rng = np.random.default_rng(1)
-    vectors = {i: [int(x) for x in rng.integers(-3, 4, rng.integers(0, 9))] for i in range(120)}
-    rows = [(i, v) for i, v in vectors.items()] + [(5, vectors[5]), (None, [1]), (200, None)]
-    table = spark.createDataFrame(rows, "vec_id long, weights array<long>")
-    got = topk.top_k(table.where("vec_id % 10 = 0"), table, 4, query_block=5, candidate_block=17).collect()
-    for q in range(0, 120, 10):
-        scored = sorted((-sum(a * b for a, b in zip(vectors[q], v, strict=False)), i) for i, v in vectors.items() if i != q)[:4]
-        assert [(r.rank, r.vec_id, r.score) for r in sorted(got, key=lambda r: r.rank) if r.query_id == q] == [
-            (n, i, -s) for n, (s, i) in enumerate(scored, 1)
-        ]
+    rows = [(i, [int(x) for x in rng.integers(-3, 4, rng.integers(0, 9))]) for i in range(120)]
+    # Ids of several rows, among them queries: equal vectors and different ones.
+    rows += [(5, rows[5][1]), (7, [3] * 8), (7, [-3] * 8), (20, [1, 2, 3]), (20, [1, 2, 3]), *[(41, [2] * n) for n in range(9)]]
+    table = spark.createDataFrame([*rows, (None, [1]), (200, None)], "vec_id long, weights array<long>")
+    for blocks in ((5, 17), (1024, 16_384)):
+        got = topk.top_k(table.where("vec_id % 10 = 0"), table, 4, *blocks).collect()
+        for q in range(0, 120, 10):
+            asked = [v for i, v in rows if i == q]
+            scored = sorted((-sum(a * b for a, b in zip(one, v, strict=False)), i) for one in asked for i, v in rows if i != q)[:4]
+            assert [(r.rank, r.vec_id, r.score) for r in sorted(got, key=lambda r: r.rank) if r.query_id == q] == [
+                (n, i, -s) for n, (s, i) in enumerate(scored, 1)
+            ]
+
+
+def test_top_k_keeps_every_row_of_an_id(spark):
+    table = spark.createDataFrame([(1, [5]), (1, [9]), (2, [3]), (100, [1])], "vec_id long, weights array<long>")
+    got = topk.top_k(table.where("vec_id = 100"), table, 2).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in got] == [(1, 9), (1, 5)]
+    assert topk.top_k(table.where("false"), table, 2).count() == 0 == topk.top_k(table, table.where("false"), 2).count()
+
+
+#: Names that operators use for columns of their own.
+INNER = ["_tie", "_place", "_part", "_at", "_hash", "_kept", "_id", "_to", "_rows", "_start", "_url", "_n", "_row", "_key", "_kind", "_top",
+         "_rule", "_rules", "_here", "_before", "_last", "_text", "_lines", "_hit", "_items", "key", "low", "kind", "top", "shard", "doc", "keeper"]
+
+
+def odd_table(spark, texts):
+    rows = [(i, text, *[f"{name}-{i}" for name in INNER]) for i, text in enumerate(texts)]
+    return spark.createDataFrame(rows, ["doc_id", "text", *INNER])
+
+
+def same_extras(rows, replaced=()):
+    assert all(r[name] == f"{name}-{r.doc_id}" for r in rows for name in INNER if name not in replaced)
+
+
+def test_extra_columns_of_any_name_are_kept(spark, monkeypatch):
+    from stationflow.llm import decontaminate, line_dedup
+
+    line = "A line that is long enough to be a key, é, really"
+    docs = odd_table(spark, [f"{line}\nmore {i}, token = 'abcdef{i}'" for i in range(8)])
+    placed = sharding.assign(docs, 3).collect()
+    assert len(placed) == 8
+    same_extras(placed, ["shard"])
+    pages = docs.withColumnRenamed("text", "url")
+    judged_ = url_filter.judge(pages, url_filter.rule_table(spark, URL_RULES)).collect()
+    assert len(judged_) == 8
+    same_extras(judged_)
+    found = secret_scan.scan(docs).collect()
+    assert [len(r.found) for r in found] == [1] * 8
+    same_extras(found)
+    benchmark = spark.createDataFrame([(1, " ".join(line.split()[:11])), (2, "more 3 token abcdef3")], "item_id long, text string")
+    for group_bytes, block_windows in ((1 << 26, 1_000_000), (1, 1)):
+        cut = line_dedup.dedup_lines(docs, group_bytes=group_bytes, shard_keys=2).collect()
+        assert sorted(r.n_dropped for r in cut) == [0, *[1] * 7]
+        same_extras(cut)
+        marked = decontaminate.mark(docs, benchmark, block_windows=block_windows).collect()
+        assert [r.contaminated for r in marked] == [True] * 8 and sorted(r.n_hit for r in marked)[-1] == 15
+        same_extras(marked)
 
 
 def test_weights(spark):

@@ -351,6 +351,125 @@ def test_names_of_wrappers_do_not_drop_the_page(html):
     assert said.strip() in text and "Home" not in text and "About us" not in text and "disagree" not in text
 
 
+def plain_weight(a, b):
+    """The textbook recurrence of simple tree matching, over block elements."""
+    if a.label != b.label:
+        return 0
+    x, y = a.blocks(), b.blocks()
+    table = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
+    for i in range(len(x)):
+        for j in range(len(y)):
+            table[i + 1][j + 1] = max(table[i][j + 1], table[i + 1][j], table[i][j] + plain_weight(x[i], y[j]))
+    return 1 + table[-1][-1]
+
+
+def odd_tree(rng, depth=4):
+    inner = "".join(odd_tree(rng, depth - 1) for _ in range(rng.randrange(5))) if depth else "t"
+    return rng.choice(("<div>{}</div>", "<ul>{}</ul>", "<div class='a'>{}</div>", "<section>{}</section>")).format(inner)
+
+
+@pytest.mark.parametrize("cells", [1 << 20, 4])
+def test_matching_equals_the_plain_recurrence(monkeypatch, cells):
+    monkeypatch.setattr(html_extract, "CELLS", cells)
+    rng = random.Random(cells)
+    for _ in range(120):
+        a, b = (html_extract.parse(odd_tree(rng)) for _ in "ab")
+        for tree in (a, b):
+            html_extract.measure(tree)
+        matching = html_extract.Matching()
+        assert matching.weight(a, b) == plain_weight(a, b)
+        pairs = matching.align(a.blocks(), b.blocks())
+        assert 1 + sum(plain_weight(x, y) for x, y in pairs) == plain_weight(a, b)
+        firsts, seconds = ([n.first for n in side] for side in (zip(*pairs, strict=True) if pairs else ([], [])))
+        assert firsts == sorted(set(firsts)) and seconds == sorted(set(seconds))
+
+
+def site(rng, n, words=60):
+    """A page without ``article``: constant notice, varying menu, content, sidebar and footer."""
+    said = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(words)) for _ in range(rng.randrange(1, 6))]
+    menu = "".join(f"<li><a href='/{i}'>link{rng.randrange(99)}</a></li>" for i in range(rng.randrange(3, 7)))
+    extra = "<div class='box'>A box of its own</div>" if n % 3 == 0 else ""
+    page = (
+        "<body><div class='top'><p>We use cookies. <a href='/c'>More</a></p></div>"
+        f"<ul>{menu}</ul>{'<hr>' * (n % 2)}<div class='text'><h2>Title {n}</h2>{''.join(f'<p>{p}</p>' for p in said)}{extra}</div>"
+        f"<div class='recommended'><p>Read too: {rng.randrange(10**9)}</p></div><div><span>Imprint and rights</span></div></body>"
+    )
+    return page, [f"Title {n}", *said] + (["A box of its own"] if extra else [])
+
+
+@pytest.mark.parametrize("odd", [[], [""], ["", "<body><table><tr><td>Another layout</table></body>"]])
+def test_template_of_pages_without_article(odd):
+    rng = random.Random(31)
+    made = [site(rng, n) for n in range(9)]
+    texts = html_extract.extract_run([*(page for page, _ in made), *odd])
+    assert texts[:9] == ["\n".join(want) for _, want in made]
+    assert texts[9:] == ["", "Another layout"][: len(odd)]
+
+
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        ("<p>{}</p><p>Be <math><mi>x</mi></math> a <label>name</label> of <object>it</object></p>", "{}\nBe x a name of it"),
+        ("<p>{}</p><div class='related-work'><p>Work before</p></div>", "{}\nWork before"),
+        ("<p>{}</p><div class='alert'>Mind the gap</div><section class='social-history'>Of towns</section>", "{}\nMind the gap\nOf towns"),
+        ("<p title=it's>{}</p><p>That's all</p>", "{}\nThat's all"),
+        ("<p title='a>b'>{}</p><p data-x=\"'>'\">Quoted</p>", "{}\nQuoted"),
+        ("<p>{}</p><div class='ad-box'>Buy</div><ul class='comments'><li>Nice</ul><form><label>Name</label></form>", "{}"),
+        ("<p>{}</p><p>1 < 2 and a<b</p>", "{}\n1 < 2 and a"),
+        ("<h1 class='entry-title'>{}</h1></b></span><p>Stray ends</p></div>", "{}\nStray ends"),
+    ],
+)
+def test_article_text_is_kept(html, want):
+    said = "Enough words to be the main part of this page. " * 5
+    (text,) = html_extract.extract_run([f"<body><article>{html.format(said)}</article></body>"])
+    assert text == want.format(said.strip())
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        '<p title="x> hello ' * 40_000,
+        "<div>" * 50_000 + "x" + "</span>" * 50_000,
+        "<b>" * 50_000 + "<p>x</p>" * 25_000 + "</i>" * 25_000,
+        "<p><div>" + "<b>" * 50_000 + "<hr>" * 50_000,
+        "<a " * 150_000 + 'x=">"',
+        "<" * 300_000 + "<!" * 100_000,
+        "<div class='comments'>" * 20_000 + "text " * 100,
+        "<ul><li>" * 20_000 + "text " * 100,
+        "<table>" + "<tr><td>1<td>2" * 25_000,
+    ],
+    ids=lambda html: html[:12],
+)
+def test_broken_pages_take_linear_time(html):
+    import time
+
+    begin = time.perf_counter()
+    html_extract.extract_run([html, html])
+    assert time.perf_counter() - begin < 15
+
+
+def test_long_lists_of_blocks_align():
+    rng = random.Random(2)
+    kinds = ["<p>{}</p>", "<div>{}</div>", "<pre>{}</pre>"]
+    pages = []
+    for n in range(6):
+        body = "".join(rng.choice(kinds).format(f"{n} {i}") for i in range(1500))
+        pages.append(f"<body><main>{body}<p>The same on all pages</p></main></body>")
+    texts = html_extract.extract_run(pages)
+    assert all(len(t.split("\n")) == 1500 and "The same" not in t for t in texts)
+
+
+def test_extract_keeps_columns_of_any_name(spark):
+    names = ["_host", "_bucket", "_mark", "_kept", "_html", "_size", "text", "url", "html"]
+    rows = [(*[f"{name}{i}" for name in names[:7]], f"http://h{i % 2}.org/", f"<p>Page {i}</p>") for i in range(4)] + [("x",) * 7 + (None, None)]
+    got = html_extract.extract(spark.createDataFrame(rows, names))
+    assert got.columns == [*names[:6], "url", "text", "n_chars"]
+    assert sorted((r._host, r._kept, r._mark, r.text, r.n_chars) for r in got.collect()) == sorted(
+        [(f"_host{i}", f"_kept{i}", f"_mark{i}", f"Page {i}", 6) for i in range(4)] + [("x", "x", "x", "", 0)]
+    )
+    assert html_extract.extract(spark.createDataFrame(rows, names).where("false")).count() == 0
+
+
 def test_runs_do_not_depend_on_batches():
     import pyarrow as pa
 
