@@ -45,6 +45,19 @@ def first_by_position(
     return df.groupBy(*key).agg(first).select(*key, *[F.col(f"_first.{v}").alias(v) for v in values])
 
 
+def last_by(rows: DataFrame, key: str, order: str) -> DataFrame:
+    """The row with the greatest ``order`` (bigint) of each key; of equal ones the one with the greatest hash.
+
+    Both maxima are fixed-width, so Spark hashes: no row is sorted. Rows alike in all
+    columns are one.
+    """
+    rows = rows.withColumn("_hash", F.xxhash64(*[F.col(name) for name in rows.columns]))
+    top = rows.groupBy(key).agg(F.max(order).alias("_top"))
+    upmost = rows.join(top, key).where(F.col(order).eqNullSafe(F.col("_top"))).drop("_top")
+    one = upmost.groupBy(key).agg(F.max("_hash").alias("_one"))
+    return upmost.join(one, key).where(F.col("_hash") == F.col("_one")).drop("_hash", "_one").distinct()
+
+
 def not_stored(new: DataFrame, stored: DataFrame, key: Sequence[str] = READING_KEY) -> DataFrame:
     """New rows whose key is not stored yet.
 

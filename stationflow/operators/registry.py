@@ -6,7 +6,7 @@ old one is never edited in place.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stationflow import schemas as S
@@ -14,6 +14,7 @@ from stationflow.functions.durations import format_duration, parse_duration
 from stationflow.functions.fields import fields_of
 from stationflow.functions.numbers import float_text, parse_float
 from stationflow.functions.times import format_rfc3339, parse_rfc3339
+from stationflow.operators.dedup import last_by
 from stationflow.operators.validation import SENSOR, Entity, first_code, first_reason, valid_rows
 
 SENSOR_COLUMNS = tuple(S.SENSOR.names)
@@ -77,8 +78,8 @@ def list_registered(ids: DataFrame, records: DataFrame) -> DataFrame:
 def sensor_id_for(request_key: Column, digits: int = 8) -> Column:
     """``sensor-`` and hex digits, the same for the same request on a replay.
 
-    Eight digits serve thousands of sensors. Bulk loads need more digits: check
-    with ``id_collisions``.
+    Eight digits serve thousands of sensors. Bulk loads take ``unique_ids``, or more digits
+    checked with ``id_collisions``.
     """
     return F.concat(F.lit("sensor-"), F.substring(F.sha2(request_key.cast("string"), 256), 1, digits))
 
@@ -92,6 +93,32 @@ def id_collisions(registered: DataFrame) -> DataFrame:
     )
 
 
+def unique_ids(requests: DataFrame, registered: DataFrame | None = None, digits: int = 8) -> DataFrame:
+    """(request_key, id) for each different key: the digits of its hash, as many as tell it from all others.
+
+    A key that shares its first ``digits`` with another one gets more, up to one more than
+    they share, so no two keys get one id. Keys of ``registered`` (``request_key, id``) keep
+    the id they have, and new ones are told from them too. The same requests get the same
+    ids in any order. Null keys are left out.
+    """
+    digest = F.sha2(F.col("request_key").cast("string"), 256)
+    key = F.col("request_key").cast("string").alias("request_key")
+    new = requests.where(F.col("request_key").isNotNull()).select(key, digest.alias("_digest"), F.lit(None).cast("string").alias("_id"))
+    known = None if registered is None else registered.select(key, digest.alias("_digest"), F.col("id").alias("_id"))
+    both = (new if known is None else new.unionByName(known)).groupBy("request_key", "_digest").agg(F.max("_id").alias("_id"))
+    # Neighbours in the order of the digests share the most; few keys share their first digits.
+    near = Window.partitionBy(F.substring("_digest", 1, digits)).orderBy("_digest")
+
+    def shared(other: Column) -> Column:
+        same = F.filter(F.sequence(F.lit(1), F.lit(64)), lambda n: F.substr(F.col("_digest"), F.lit(1), n) == F.substr(other, F.lit(1), n))
+        return F.coalesce(F.when(other.isNotNull(), F.size(same)), F.lit(0))
+
+    lengths = both.withColumns({"_before": F.lag("_digest").over(near), "_after": F.lead("_digest").over(near)})
+    length = F.greatest(F.lit(digits), shared(F.col("_before")) + 1, shared(F.col("_after")) + 1)
+    own = F.concat(F.lit("sensor-"), F.substr(F.col("_digest"), F.lit(1), length))
+    return lengths.select("request_key", F.coalesce("_id", own).alias("id"))
+
+
 def register(
     requests: DataFrame,
     created_at: Column | None = None,
@@ -152,12 +179,10 @@ def upsert(registry: DataFrame, changes: DataFrame, seq: str = "seq", entity: En
     Changes need a ``seq``; rows already registered come before all of them. A change
     that breaks a rule changes nothing; ``validate`` tells which and why.
     """
-    rows = registry.select(*SENSOR_COLUMNS, F.lit(None).cast("bigint").alias("_seq")).unionByName(
-        valid_rows(changes, entity).select(*SENSOR_COLUMNS, F.col(seq).cast("bigint").alias("_seq"))
-    )
-    # NULL sorts below every sequence number inside the struct.
-    last = F.max(F.struct("_seq", *SENSOR_COLUMNS)).alias("_last")
-    return rows.groupBy("id").agg(last).select(*[F.col(f"_last.{c}").alias(c) for c in SENSOR_COLUMNS])
+    changed = valid_rows(changes, entity).select(*SENSOR_COLUMNS, F.col(seq).cast("bigint").alias("_seq"))
+    last = last_by(changed, "id", "_seq").select(*SENSOR_COLUMNS)
+    kept = registry.select(*SENSOR_COLUMNS).join(last.select("id"), "id", "left_anti")
+    return kept.unionByName(last)
 
 
 def remove(registry: DataFrame, ids: DataFrame) -> DataFrame:
@@ -188,7 +213,8 @@ def reconcile(desired: DataFrame, running: DataFrame, report_changes: bool = Fal
     def side(df: DataFrame, name: str) -> DataFrame:
         if not report_changes:
             return df.select("id", F.lit(True).alias(name)).distinct()
-        return df.select("id", F.struct(*settings).alias(name))
+        # One row for an id: of several settings the greatest.
+        return df.groupBy("id").agg(F.max(F.struct(*settings)).alias(name))
 
     both = side(desired, "_want").join(side(running, "_have"), "id", "full_outer")
     kept = F.lit("keep")

@@ -125,13 +125,12 @@ def late_count(df: DataFrame, size: timedelta = S.WINDOW_SIZE, grace: timedelta
 
 
 def conservation(df: DataFrame, size: timedelta = S.WINDOW_SIZE, grace: timedelta = S.GRACE) -> DataFrame:
-    """Offered, counted in a window, and late: the last two add up to the first."""
-    late = is_late(size, grace)
-    return df.agg(
-        F.count(F.lit(1)).alias("offered"),
-        F.count_if(~late).alias("stored"),
-        F.count_if(late).alias("late"),
-    ).withColumn("balanced", F.col("stored") + F.col("late") == F.col("offered"))
+    """Readings offered, counted in the windows that come out, and late: the last two add up to the first."""
+    stored = summarise(on_time(df, size, grace), size).agg(F.coalesce(F.sum("count"), F.lit(0)).alias("stored"))
+    counts = df.agg(F.count(F.lit(1)).alias("offered"), F.count_if(is_late(size, grace)).alias("late"))
+    return counts.select("offered", stored.scalar().alias("stored"), "late").withColumn(
+        "balanced", F.col("stored") + F.col("late") == F.col("offered")
+    )
 
 
 def closed(windows: DataFrame, now: Column, grace: timedelta = S.GRACE) -> DataFrame:

@@ -256,6 +256,10 @@ ORACLE: dict[str, str] = {
     "history_range": _with("stored")
     + """SELECT sensor_id, lat, lon, temp_c, ts FROM stored
   WHERE ts >= TIMESTAMP '2024-01-05 06:00:00' AND ts < TIMESTAMP '2024-01-15 18:00:00'""",
+    "history_compacted": _with("stored") + "SELECT *, 'compacted' AS batch FROM stored",
+    "retained_topic_rows": _with("readings")
+    + """SELECT "partition", "offset", arrival_ts AS "timestamp" FROM readings
+  WHERE arrival_ts >= (SELECT max(arrival_ts) FROM readings) - INTERVAL 1 HOUR""",
     "retention": _with("readings")
     + """SELECT count(*) FILTER (arrival_ts >= last - INTERVAL 24 HOUR) AS readings_kept,
   count(*) FILTER (arrival_ts >= last - INTERVAL 24 HOUR) AS clean_kept,
@@ -285,6 +289,18 @@ ORACLE: dict[str, str] = {
     "register_collisions": _with("registered")
     + """SELECT 'sensor-' || sha256(request_key)[1:2] AS id, min(request_key) AS first_request,
   max(request_key) AS last_request FROM registered GROUP BY 1 HAVING count(*) > 1""",
+    "register_unique_ids": _with("requested")
+    + """SELECT request_key, 'sensor-' || said AS id FROM (
+  SELECT request_key, sha256(request_key)[1:n] AS said, n, count(*) OVER (PARTITION BY sha256(request_key)[1:n]) AS sharing
+  FROM requested, unnest(range(2, 65)) AS lengths(n))
+  WHERE sharing = 1 QUALIFY row_number() OVER (PARTITION BY request_key ORDER BY n) = 1""",
+    "registry_current": _with("settings", "checked_changes")
+    + f"""SELECT {_SENSOR_LIST} FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY step DESC, seq DESC) AS nth FROM (
+  SELECT 0 AS step, 0 AS seq, {_SENSOR_LIST} FROM settings WHERE first_type <> 'click' UNION ALL
+  SELECT 3, 0, {_SENSOR_LIST} FROM settings WHERE user_id % 7 = 0 UNION ALL
+  SELECT CASE e.event_type WHEN 'view' THEN 1 WHEN 'click' THEN 2 ELSE 4 END, seq, id, lat, lon, temp_c, pattern,
+  seconds * 1000000000, created_at FROM checked_changes c JOIN events e ON e.event_id = c.seq
+  WHERE reason IS NULL AND e.event_type IN ('view', 'click', 'purchase'))) WHERE nth = 1 AND step <> 3""",
     "registry_round_trip": _with("settings") + f"SELECT {_SENSOR_LIST} FROM settings",
     "registry_quarantine": _with("settings")
     + """SELECT id, CASE fault WHEN 0 THEN 'lat' WHEN 1 THEN 'lon' WHEN 2 THEN 'start_temp_c'
@@ -326,6 +342,18 @@ ORACLE: dict[str, str] = {
   count(*) FILTER (arrival_ts <= ts + to_seconds(2)) / count(*) AS good FROM readings GROUP BY ALL)""",
     "stream_ingest_history": _with("decoded")
     + "SELECT sensor_id, lat, lon, temp_c, ts FROM decoded WHERE reason IS NULL",
+    "stream_resumed_history": _with("decoded")
+    + "SELECT sensor_id, lat, lon, temp_c, ts FROM decoded WHERE reason IS NULL",
+    "handled_readings": _with("decoded")
+    + "SELECT sensor_id, lat, lon, temp_c, ts FROM decoded WHERE reason IS NULL AND temp_c > 0",
+    "replayed_batch": _with("decoded")
+    + """SELECT 'history' AS output, count(DISTINCT (sensor_id, ts)) AS n FROM decoded WHERE reason IS NULL
+  UNION ALL SELECT 'clean', count(*) FROM decoded WHERE reason IS NULL
+  UNION ALL SELECT 'dead_letters', count(*) FROM decoded WHERE reason IS NOT NULL""",
+    "stream_lag": """SELECT count(*) AS newest, count(*) FILTER (event_id % 2 = 0) AS "read",
+  count(*) FILTER (event_id % 2 = 1) AS lag FROM events""",
+    "stream_full_copies": _with("clean", more={"hourly": _summary("clean", 3600)})
+    + "SELECT subscriber, scope, window_start FROM hourly, (VALUES ('one'), ('two')) s(subscriber)",
     "stream_ingest_outputs": _with("decoded")
     + """SELECT 'history' AS output, count(DISTINCT (sensor_id, ts)) AS n FROM decoded WHERE reason IS NULL
   UNION ALL SELECT 'clean', count(*) FROM decoded WHERE reason IS NULL

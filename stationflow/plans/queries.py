@@ -30,15 +30,16 @@ from stationflow.operators.validation import (
 )
 from stationflow.plans import views
 from stationflow.session import configure, scratch_path
-from stationflow.sources import history, topics
+from stationflow.sources import history, registry_store, topics
 from stationflow.streaming import rollup
-from stationflow.streaming.audit import AuditListener, metric_totals, read_audit
+from stationflow.streaming.audit import AuditListener, metric_totals, read_audit, rows_behind
 from stationflow.streaming.aggregate import aggregates_topic, future_rows, readings_from_topic
 from stationflow.streaming.feed import feed_messages, live_feed, start_feed
 from stationflow.streaming.ingest import (
     clean_topic,
     dead_letter_topic,
     file_outputs,
+    ingest_batch,
     start_ingest,
 )
 
@@ -390,20 +391,34 @@ def readings_per_sensor(spark, sf_dir):
     return history.counts_by_sensor(stored)
 
 
+def _stored_history(spark: SparkSession, sf_dir: str) -> str:
+    """The history table after two appends that overlap: its path."""
+    path = scratch_path(spark, "history")
+    offered = views.deliveries(spark, sf_dir)
+    history.ensure_history(spark, path)
+    history.append_ignore(spark, path, offered.where("event_id % 3 <> 0"), "first")
+    history.append_ignore(spark, path, offered, "second")
+    return path
+
+
 @query
 def history_key_count(spark, sf_dir):
-    stored = dedup.first_by_position(views.deliveries(spark, sf_dir))
-    return history.count_for(stored, "sensor-0008")
+    return history.count_for(history.scan(spark, _stored_history(spark, sf_dir)), "sensor-0008")
 
 
 @query
 def history_range(spark, sf_dir):
-    """Ten days of the history table, through its daily partitions."""
-    stored = dedup.first_by_position(views.deliveries(spark, sf_dir)).withColumn(
-        "event_date", F.to_date("ts")
-    )
-    rows = history.between(stored, datetime(2024, 1, 5, 6), datetime(2024, 1, 15, 18))
-    return rows.select(*S.READING.names)
+    """Ten days of the history table: the folders of other days are not listed in the plan."""
+    path = _stored_history(spark, sf_dir)
+    return history.scan_range(spark, path, datetime(2024, 1, 5, 6), datetime(2024, 1, 15, 18))
+
+
+@query
+def history_compacted(spark, sf_dir):
+    """The history table with the batches of each day merged."""
+    path = _stored_history(spark, sf_dir)
+    history.compact(spark, path, f"{path}-compacted")
+    return history.scan(spark, f"{path}-compacted").select(*S.READING.names, "batch")
 
 
 @query
@@ -423,6 +438,16 @@ def retention(spark, sf_dir):
     return rows.agg(*[F.count_if(keep).alias(f"{name}_kept") for name, keep in kept.items()])
 
 
+@query
+def retained_topic_rows(spark, sf_dir):
+    """Rows of a stored topic that its retention of an hour leaves, at the newest arrival."""
+    path = scratch_path(spark, "topic")
+    topics.append_topic(views.raw_topic(spark, sf_dir), path, "all")
+    now = topics.read_topic(spark, path).agg(F.max("timestamp").alias("now")).first().now
+    rows = topics.read_topic(spark, path, S.AGGREGATES_TOPIC.retention, now.replace(tzinfo=timezone.utc))
+    return rows.select("partition", "offset", "timestamp")
+
+
 # Topics --------------------------------------------------------------------
 
 
@@ -546,6 +571,29 @@ def registry_diff_with_changes(spark, sf_dir):
     return registry.reconcile(desired, running, report_changes=True)
 
 
+@query
+def register_unique_ids(spark, sf_dir):
+    """Ids that begin with two digits of the hash and have more only where two requests share them."""
+    return registry.unique_ids(views.requests(spark, sf_dir), digits=2)
+
+
+@query
+def registry_current(spark, sf_dir):
+    """A stored registry after upserts, a removal and another upsert, with a fold in between."""
+    path = scratch_path(spark, "registry")
+    changes = views.sensor_changes(spark, sf_dir).join(
+        views.events(spark, sf_dir).select(F.col("event_id").alias("seq"), "event_type"), "seq"
+    )
+    registry_store.write_snapshot(views.running_sensors(spark, sf_dir), path, 1)
+    registry_store.append_upserts(spark, path, changes.where("event_type = 'view'"))
+    registry_store.append_upserts(spark, path, changes.where("event_type = 'click'"))
+    registry_store.fold(spark, path, 0.5)
+    gone = views.sensors(spark, sf_dir).where(F.col("user_id") % 7 == 0)
+    registry_store.append_removals(spark, path, gone)
+    registry_store.append_upserts(spark, path, changes.where("event_type = 'purchase'"))
+    return registry_store.read_current(spark, path)
+
+
 # Service figures -------------------------------------------------------------
 
 
@@ -620,6 +668,85 @@ def stream_audit(spark, sf_dir):
     return metric_totals(read_audit(spark, f"{root}/progress")).where("metric <> 'rows'").select("metric", "n")
 
 
+@query
+def stream_resumed_history(spark, sf_dir):
+    """The topic arrives in two parts; the ingest stream stops after the first and goes on from there."""
+    root = scratch_path(spark, "resumed")
+    rows = views.raw_topic(spark, sf_dir)
+    for part in (0, 1):
+        topics.append_topic(rows.where(F.floor(F.col("offset") / 2) % 2 == part), f"{root}/raw", f"part-{part}")
+        # Outputs are set up anew: tables that exist stay as they are.
+        stream = topics.stream_topic(spark, f"{root}/raw", MAX_FILES)
+        start_ingest(stream, file_outputs(spark, root), f"{root}/checkpoint", once=True).awaitTermination()
+    return history.scan(spark, f"{root}/history").select(*S.READING.names)
+
+
+@query
+def stream_lag(spark, sf_dir):
+    """Rows of the raw topic that the ingest stream is behind, half of them added after it stopped."""
+    root = scratch_path(spark, "lag")
+    rows = views.raw_topic(spark, sf_dir)
+    listener = AuditListener(spark, f"{root}/progress")
+    spark.streams.addListener(listener)
+    try:
+        topics.append_topic(rows.where(F.floor(F.col("offset") / 2) % 2 == 0), f"{root}/raw", "before")
+        stream = topics.stream_topic(spark, f"{root}/raw", MAX_FILES)
+        run = start_ingest(stream, file_outputs(spark, root), f"{root}/checkpoint", once=True)
+        run.awaitTermination()
+        listener.await_run(run.runId)
+    finally:
+        spark.streams.removeListener(listener)
+    topics.append_topic(rows.where(F.floor(F.col("offset") / 2) % 2 == 1), f"{root}/raw", "after")
+    behind = rows_behind(topics.read_topic(spark, f"{root}/raw"), read_audit(spark, f"{root}/progress"), str(run.id))
+    return behind.select("newest", "read", "lag")
+
+
+@query
+def replayed_batch(spark, sf_dir):
+    """A batch that runs twice leaves the rows of one run in every output."""
+    root = scratch_path(spark, "replayed")
+    outputs, rows = file_outputs(spark, root), views.raw_topic(spark, sf_dir)
+    for _ in range(2):
+        ingest_batch(rows, "batch-0", outputs)
+    tables = {
+        "history": history.scan(spark, f"{root}/history"),
+        "clean": topics.read_topic(spark, f"{root}/clean"),
+        "dead_letters": topics.read_topic(spark, f"{root}/dead_letters"),
+    }
+    counts = [rows.agg(_count()).select(F.lit(name).alias("output"), "n") for name, rows in tables.items()]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
+@query
+def handled_readings(spark, sf_dir):
+    """History of an ingest stream whose handler keeps readings above zero and passes the rest over."""
+    root = scratch_path(spark, "handled")
+    rows = views.as_topic(views.events_stream(spark, sf_dir))
+    outputs = file_outputs(spark, root)
+    run = start_ingest(rows, outputs, f"{root}/checkpoint", handler=lambda good: good.where("event.temp_c > 0"), once=True)
+    run.awaitTermination()
+    return history.scan(spark, f"{root}/history").select(*S.READING.names)
+
+
+@query
+def stream_full_copies(spark, sf_dir):
+    """Hourly windows that each of two subscribers got: both all of them."""
+    root = scratch_path(spark, "copies")
+    hourly = windows.summarise(views.clean_readings(spark, sf_dir), HOUR)
+    topics.append_topic(aggregates_topic(hourly, F.col("window_end")), f"{root}/topic", "all")
+    sent = None
+    for name in ("one", "two"):
+
+        def subscriber(messages: DataFrame, number: int, name: str = name) -> None:
+            messages.write.mode("overwrite").parquet(f"{root}/{name}/number={number}")
+
+        rows = topics.stream_topic(spark, f"{root}/topic", MAX_FILES)
+        start_feed(rows, subscriber, f"{root}/checkpoint-{name}", once=True).awaitTermination()
+        got = spark.read.parquet(f"{root}/{name}").select(F.lit(name).alias("subscriber"), "scope", "window_start")
+        sent = got if sent is None else sent.unionByName(got)
+    return sent
+
+
 _AGGREGATE_JSON = (
     "scope string, window_start timestamp, window_end timestamp, avg_temp_c double,"
     " min_temp_c double, max_temp_c double, count bigint"

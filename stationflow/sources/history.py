@@ -26,6 +26,11 @@ COMPACTED = "compacted"
 
 COLUMNS = tuple(S.READING.names)
 
+# Files are sorted by sensor and time (behind the folders' columns, or the writer would sort
+# by those anew and lose the rest), so row groups have narrow ranges of sensors; where a
+# range holds a sensor that has no row, its Bloom filter says so.
+_SKIPPING = {"parquet.bloom.filter.enabled#sensor_id": "true", "parquet.bloom.filter.expected.ndv#sensor_id": "100000"}
+
 
 def ensure_history(spark: SparkSession, path: str) -> None:
     """Create the table folder; an existing table stays as it is."""
@@ -132,10 +137,11 @@ def append_ignore(spark: SparkSession, path: str, offered: DataFrame, batch: str
             {"event_date": F.to_date("ts"), "batch": F.lit(batch)}
         ).persist()
         (
-            spread(new, new.count(), "event_date", "sensor_id", "ts")
+            spread(new, new.count(), "event_date", "batch", "sensor_id", "ts")
             .select(*S.HISTORY.names)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
+            .options(**_SKIPPING)
             .partitionBy("event_date", "batch")
             .parquet(path)
         )
@@ -145,17 +151,22 @@ def append_ignore(spark: SparkSession, path: str, offered: DataFrame, batch: str
             new.unpersist()
 
 
-def compact(spark: SparkSession, path: str, target: str) -> None:
-    """Copy the table to ``target`` with all batches of a day merged.
+def compact(spark: SparkSession, path: str, target: str, first: date | None = None, last: date | None = None) -> None:
+    """Copy the days from ``first`` to ``last`` (all without them) to ``target``, each with its batches merged.
 
-    Run it while the writer is stopped. The old table stays as it is; point
-    readers and the writer at the copy once it is complete. A batch that is run
-    again afterwards finds its rows stored and adds nothing.
+    Days that no batch will touch any more can be compacted while the writer goes on with
+    others. The old table stays as it is; point readers and the writer at the copy once it
+    is complete. A batch that is run again afterwards finds its rows stored and adds nothing.
     """
     rows = scan(spark, path).withColumn("batch", F.lit(COMPACTED))
+    if first is not None:
+        rows = rows.where(F.col("event_date") >= F.lit(first))
+    if last is not None:
+        rows = rows.where(F.col("event_date") <= F.lit(last))
     (
-        spread(rows, rows.count(), "event_date", "sensor_id", "ts")
+        spread(rows, rows.count(), "event_date", "batch", "sensor_id", "ts")
         .write.mode("errorifexists")
+        .options(**_SKIPPING)
         .partitionBy("event_date", "batch")
         .parquet(target)
     )

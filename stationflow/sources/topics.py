@@ -7,7 +7,8 @@ without a broker. Operators never see the difference.
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+import re
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,9 @@ from stationflow.functions.times import interval
 
 _FILE = "_metadata.file_path"
 
+# Files of a backlog that a filter names: some megabytes of a plan.
+LISTED_FILES = 50_000
+
 TOPIC_FILE = T.StructType(
     S.TOPIC_ROW.fields
     + [T.StructField("day", T.DateType()), T.StructField("batch", T.StringType())]
@@ -65,18 +69,34 @@ def append_kafka(rows: DataFrame, options: dict[str, str]) -> None:
     rows.select("key", "value").write.format("kafka").options(**options).save()
 
 
-def read_topic(spark: SparkSession, path: str) -> DataFrame:
-    """Every retained row of a file topic."""
-    return spark.read.schema(TOPIC_FILE).parquet(path).select(*S.TOPIC_ROW.names)
+def read_topic(
+    spark: SparkSession, path: str, retention: timedelta | None = None, now: datetime | None = None
+) -> DataFrame:
+    """The rows of a file topic; with ``retention`` those that are young enough at ``now``.
+
+    ``purge_days`` drops whole days; the rows of a day that are older than the limit are left
+    out here, and earlier days are not opened.
+    """
+    rows = spark.read.schema(TOPIC_FILE).parquet(path)
+    if retention is not None:
+        moment = F.current_timestamp() if now is None else F.lit(now)
+        rows = rows.where(is_retained(retention, moment))
+        if now is not None:
+            rows = rows.where(F.col("day") >= F.lit((now - retention).astimezone(timezone.utc).date()))
+    return rows.select(*S.TOPIC_ROW.names)
 
 
 def end_files(spark: SparkSession, path: str) -> DataFrame:
     """The files a file topic has now: "latest" begins behind them.
 
     Offsets of a derived topic are those of its source and may repeat within a
-    partition; files do not. Store the result: it is the place to resume from.
+    partition; files do not. Files are listed, not read. Store the result: it is the place
+    to resume from.
     """
-    return spark.read.schema(TOPIC_FILE).parquet(path).select(F.col(_FILE).alias("file")).distinct()
+    found = spark.read.schema(TOPIC_FILE).parquet(path).inputFiles()
+    # Rows name a local file with one slash, lists with three.
+    names = [(re.sub("^file:/+", "file:/", name),) for name in found]
+    return spark.createDataFrame(names, "file string")
 
 
 def stream_topic(
@@ -84,8 +104,10 @@ def stream_topic(
 ) -> DataFrame:
     """A file topic as a stream, from the earliest retained row.
 
-    With ``backlog`` (from ``end_files``) it begins at latest: rows of those files
-    are passed over, all others come.
+    With ``backlog`` (from ``end_files``) it begins at latest: those files are passed over,
+    all others come. Up to ``LISTED_FILES`` of them are named in a filter on the file,
+    which Spark applies to its list of files: none of them is opened. More are matched by
+    their name while they are read.
 
     ``max_files`` bounds a batch, so that a backlog is worked off in batches the
     cluster can hold. Files of one write have no order among them: read windows
@@ -97,7 +119,11 @@ def stream_topic(
         reader = reader.option("maxFilesPerTrigger", max_files)
     rows = reader.parquet(path)
     if backlog is not None:
-        rows = rows.withColumn("file", F.col(_FILE)).join(backlog, "file", "left_anti")
+        names = [row.file for row in backlog.limit(LISTED_FILES + 1).collect()]
+        if len(names) <= LISTED_FILES:
+            rows = rows.where(~F.col(_FILE).isin(names)) if names else rows
+        else:
+            rows = rows.withColumn("file", F.col(_FILE)).join(backlog, "file", "left_anti")
     return rows.select(*S.TOPIC_ROW.names)
 
 

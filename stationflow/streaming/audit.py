@@ -29,6 +29,7 @@ AUDIT = T.StructType(
         T.StructField("rows", T.LongType()),
         T.StructField("slowest_ms", T.LongType()),
         T.StructField("metrics", T.MapType(T.StringType(), T.LongType())),
+        T.StructField("positions", T.ArrayType(T.StringType())),
     ]
 )
 
@@ -77,6 +78,8 @@ class AuditListener(StreamingQueryListener):
             return
         total |= {"last_batch": report.batchId, "last_at": report.timestamp, "batches": total["batches"] + 1}
         total["rows"] += report.numInputRows
+        # Where each source is read up to, as the source writes it.
+        total["positions"] = [source.endOffset for source in report.sources]
         total["slowest_ms"] = max(total["slowest_ms"], report.durationMs.get("triggerExecution", 0))
         for name, value in observed.items():
             total["metrics"][name] = total["metrics"].get(name, 0) + value
@@ -110,3 +113,27 @@ def metric_totals(audit: DataFrame) -> DataFrame:
     """(query, metric, n): observed counts of all runs of each query, ``rows`` among them."""
     rows = audit.select("query", F.explode(F.map_concat("metrics", F.create_map(F.lit("rows"), "rows"))).alias("metric", "n"))
     return rows.groupBy("query", "metric").agg(F.sum("n").alias("n"))
+
+
+def kafka_positions(audit: DataFrame) -> DataFrame:
+    """(query, topic, partition, committed): the last offset read of each Kafka partition, for ``topic_lag``.
+
+    From the newest run of each query. Positions of other sources are passed over.
+    """
+    newest = audit.groupBy("query").agg(F.max_by("positions", "last_at").alias("positions"))
+    kind = "map<string,map<string,bigint>>"
+    topics = newest.select("query", F.explode("positions").alias("at")).select("query", F.explode(F.from_json("at", kind)).alias("topic", "ends"))
+    ends = topics.select("query", "topic", F.explode("ends").alias("number", "end"))
+    return ends.select("query", "topic", F.col("number").try_cast("int").alias("partition"), (F.col("end") - 1).alias("committed")).where(
+        F.col("partition").isNotNull()
+    )
+
+
+def rows_behind(topic: DataFrame, audit: DataFrame, query: str) -> DataFrame:
+    """(query, newest, read, lag): rows of a file topic, those a query has read, and the rest.
+
+    For topics that lose no rows to retention between the two counts.
+    """
+    read = audit.where(F.col("query") == query).agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("read"))
+    counted = topic.agg(F.count(F.lit(1)).alias("newest")).withColumn("read", read.scalar())
+    return counted.select(F.lit(query).alias("query"), "newest", "read", (F.col("newest") - F.col("read")).alias("lag"))

@@ -164,6 +164,62 @@ def test_compaction_keeps_rows_and_replays(spark, table, tmp_path):
     assert stored(spark, target) == stored(spark, table)
 
 
+def scanned(df):
+    """Rows that the scans of a finished query handed on."""
+    df.collect()
+    nodes, rows = [df._jdf.queryExecution().executedPlan()], 0
+    while nodes:
+        node = nodes.pop()
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            nodes.append(node.executedPlan())
+        elif node.getClass().getSimpleName().endswith("QueryStageExec"):
+            nodes.append(node.plan())
+        elif node.getClass().getSimpleName() == "FileSourceScanExec":
+            rows += node.metrics().apply("numOutputRows").value()
+        else:
+            nodes += [node.children().apply(i) for i in range(node.children().length())]
+    return rows
+
+
+def test_row_groups_of_other_sensors_are_skipped(spark, table):
+    """A day's rows of two overlapping appends; one sensor is asked for, one has no row."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    rows = [(f"s{n % 40:03}", n // 40, n % 7, n) for n in range(40_000) if n % 40 != 25]
+    conf.set("parquet.block.size", "8192")
+    conf.set("parquet.page.row.count.limit", "1000")
+    try:
+        history.append_ignore(spark, table, offered(spark, *[r for r in rows if r[3] % 3]), "q-0")
+        history.append_ignore(spark, table, offered(spark, *rows), "q-1")
+    finally:
+        conf.unset("parquet.block.size")
+        conf.unset("parquet.page.row.count.limit")
+    whole = history.scan(spark, table)
+    assert whole.count() == len(rows)
+    one = history.count_for(whole, "s007")
+    assert one.first()["count"] == 1000 and scanned(one) < len(rows) / 4
+    # Within the range of its neighbours, but in no Bloom filter.
+    none = history.count_for(whole, "s025")
+    assert none.first()["count"] == 0 and scanned(none) == 0
+
+
+def test_days_outside_a_range_are_not_read(spark, table):
+    rows = [("a", day * 86_400, day, day) for day in range(6)]
+    history.append_ignore(spark, table, offered(spark, *rows), "q-0")
+    found = history.scan_range(spark, table, datetime(2025, 3, 10), datetime(2025, 3, 12))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
+    assert scanned(found) == 2 == found.count() or scanned(found) == 3
+
+
+def test_days_are_compacted_apart(spark, table, tmp_path):
+    rows = [("a", day * 86_400, day, day) for day in range(4)]
+    history.append_ignore(spark, table, offered(spark, *rows[:3]), "q-0")
+    history.append_ignore(spark, table, offered(spark, *rows), "q-1")
+    target = str(tmp_path / "days")
+    history.compact(spark, table, target, datetime(2025, 3, 10).date(), datetime(2025, 3, 11).date())
+    assert [r[2] for r in stored(spark, target)] == [1.0, 2.0]
+
+
 def test_purge_drops_whole_old_days(spark, table):
     rows = [("a", day * 86_400, day, day) for day in range(5)]
     history.append_ignore(spark, table, offered(spark, *rows), "q-0")

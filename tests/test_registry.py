@@ -3,6 +3,8 @@ from builders import BASE, SENSOR, frame
 
 from stationflow import schemas as S
 from stationflow.operators import registry as R
+from stationflow.operators.dedup import last_by
+from stationflow.sources import registry_store as store
 from stationflow.sources.registry_store import current_version, read_snapshot, write_snapshot
 
 REQUEST = "request_key string, lat double, lon double, start_temp_c double, pattern string, interval string"
@@ -156,3 +158,93 @@ def test_current_version_is_complete(spark, tmp_path):
     (tmp_path / "registry" / "version=11").mkdir()
     assert current_version(spark, path) == 10
     assert ids(read_snapshot(spark, path, current_version(spark, path))) == ["v10"]
+
+
+def change(spark, *rows):
+    """(id, seq, lat) as registrations."""
+    from pyspark.sql import functions as F
+
+    df = sensors(spark, *[{"id": i, "lat": lat} for i, _, lat in rows])
+    return df.join(spark.createDataFrame(rows, "id string, seq int, lat double"), ["id", "lat"]).select(*S.SENSOR.names, F.col("seq"))
+
+
+def now(spark, path):
+    return {r.id: r.lat for r in store.read_current(spark, path).collect()}
+
+
+def test_changes_on_top_of_a_snapshot(spark, tmp_path):
+    path = str(tmp_path / "registry")
+    assert now(spark, path) == {}
+    with pytest.raises(ValueError, match="first snapshot"):
+        store.append_upserts(spark, path, change(spark, ("a", 1, 47.0)))
+    write_snapshot(sensors(spark, *[{"id": i, "lat": 46.5} for i in "abcdef"]), path, 1)
+    state = {i: 46.5 for i in "abcdef"}
+    steps = [
+        (store.append_upserts, [("a", 1, 47.0), ("a", 3, 47.5), ("a", 2, 48.0), ("g", 1, 46.0), ("b", 1, 90.0)], {"a": 47.5, "g": 46.0}),
+        (store.append_upserts, [("a", 1, 46.25), ("c", 9, 46.75)], {"a": 46.25, "c": 46.75}),
+        (store.append_removals, ["a", "d", "unknown"], None),
+        (store.append_upserts, [("d", 1, 47.25)], {"d": 47.25}),
+    ]
+    for number, (append, rows, wanted) in enumerate(steps, 1):
+        frame_ = change(spark, *rows) if wanted else spark.createDataFrame([(i,) for i in rows], "id string")
+        assert append(spark, path, frame_) == number
+        state = state | wanted if wanted else {i: lat for i, lat in state.items() if i not in rows}
+        assert now(spark, path) == state
+    # A change that a writer left unfinished is in no registry, and its number is used again.
+    (tmp_path / "registry" / "changes" / "version=1" / "number=5").mkdir()
+    assert now(spark, path) == state
+    assert store.fold(spark, path, outgrown=5) is None
+    # A fold that broke off left a folder without a mark.
+    (tmp_path / "registry" / "version=2").mkdir()
+    assert store.fold(spark, path, outgrown=0.5) == 3
+    assert current_version(spark, path) == 3 and now(spark, path) == state
+    assert store.append_removals(spark, path, spark.createDataFrame([("g",)], "id string")) == 1
+    assert set(now(spark, path)) == set(state) - {"g"}
+
+
+def test_last_by_sorts_nothing(spark):
+    rows = [("a", 1, "x"), ("a", 3, "y"), ("b", 2, "z"), ("b", 2, "w"), ("c", None, "n"), ("d", 5, "d"), ("d", 5, "d")]
+    last = last_by(spark.createDataFrame(rows, "k string, n bigint, v string"), "k", "n")
+    got = {r.k: r.v for r in last.collect()}
+    assert last.count() == 4 and got["a"] == "y" and got["b"] in "zw" and (got["c"], got["d"]) == ("n", "d")
+    again = last_by(spark.createDataFrame(rows[::-1], "k string, n bigint, v string").repartition(3), "k", "n")
+    assert {r.k: r.v for r in again.collect()} == got
+    plan = R.upsert(sensors(spark, {}), change(spark, ("a", 1, 47.0)))._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+
+
+@pytest.mark.parametrize("digits", [1, 3, 8])
+def test_unique_ids_grow_only_where_they_collide(spark, digits):
+    from hashlib import sha256
+
+    keys = [f"request-{n}" for n in range(3000)]
+    df = spark.createDataFrame([(k,) for k in [*keys, *keys[:50], None]], "request_key string")
+    got = {r.request_key: r.id for r in R.unique_ids(df, digits=digits).collect()}
+    assert set(got) == set(keys) and len(set(got.values())) == len(keys)
+    said = {k: sha256(k.encode()).hexdigest() for k in keys}
+    starts = {}
+    for k in keys:
+        for n in range(digits, 12):
+            starts.setdefault(said[k][:n], set()).add(k)
+    for k in keys:
+        # The shortest start that no other key has.
+        length = next(n for n in range(digits, 12) if len(starts[said[k][:n]]) == 1)
+        assert got[k] == f"sensor-{said[k][:length]}"
+
+
+def test_unique_ids_keep_those_given_before(spark):
+    keys = [f"request-{n}" for n in range(400)]
+    make = lambda some: spark.createDataFrame([(k,) for k in some], "request_key string")
+    old = R.unique_ids(make(keys[:200]), digits=2)
+    before = {r.request_key: r.id for r in old.collect()}
+    new = {r.request_key: r.id for r in R.unique_ids(make(keys), old, digits=2).collect()}
+    assert {k: new[k] for k in before} == before and len(set(new.values())) == 400
+    # A replay in another order gives the same.
+    assert {r.request_key: r.id for r in R.unique_ids(make(keys[::-1]), old, digits=2).collect()} == new
+
+
+def test_reconcile_has_one_row_for_an_id(spark):
+    twice = sensors(spark, {"id": "a"}, {"id": "a", "lat": 46.0}, {"id": "a"})
+    for report in (False, True):
+        rows = R.reconcile(twice, twice, report_changes=report).collect()
+        assert [(r.id, r.action) for r in rows] == [("a", "keep")]

@@ -1,5 +1,6 @@
 from datetime import timedelta
 
+import pytest
 from builders import BASE, READING, at, topic, wire
 from pyspark.sql import functions as F
 
@@ -186,3 +187,43 @@ def test_latest_by_files_loses_no_row_of_a_derived_topic(spark, tmp_path):
     query = live.writeStream.format("memory").queryName("latest_by_files").trigger(availableNow=True).start()
     query.awaitTermination()
     assert [bytes(r.value) for r in spark.table("latest_by_files").collect()] == [b"live"]
+
+
+@pytest.mark.parametrize("listed", [50_000, 3])
+def test_latest_opens_no_file_of_the_backlog(spark, tmp_path, monkeypatch, listed):
+    """Named in the plan, the backlog's files are not opened; too many of them are passed over row by row."""
+    monkeypatch.setattr(topics, "LISTED_FILES", listed)
+    path = str(tmp_path / "topic")
+    for n in range(5):
+        topics.append_topic(topic(spark, [b"old"] * 20, start=20 * n).coalesce(1), path, f"old-{n}")
+    backlog = topics.end_files(spark, path)
+    assert backlog.count() == 5
+    for n in range(2):
+        topics.append_topic(topic(spark, [b"live"], start=n), path, f"new-{n}")
+    query = topics.stream_topic(spark, path, backlog=backlog).writeStream.format("memory").queryName(f"latest_{listed}")
+    query = query.trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert [bytes(r.value) for r in spark.table(f"latest_{listed}").collect()] == [b"live"] * 2
+    read = sum(p.numInputRows for p in query.recentProgress)
+    assert read == 2 if listed > 5 else read > 2
+
+
+def test_retention_on_read(spark, tmp_path):
+    path = str(tmp_path / "topic")
+    hours = [0, 20, 23, 24, 47]
+    for n, hour in enumerate(hours):
+        topics.append_topic(topic(spark, [b"v"], start=n, when=at(3600 * hour)), path, str(n))
+    kept = lambda limit: sorted(r.offset for r in topics.read_topic(spark, path, limit, at(3600 * 47)).collect())
+    assert kept(timedelta(hours=24)) == [2, 3, 4] and kept(timedelta(hours=1)) == [4] and kept(None) == [0, 1, 2, 3, 4]
+
+
+def test_positions_of_kafka_sources(spark):
+    from stationflow.streaming import audit
+
+    rows = [
+        ("q", "r1", None, 3, 3, "2025-03-09T10:00:00Z", 5, 1, {}, ['{"t":{"0":10,"1":4}}']),
+        ("q", "r2", None, 5, 2, "2025-03-09T11:00:00Z", 5, 1, {}, ['{"t":{"0":12,"1":7},"u":{"0":1}}']),
+        ("f", "r3", None, 5, 2, "2025-03-09T11:00:00Z", 5, 1, {}, ['{"logOffset":3}']),
+    ]
+    got = audit.kafka_positions(spark.createDataFrame(rows, audit.AUDIT)).collect()
+    assert sorted(map(tuple, got)) == [("q", "t", 0, 11), ("q", "t", 1, 6), ("q", "u", 0, 0)]
