@@ -5,22 +5,23 @@ contain them. The postings of those trigrams (trigram, row key) are built over t
 lower-cased texts and intersected by row; only rows that satisfy a rule's query are
 searched with its expression. A rule without mandatory trigrams searches every text.
 
-Only DataFrame functions. Postings of trigrams that no rule asks for are not built. What
-is shuffled is a bit mask for each row with a posting, never a text.
+Only DataFrame functions. One pass over a text finds the trigrams that any rule asks for;
+postings of others are not built. Postings are shuffled, never a text.
 """
 
 from __future__ import annotations
 
 import itertools
+import re
 import re._constants as sre
 import re._parser as sre_parser
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import checkpointed, packed, unpacked
 
+#: Trigrams of an alternative, clauses of a rule.
 MASK_BITS = 62
 #: Candidate rows (16 bytes each) that are broadcast; more are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
@@ -131,38 +132,63 @@ def _row_key(id_col: str, text: Column) -> Column:
     return F.xxhash64(F.col(id_col), text)
 
 
+def _any_of(trigrams: list[str]) -> str:
+    """An expression that matches nothing but looks ahead for a trigram, at every place; by first character."""
+    quoted = lambda text: re.sub(r"([^A-Za-z0-9])", r"\\\1", text)
+    starts: dict[str, list[str]] = {}
+    for trigram in trigrams:
+        starts.setdefault(trigram[0], []).append(quoted(trigram[1:]))
+    return "(?=(" + "|".join(f"{quoted(first)}(?:{'|'.join(rest)})" for first, rest in starts.items()) + "))"
+
+
 def postings(df: DataFrame, trigrams: list[str], id_col: str, text_col: str) -> DataFrame:
-    """(trigram, key): which rows hold which of the trigrams."""
-    # The array keeps the lower-cased text from being computed anew for each trigram.
-    low = df.where(F.col(text_col).isNotNull()).select(
-        _row_key(id_col, F.col(text_col)).alias("key"), F.explode(F.array(F.lower(text_col))).alias("low")
-    )
-    held = F.array_compact(F.array(*[F.when(F.contains("low", F.lit(t)), F.lit(n)) for n, t in enumerate(trigrams)]))
-    return low.select("key", F.explode(held).alias("trigram"))
+    """(trigram, key): which rows hold which of the trigrams. Each text is read once."""
+    low = F.lower(text_col)
+    held = F.array_distinct(F.regexp_extract_all(low, F.lit(_any_of(trigrams)), F.lit(1)))
+    rows = df.where(F.col(text_col).isNotNull())
+    return rows.select(_row_key(id_col, F.col(text_col)).alias("key"), F.explode(held).alias("trigram"))
+
+
+def _terms(queries: dict[int, frozenset]) -> list[tuple]:
+    """(trigram, rule, clause, alternative, bit, all bits, all clauses): who asks for a trigram."""
+    rows = []
+    for rule, query in queries.items():
+        for clause, options in enumerate(sorted(query, key=sorted_text)):
+            for option, trigrams in enumerate(sorted(options, key=sorted_text)):
+                if max(len(trigrams), len(query)) > MASK_BITS:
+                    raise ValueError("a rule asks for too many trigrams at once")
+                whole, clauses = (1 << len(trigrams)) - 1, (1 << len(query)) - 1
+                rows += [(t, rule, clause, option, 1 << n, whole, clauses) for n, t in enumerate(sorted(trigrams))]
+    return rows
+
+
+def sorted_text(part) -> str:
+    """An order for nested sets."""
+    return repr(sorted(map(sorted_text, part))) if isinstance(part, frozenset) else part
 
 
 def candidates(df: DataFrame, rules: list[Rule], id_col: str, text_col: str) -> DataFrame:
-    """(key, rules): the rows that satisfy a rule's query, with the numbers of those rules."""
+    """(key, rules): the rows that satisfy a rule's query, with the numbers of those rules.
+
+    The postings of an alternative's trigrams are intersected by row, those of a clause's
+    alternatives united, those of a rule's clauses intersected. Bits say which are there,
+    so repeated rows change nothing.
+    """
     queries = {n: q for n, rule in enumerate(rules) if (q := trigram_query(rule.pattern))}
-    names = sorted({t for q in queries.values() for clause in q for option in clause for t in option})
-    place = {t: i for i, t in enumerate(names)}
-    words = range(-(-len(names) // MASK_BITS))
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("trigram") % MASK_BITS)
-    masks = (
-        postings(df, names, id_col, text_col)
-        .groupBy("key")
-        .agg(*[F.bit_or(F.when(F.floor(F.col("trigram") / MASK_BITS) == w, bit).otherwise(0)).alias(f"m{w}") for w in words])
-    )
-
-    def option_holds(option) -> Column:
-        need = [sum(1 << place[t] % MASK_BITS for t in option if place[t] // MASK_BITS == w) for w in words]
-        return reduce(Column.__and__, [F.col(f"m{w}").bitwiseAND(F.lit(n)) == n for w, n in zip(words, need, strict=True) if n])
-
-    def holds(query) -> Column:
-        return reduce(Column.__and__, [reduce(Column.__or__, [option_holds(o) for o in clause]) for clause in query])
-
-    fitting = F.array_compact(F.array(*[F.when(holds(q), F.lit(n)) for n, q in queries.items()]))
-    return masks.select("key", fitting.alias("rules")).where(F.size("rules") > 0)
+    terms = _terms(queries)
+    if not terms:
+        return df.select(_row_key(id_col, F.col(text_col)).alias("key"), F.array().cast("array<int>").alias("rules")).where(F.lit(False))
+    names = ("trigram", "rule", "clause", "option", "bit", "whole", "clauses")
+    kinds = ("string", "int", "int", "int", "bigint", "bigint", "bigint")
+    rows = [F.struct(*[F.lit(v).cast(k).alias(n) for n, k, v in zip(names, kinds, row, strict=True)]) for row in terms]
+    # A row for each trigram of the rules.
+    asked = F.broadcast(df.sparkSession.range(1).select(F.inline(F.array(*rows))))
+    met = postings(df, sorted({row[0] for row in terms}), id_col, text_col).join(asked, "trigram")
+    options = met.groupBy("key", "rule", "clause", "option", "whole", "clauses").agg(F.bit_or("bit").alias("found"))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("clause"))
+    held = options.where(F.col("found") == F.col("whole")).groupBy("key", "rule", "clauses").agg(F.bit_or(one).alias("held"))
+    fitting = held.where(F.col("held") == F.col("clauses"))
+    return fitting.groupBy("key").agg(F.collect_set("rule").alias("rules"))
 
 
 def _matches(text: Column, rule: Rule, number: int) -> Column:
