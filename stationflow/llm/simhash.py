@@ -40,6 +40,8 @@ MINIMA = 6
 BLOCK = 2048
 #: Members of a family that meet in a unit of a comparison by sets, and their shingles; a family with more is dealt.
 MEMBERS, WEIGHT = 256, 1 << 19
+#: Units of a task, at most.
+UNITS = 1000
 #: Keys known to be larger than a block, at most: they are broadcast (16 bytes each).
 LARGE_KEYS = 1_000_000
 #: Shingles that are unpacked to bits at once.
@@ -391,11 +393,11 @@ def shingle_sets(families: DataFrame, rows: DataFrame, texts: DataFrame, words:
     return checkpointed(with_columns(placed, ["text"], added, make).drop("text"))
 
 
-def _trees(units: DataFrame, keys: list[str], similarity: tuple[int, int]) -> DataFrame:
+def _trees(placed: DataFrame, keys: list[str], similarity: tuple[int, int]) -> DataFrame:
     """Edges (a, b) between similar sets of each unit: a spanning forest.
 
-    ``units`` has the key columns, ``node``, ``asks`` (pairs of which one asks are compared)
-    and ``shingles``. A node may come twice, once asking.
+    ``placed`` has the key columns, ``node``, ``asks`` (pairs of which one asks are compared)
+    and ``shingles``, the rows of a unit in one partition. A node may come twice, once asking.
     """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -421,8 +423,8 @@ def _trees(units: DataFrame, keys: list[str], similarity: tuple[int, int]) -> Da
         if len(held["node"]) > 1:
             yield flush()
 
-    placed = units.select(*keys, "node", "asks", "shingles").repartition(*keys).sortWithinPartitions(*keys)
-    return placed.mapInArrow(compare, "a long, b long")
+    rows = placed.select(*keys, "node", "asks", "shingles").sortWithinPartitions(*keys)
+    return rows.mapInArrow(compare, "a long, b long")
 
 
 def verified(sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
@@ -440,7 +442,7 @@ def verified(sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     large = checkpointed(sizes.where(over & (F.col("n") > 2)).select("family", F.lit(True).alias("large")))
     marked = sets.join(F.broadcast(large), "family", "left")
     small = marked.where(F.col("large").isNull()).withColumn("asks", F.lit(True))
-    found = _trees(small, ["family"], similarity)
+    found = _trees(small.repartition("family"), ["family"], similarity)
     if large.isEmpty():
         return found
     return found.unionByName(_large_families(checkpointed(marked.where("large").drop("large")), similarity))
@@ -480,7 +482,12 @@ def _large_families(sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     asking = members.where(~F.col("near")).withColumn("row", spot("rows")).withColumn("column", every("columns"))
     asked = members.withColumn("column", spot("columns")).withColumn("row", every("rows"))
     both = asking.withColumn("asks", F.lit(True)).unionByName(asked.withColumn("asks", F.lit(False)))
-    return found.unionByName(_trees(both, ["family", "row", "column"], similarity))
+    # Units of one family go round all partitions, so none gets many of them by chance.
+    units = left.agg(F.sum(F.col("rows").cast("long") * F.col("columns"))).first()[0]
+    n = max(min(units, int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))), -(-units // UNITS))
+    turn = F.pmod(F.xxhash64("family"), F.lit(n)) + F.col("row").cast("long") * F.col("columns") + F.col("column")
+    placed = both.repartitionById(n, F.pmod(turn, F.lit(n)).cast("int"))
+    return found.unionByName(_trees(placed, ["family", "row", "column"], similarity))
 
 
 # --- operator -------------------------------------------------------------------------
