@@ -1,6 +1,9 @@
 """Training tokens from raw documents: select, clean, deduplicate, decontaminate, encode.
 
-Each stage gets what the one before it kept, written as Parquet and read again.
+Each stage gets what the one before it kept, written as Parquet and read again. Null and
+empty texts pass every stage (as near-duplicates of each other they are one group); null
+ids are kept; rows are judged one by one, so repeated rows and ties need no care but where
+a stage says so; empty tables give empty ones, and empty labels or benchmarks change nothing.
 """
 
 from __future__ import annotations
@@ -25,20 +28,31 @@ _WORDS = "[0-9A-Za-z[^\\x00-\\x7F]]+"
 
 
 def select_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier expects to be good; the others, toxic ones included, go."""
+    """Documents that the classifier expects to be good; the others, toxic ones included, go.
+
+    Labels with nulls do not count, of repeated ones the lowest grade does. Without two
+    different grades among them nothing goes.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality.train(docs, quality.grade_of(labels))
     return quality.grade(docs, model).where(F.col("p_good") >= SELECT_AT).select(docs.columns)
 
 
 def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, without the lines that many share; ``n_chars`` follows the text."""
+    """Every document, without the lines that many share; ``n_chars`` follows the text.
+
+    Lines stay in the document with the greatest id that holds them, in all rows of that id. A
+    null text becomes the empty one.
+    """
     cut = line_dedup.dedup_lines(docs)
     return cut.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: that with the smallest id."""
+    """One document of each group of near-duplicates: that with the smallest id.
+
+    A null id is greater than others; of rows alike in id and text one stays.
+    """
     return simhash.keep_one(docs, WORDS, RADIUS, LANES, simhash.MINIMA, similarity=SIMILARITY)
 
 
@@ -46,7 +60,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents without a benchmark passage; ``n_chars`` follows the text.
 
     An item of fewer than ``PASSAGE`` words is met by chance: its words are cut, and a
-    document goes only if nothing else was in it.
+    document goes only if nothing else was in it. Items without a text find nothing.
     """
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     long = F.regexp_count("text", F.lit(_WORDS)) >= PASSAGE
@@ -60,7 +74,10 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packed token ids of each text; ``round_trip`` says that they decode to the text."""
+    """Packed token ids of each text; ``round_trip`` says that they decode to the text.
+
+    A null text has no tokens and decodes to the empty text.
+    """
     vocabulary = bpe.read_vocabulary(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     decoded = bpe.decode(bpe.encode(docs, vocabulary), vocabulary)
     same = F.encode(F.coalesce("text", F.lit("")), "UTF-8") == F.col("decoded")
