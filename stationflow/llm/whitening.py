@@ -17,7 +17,7 @@ from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import (
     ArrayType, DecimalType, DoubleType, IntegerType, LongType, StructField, StructType,
 )
@@ -127,17 +127,21 @@ def eigenvectors(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 # --- distributed sums -----------------------------------------------------------------
 
 
-def scaled(vector: Column, scale: int = SCALE, shift: int = SHIFT) -> Column:
-    """The vector as whole numbers ``floor(scale * c) + shift``; null if it has a null, non-finite or too large entry."""
-    whole = F.transform(vector, lambda c: F.floor(c.cast("double") * scale))
-    odd = lambda c: c.isNull() | F.isnan(c) | (F.abs(c.cast("double")) * scale >= LARGEST)
-    return F.when(~F.exists(vector, odd), F.transform(whole, lambda c: c + F.lit(shift).cast("long")))
+def _lengths(column: pa.ListArray) -> np.ndarray:
+    """Lengths of the lists; null ones count as empty."""
+    return column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
 
 
-def _rows(column: pa.ListArray) -> np.ndarray:
-    """Lists of one length as the rows of a matrix of int64."""
-    flat = column.flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(len(column), -1).astype(np.int64)
+def whole_rows(column: pa.ListArray, length: int, scale: int, shift: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the lists that take part, and their entries ``floor(scale * c) + shift`` as rows of int64.
+
+    Those of another length take no part, nor those with a null, non-finite or too large entry.
+    """
+    those = np.flatnonzero(_lengths(column) == length)
+    entries = column.take(pa.array(those)).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(those), length)
+    with np.errstate(invalid="ignore"):
+        good = (np.abs(entries) * scale < LARGEST).all(axis=1)
+    return those[good], np.floor(entries[good] * scale).astype(np.int64) + shift
 
 
 def _products(rows: np.ndarray) -> np.ndarray:
@@ -178,12 +182,17 @@ class Whitening:
     values: np.ndarray
     vectors: np.ndarray
     trace: float
+    scale: int = SCALE
+    shift: int = SHIFT
     identity_error: float | None = None
 
     @property
     def dimension(self) -> int:
         return len(self.sums)
 
+    def rows_of(self, column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+        return whole_rows(column, self.dimension, self.scale, self.shift)
+
     def centre(self, rows: np.ndarray) -> np.ndarray:
         """``rows`` less the mean; the difference of whole parts is exact."""
         whole = np.array([s // self.rows for s in self.sums], dtype=np.int64)
@@ -212,45 +221,46 @@ class Whitening:
         return ((self.rows * apart.astype(object) - left.astype(object)) ** 2).sum(axis=1).tolist()
 
 
-def _usual_length(vectors: DataFrame) -> int:
-    """The length most vectors have, of equally frequent ones the greatest; 0 without vectors."""
-    counts = vectors.groupBy(F.size("x").alias("size")).agg(F.count(F.lit(1)).alias("n")).where(F.col("size") > 0)
-    top = counts.orderBy(F.desc("n"), F.desc("size")).first()
-    return top.size if top else 0
+def fit(vectors: DataFrame, components: int, scale: int = SCALE, shift: int = SHIFT) -> Whitening | None:
+    """Fit on all vectors of ``x`` (arrays of double) that take part; None if none does.
 
-
-def fit(vectors: DataFrame, components: int) -> Whitening | None:
-    """Fit on all rows of ``x`` (arrays of one length); None without rows."""
+    The length is that of most vectors, of equally frequent ones the greatest.
+    """
     small_batches(vectors.sparkSession)
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, total = 0, 0
+        n: dict[int, int] = {}
+        total: dict[int, np.ndarray] = {}
         for batch in batches:
-            if batch.num_rows:
-                n += batch.num_rows
-                total = total + _rows(batch.column(0)).astype(object).sum(axis=0)
-        if n:
+            lengths = _lengths(batch.column(0))
+            for length in np.unique(lengths[lengths > 0]).tolist():
+                rows = whole_rows(batch.column(0), length, scale, shift)[1]
+                if len(rows):
+                    n[length] = n.get(length, 0) + len(rows)
+                    total[length] = total.get(length, 0) + rows.astype(object).sum(axis=0)
+        for length in n:
             yield pa.RecordBatch.from_pydict(
-                {"n": [n], "s": pa.array([_decimals(total)], pa.list_(pa.decimal128(38, 0)))}
+                {"length": [length], "n": [n[length]], "s": pa.array([_decimals(total[length])], pa.list_(pa.decimal128(38, 0)))}
             )
 
-    kind = StructType([StructField("n", LongType()), StructField("s", ArrayType(_TOTAL))])
+    kind = StructType([StructField("length", LongType()), StructField("n", LongType()), StructField("s", ArrayType(_TOTAL))])
     only = vectors.select("x")
     counted = checkpointed(only.mapInArrow(sums, kind))
-    n = counted.agg(F.sum("n")).first()[0]
-    if not n:
+    usual = counted.groupBy("length").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), F.desc("length")).first()
+    if usual is None:
         return None
-    by_place = _summed(counted, "s")
-    total = [by_place[i] for i in range(len(by_place))]
-    d = len(total)
+    n, d = usual.n, usual.length
+    by_place = _summed(counted.where(F.col("length") == d), "s")
+    total = [by_place[i] for i in range(d)]
     middle = np.array([s // n for s in total], dtype=np.int64)
     upper = np.triu_indices(d)
 
     def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gram = None
         for batch in batches:
-            if batch.num_rows:
-                made = _products(_rows(batch.column(0)) - middle)[upper]
+            rows = whole_rows(batch.column(0), d, scale, shift)[1]
+            if len(rows):
+                made = _products(rows - middle)[upper]
                 gram = made if gram is None else gram + made
         if gram is not None:
             yield pa.RecordBatch.from_pydict({"g": pa.array([_decimals(gram)], pa.list_(pa.decimal128(38, 0)))})
@@ -263,7 +273,7 @@ def fit(vectors: DataFrame, components: int) -> Whitening | None:
         covariance[i, j] = covariance[j, i] = (n * gram[place] - left[i] * left[j]) / (n * n)
     values, vectors_ = eigenvectors(covariance)
     k = min(components, d)
-    fitted = Whitening(n, total, np.maximum(values[:k], 0.0), vectors_[:, :k], float(np.trace(covariance)))
+    fitted = Whitening(n, total, np.maximum(values[:k], 0.0), vectors_[:, :k], float(np.trace(covariance)), scale, shift)
     fitted.identity_error = _identity_error(only, fitted)
     return fitted
 
@@ -278,9 +288,8 @@ def _identity_error(only: DataFrame, fitted: Whitening) -> float | None:
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(k + k * k)
         for batch in batches:
-            if batch.num_rows:
-                z = fitted.project(_rows(batch.column(0)))[:, alive]
-                total += np.concatenate([z.sum(axis=0), (z.T @ z).ravel()])
+            z = fitted.project(fitted.rows_of(batch.column(0))[1])[:, alive]
+            total += np.concatenate([z.sum(axis=0), (z.T @ z).ravel()])
         yield pa.RecordBatch.from_pydict({"m": pa.array([total.tolist()], pa.list_(pa.float64()))})
 
     made = only.mapInArrow(measured, StructType([StructField("m", ArrayType(DoubleType()))]))
@@ -311,7 +320,7 @@ def whiten(
     with the names of added ones are replaced.
     """
     spark = rows.sparkSession
-    named = scaled(F.col(vector_col), scale, shift)
+    named = F.col(vector_col).cast("array<double>")
     added = [
         StructField("component", IntegerType()), StructField("n", LongType()), StructField("deviation", _TOTAL),
         StructField("whitened", DoubleType()), StructField("explained", DoubleType()), StructField("identity_error", DoubleType()),
@@ -320,10 +329,7 @@ def whiten(
     kept = without(rows.drop(vector_col), names)
     others = [name for name in rows.columns if name in kept.columns]
     packed = rows.select(F.struct(*[F.col(f"`{name}`") for name in others]).alias("row"), named.alias("x"))
-    packed = packed.where(F.col("x").isNotNull())
-    length = _usual_length(packed)
-    packed = packed.where(F.size("x") == length)
-    fitted = fit(packed, components) if length else None
+    fitted = fit(packed, components, scale, shift)
     item = StructType(added)
     if fitted is None:
         empty = packed.where(F.lit(False)).withColumn("made", F.lit(None).cast(item))
@@ -334,9 +340,9 @@ def whiten(
         fitted = held.value
         k = len(fitted.values)
         for batch in batches:
-            if not batch.num_rows:
+            those, x = fitted.rows_of(batch.column(1))
+            if not len(x):
                 continue
-            x = _rows(batch.column(1))
             z = fitted.project(x).ravel()
             count = len(x) * k
             explained = fitted.values / fitted.trace if fitted.trace > 0 else np.full(k, np.nan)
@@ -348,7 +354,7 @@ def whiten(
                 pa.array(np.tile(explained, len(x)), pa.float64(), mask=np.tile(np.isnan(explained), len(x))),
                 pa.array([fitted.identity_error] * count, pa.float64()),
             ]
-            row = batch.column(0).take(pa.array(np.repeat(np.arange(len(x)), k)))
+            row = batch.column(0).take(pa.array(np.repeat(those, k)))
             made = pa.StructArray.from_arrays(columns, names=names)
             yield pa.RecordBatch.from_arrays([row, made], names=["row", "made"])
 
