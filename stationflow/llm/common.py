@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import sys
 import tempfile
 from collections.abc import Callable, Iterator
@@ -18,6 +19,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__package__])
 
 BATCH_ROWS_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
 BATCH_ROWS = 1000
+READ_ROWS_KEY = "spark.sql.parquet.columnarReaderBatchSize"
+READ_ROWS = 256
 #: Bits that monotonically_increasing_id() uses for the place within a partition.
 PLACE_BITS = 33
 
@@ -90,6 +93,17 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(BATCH_ROWS_KEY, str(BATCH_ROWS))
 
 
+@contextlib.contextmanager
+def short_reads(spark: SparkSession) -> Iterator[None]:
+    """What runs inside reads Parquet in batches of few rows: the texts of a batch lie in one array on the heap."""
+    rows = spark.conf.get(READ_ROWS_KEY)
+    spark.conf.set(READ_ROWS_KEY, str(min(int(rows), READ_ROWS)))
+    try:
+        yield
+    finally:
+        spark.conf.set(READ_ROWS_KEY, rows)
+
+
 def with_columns(
     df: DataFrame,
     reads: list[str],

@@ -15,7 +15,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import before, in_order, packed, unpacked
+from .common import before, in_order, packed, short_reads, unpacked
 
 ROUNDS = 4
 LONGEST_WALK = 64
@@ -93,7 +93,9 @@ def assign(
         F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
         F.xxhash64(text).alias("_hash"),
     )
-    rows = in_order(narrow, "_id", "size", "text_crc32", "_hash")
+    # The only step that reads whole texts, and it runs here.
+    with short_reads(df.sparkSession):
+        rows = in_order(narrow, "_id", "size", "text_crc32", "_hash")
     parts = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
     n = parts.agg(F.sum("_rows")).first()[0] or 0
     # One row for each range, so the broadcast is as small as the list of tasks.

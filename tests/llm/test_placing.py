@@ -29,6 +29,21 @@ def test_sharding_does_not_depend_on_partitions(make_docs):
     assert one == many
 
 
+def test_sharding_reads_few_whole_texts_at_a_time(spark, make_docs, monkeypatch, tmp_path):
+    key, ordered, seen = "spark.sql.parquet.columnarReaderBatchSize", sharding.in_order, []
+    monkeypatch.setattr(sharding, "in_order", lambda df, *keys: (seen.append(int(spark.conf.get(key))), ordered(df, *keys))[1])
+    make_docs([(i, f"t{i}") for i in range(600)]).write.parquet(f"{tmp_path}/docs")
+    usual = spark.conf.get(key)
+    for own in (usual, "100"):
+        spark.conf.set(key, own)
+        try:
+            assert sharding.assign(spark.read.parquet(f"{tmp_path}/docs"), 7, keep=["doc_id"]).count() == 600
+            assert spark.conf.get(key) == own
+        finally:
+            spark.conf.set(key, usual)
+    assert seen == [256, 100]
+
+
 def test_permutation_goes_both_ways(spark):
     for n in (1, 2, 3, 10, 97, 1000):
         p = sharding.Permutation(n, 5)
