@@ -3,8 +3,8 @@
 A chunk of documents is cut into words by the tokenizer's pattern. Over its distinct new
 words an inverted index from the rank of a token pair to its positions is kept; the ranks
 are taken in order, each merge is applied at all its positions at once, and only the pairs
-with the touched neighbours are looked up and entered anew. The words' tokens then spell
-the documents. Chunks are independent: nothing is shuffled and a lost task is redone alone.
+with the touched neighbours are looked up and entered anew. The first index, of pairs of
+bytes, is made by one sort. The words' tokens then spell the documents. Chunks are independent: nothing is shuffled and a lost task is redone alone.
 
 Tokens are stored packed, as little-endian unsigned 32-bit integers.
 """
@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import base64
 import bisect
+import functools
 import heapq
 import itertools
 import struct
@@ -31,6 +32,25 @@ CHUNK = 1 << 20
 REMEMBERED = 250_000
 #: Pairs a task remembers the rank of.
 _PAIRS = 200_000
+#: Stands between words; no byte of UTF-8.
+_END = 0xFF
+
+
+class _Follow(dict):
+    """The rank of a first token with each second one, -1 if they don't merge; looked up when first asked for."""
+
+    __slots__ = ("first", "vocabulary")
+
+    def __init__(self, first: int, vocabulary: Vocabulary):
+        self.first, self.vocabulary = first, vocabulary
+
+    def __missing__(self, second: int) -> int:
+        found, v = -1, self.vocabulary
+        if self.first < v.end and second < v.end:
+            found = v.rank.get(v.name[self.first] + v.name[second], -1)
+        self[second] = found
+        v.met += 1
+        return found
 
 
 class Vocabulary:
@@ -41,91 +61,101 @@ class Vocabulary:
         self.name = dict(zip(self.rank.values(), self.rank, strict=True))
         self.byte = [self.rank[bytes([b])] for b in range(256)]
         self.cut = regex.compile(pattern).findall
-        self._pair: dict[int, int] = {}
-
-    def _look_up(self, a: int, b: int) -> int:
-        """The rank of a pair not met yet, or -1; it is kept for the next time."""
-        if len(self._pair) >= _PAIRS:
-            self._pair.clear()
-        found = self._pair[a << 32 | b] = self.rank.get(self.name[a] + self.name[b], -1)
-        return found
-
-    def replay(self, words: list[bytes]) -> list[list[int]]:
-        """The tokens of each word, all words at once.
+        # Two numbers that are no token, and merge with nothing: the end of a word, a token merged away.
+        self.end = max(self.name) + 1
+        self.gone = self.end + 1
+        self.met = 0
+
+    @functools.cached_property
+    def follow(self) -> list[_Follow]:
+        """By first token."""
+        return [_Follow(first, self) for first in range(self.gone + 1)]
+
+    @functools.cached_property
+    def _bytes(self) -> tuple[np.ndarray, np.ndarray]:
+        """The token of each byte, and the rank of each pair of bytes; ``_END`` ends a word."""
+        one, two = np.array(self.byte), np.full((256, 256), -1)
+        for name, rank in self.rank.items():
+            if len(name) == 2:
+                two[name[0], name[1]] = rank
+        one[_END], two[_END], two[:, _END] = self.end, -1, -1
+        return one, two
+
+    def replay(self, words: list[bytes]) -> list[bytes]:
+        """The tokens of each word, packed, all words at once.
 
         A word always takes its lowest rank, leftmost first. If a merge opens a pair of a
         lower rank, the word's other positions wait until that one has been replayed.
         """
-        known, look_up = self._pair.get, self._look_up
-        # All words one after the other; -1 stands between them and ends every chain.
-        token: list[int] = []
-        starts: list[int] = []
-        for word in words:
-            starts.append(len(token))
-            token += map(self.byte.__getitem__, word)
-            token.append(-1)
+        if not words:
+            return []
+        follow, gone, (one, two) = self.follow, self.gone, self._bytes
+        if self.met > _PAIRS:
+            self.met = 0
+            for ranks in follow:
+                ranks.clear()
+        # All words one after the other; an end follows each and ends every chain.
+        data = np.frombuffer(bytes([_END]).join([*words, b""]), np.uint8)
+        token: list[int] = one[data].tolist()
+        ends = np.flatnonzero(data == _END)
+        starts = [0, *(ends[:-1] + 1).tolist()]
         after, ahead = list(range(1, len(token) + 1)), list(range(-1, len(token) - 1))
-        places: dict[int, list[int]] = {}
-        for at, (one, two) in enumerate(itertools.pairwise(token)):
-            if one >= 0 and two >= 0:
-                rank = known(one << 32 | two)
-                if rank is None:
-                    rank = look_up(one, two)
-                if rank >= 0:
-                    if rank in places:
-                        places[rank].append(at)
-                    else:
-                        places[rank] = [at]
-        queue = list(places)
-        heapq.heapify(queue)
+        ranks = two[data[:-1], data[1:]]
+        at = np.flatnonzero(ranks >= 0)
+        at = at[np.argsort(ranks[at], kind="stable")]
+        met, first = np.unique(ranks[at], return_index=True)
+        queue = met.tolist()  # sorted, so a heap
+        places: list[list[int] | None] = [None] * self.end
+        for rank, found in zip(queue, np.split(at, first[1:]), strict=False):
+            places[rank] = found.tolist()
+        push = heapq.heappush
         while queue:
             rank = heapq.heappop(queue)
-            waiting, again = -1, []
-            for at in sorted(places.pop(rank, ())):
-                one, right = token[at], after[at]
-                # A token that has been merged away is -2: its pairs are no longer there.
-                if one < 0 or token[right] < 0 or known(one << 32 | token[right], -1) != rank:
-                    if one >= 0 and token[right] >= 0 and look_up(one, token[right]) == rank:
-                        again.append(at)
+            turn, places[rank] = sorted(places[rank]), None
+            waiting, again, beside = -1, [], follow[rank]
+            for at in turn:
+                right = after[at]
+                # Pairs of a token that has been merged away are no longer there.
+                if follow[token[at]][token[right]] != rank:
                     continue
                 if at < waiting:
                     again.append(at)
                     continue
-                token[at], token[right] = rank, -2
+                token[at], token[right] = rank, gone
                 following, before = after[right], ahead[at]
                 after[at], ahead[following] = following, at
-                next_token, low = token[following], False
-                if next_token >= 0:
-                    new = known(rank << 32 | next_token)
-                    if new is None:
-                        new = look_up(rank, next_token)
-                    if new >= 0:
-                        low = new < rank
-                        if new in places:
-                            places[new].append(at)
-                        else:
-                            places[new] = [at]
-                            heapq.heappush(queue, new)
-                if before >= 0 and token[before] >= 0:
-                    new = known(token[before] << 32 | rank)
-                    if new is None:
-                        new = look_up(token[before], rank)
-                    if new >= 0:
-                        low = low or new < rank
-                        if new in places:
-                            places[new].append(before)
-                        else:
-                            places[new] = [before]
-                            heapq.heappush(queue, new)
+                low = False
+                new = beside[token[following]]
+                if new >= 0:
+                    low = new < rank
+                    if (known := places[new]) is not None:
+                        known.append(at)
+                    else:
+                        places[new] = [at]
+                        push(queue, new)
+                # Before the first word lies place -1, the last one: an end too.
+                new = follow[token[before]][rank]
+                if new >= 0:
+                    low = low or new < rank
+                    if (known := places[new]) is not None:
+                        known.append(before)
+                    else:
+                        places[new] = [before]
+                        push(queue, new)
                 if low:
                     # Positions up to this word's end wait.
                     waiting = starts[bisect.bisect_right(starts, at)] if at < starts[-1] else len(token)
             if again:
-                if rank not in places:
-                    heapq.heappush(queue, rank)
-                places.setdefault(rank, []).extend(again)
-        ends = [*starts[1:], len(token)][: len(words)]
-        return [[t for t in token[start:end] if t >= 0] for start, end in zip(starts, ends, strict=True)]
+                if places[rank] is None:
+                    places[rank] = again
+                    push(queue, rank)
+                else:
+                    places[rank] += again
+        left = np.array(token)
+        kept = left < self.end
+        packed = left[kept].astype("<u4").tobytes()
+        cuts = [0, *(4 * np.cumsum(kept)[ends]).tolist()]
+        return [packed[start:end] for start, end in itertools.pairwise(cuts)]
 
 
 class Encoder:
@@ -151,8 +181,8 @@ class Encoder:
                 replayed.append((word, data))
             else:
                 self.known[word] = _packed([whole])
-        for (word, _), tokens in zip(replayed, self.vocabulary.replay([data for _, data in replayed]), strict=True):
-            self.known[word] = _packed(tokens)
+        words = [word for word, _ in replayed]
+        self.known.update(zip(words, self.vocabulary.replay([data for _, data in replayed]), strict=True))
         spell = self.known.__getitem__
         return [b"".join(map(spell, words)) for words in pieces]
 
@@ -194,9 +224,12 @@ def decode(rows: DataFrame, vocabulary, tokens_col: str = "tokens") -> DataFrame
     """Add ``decoded``: the bytes the packed tokens spell; null reads as no tokens."""
 
     def make(batches):
-        name = Vocabulary(*vocabulary.value).name.__getitem__
+        known = Vocabulary(*vocabulary.value)
+        name = np.empty(known.end, object)
+        for token, spelling in known.name.items():
+            name[token] = spelling
         for batch in batches:
-            spelled = [b"".join(map(name, np.frombuffer(t, "<u4").tolist())) for t in as_bytes(batch[tokens_col])]
+            spelled = [b"".join(name[np.frombuffer(t, "<u4")].tolist()) for t in as_bytes(batch[tokens_col])]
             yield {"decoded": pa.array(spelled, pa.binary())}
 
     return with_columns(rows, [tokens_col], StructType([StructField("decoded", BinaryType())]), make)

@@ -6,6 +6,7 @@ import itertools
 import random
 import re
 import struct
+import sys
 from collections import defaultdict
 
 import numpy as np
@@ -294,6 +295,42 @@ def test_bpe_equals_tiktoken(spark, make_docs, edges, reference_encoding):
         assert bytes(r.decoded) == (r.text or "").encode()
 
 
+def test_bpe_replay_takes_few_steps(reference_encoding):
+    """Bytecode steps a byte, as seconds differ from run to run; 129 when a pair was looked up under one large number."""
+    rng, steps = random.Random(8), 0
+    words = ["".join(rng.choices(("th", "re", "on", "an", "er", "ou", "é", "漢"), k=6)) for _ in range(300)] + ["", "a"]
+    data = [word.encode() for word in words]
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as file:
+        vocabulary = bpe.Vocabulary(file.read(), public_tokenizers.PATTERN)
+    expected = [struct.pack(f"<{len(ids)}I", *ids) for ids in map(reference_encoding.encode_ordinary, words)]
+    assert vocabulary.replay(data) == expected and vocabulary.replay([]) == [] and vocabulary.replay([b""]) == [b""]
+
+    def trace(frame, event, _):
+        nonlocal steps
+        frame.f_trace_opcodes = True
+        steps += event == "opcode"
+        return trace
+
+    traced = sys.gettrace()
+    sys.settrace(trace)
+    try:
+        again = vocabulary.replay(data)
+    finally:
+        sys.settrace(traced)
+    assert again == expected
+    assert steps < 80 * sum(map(len, data))
+
+
+def test_bpe_forgets_pairs(reference_encoding, monkeypatch):
+    monkeypatch.setattr(bpe, "_PAIRS", 10)
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as file:
+        encoder = bpe.Encoder(bpe.Vocabulary(file.read(), public_tokenizers.PATTERN))
+    for text in ("tho thon re\0thon erou", "Größe 漢字 Größen", "thonre erounan"):
+        ids = reference_encoding.encode_ordinary(text)
+        assert encoder.encode([text, "", text]) == [spelled := struct.pack(f"<{len(ids)}I", *ids), b"", spelled]
+        assert encoder.vocabulary.met < 500
+
+
 def test_bpe_query(spark, sf_dir, reference_encoding):
     got = {r.doc_id: r for r in QUERIES["op9_bpe"](spark, sf_dir).collect()}
     for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect():
