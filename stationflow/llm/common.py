@@ -21,17 +21,22 @@ BATCH_ROWS_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
 BATCH_ROWS = 1000
 READ_ROWS_KEY = "spark.sql.parquet.columnarReaderBatchSize"
 READ_ROWS = 256
+#: Rows of a file of a checkpoint whose size is known, and files that are not too many for any.
+FILE_ROWS, FILES = 50_000, 48
 #: Bits that monotonically_increasing_id() uses for the place within a partition.
 PLACE_BITS = 33
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
+def checkpointed(df: DataFrame, rows: int | None = None) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and go on from there.
 
     The folder is the one ``spark.checkpoint.dir`` names. Only a local master without
-    that setting gets a temporary folder.
+    that setting gets a temporary folder. ``rows`` (at most so many short ones) lets partitions of
+    a few rows share a file: on a local file system each file starts several child processes.
     """
     use_checkpoint_dir(df.sparkSession)
+    if rows is not None:
+        df = df.coalesce(max(FILES, -(-rows // FILE_ROWS)))
     return df.checkpoint()
 
 
@@ -93,6 +98,12 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(BATCH_ROWS_KEY, str(BATCH_ROWS))
 
 
+def small_reads(spark: SparkSession) -> None:
+    """Lower the session's rows per Parquet batch, for whole texts that are read after the caller has returned."""
+    if int(spark.conf.get(READ_ROWS_KEY)) > READ_ROWS:
+        spark.conf.set(READ_ROWS_KEY, str(READ_ROWS))
+
+
 @contextlib.contextmanager
 def short_reads(spark: SparkSession) -> Iterator[None]:
     """What runs inside reads Parquet in batches of few rows: the texts of a batch lie in one array on the heap."""

@@ -2,7 +2,7 @@
 
 Every round each node takes the smallest label among its own and its neighbours' (a
 minimum that shrinks before the shuffle, so a node with very many edges is no hot spot)
-and then the label of its label. Labels are written to the checkpoint folder each round.
+and then the label of its label. Labels are written to the checkpoint folder once a round.
 A node with very many edges, or a label that very many nodes carry, is dealt over several keys of the join.
 """
 
@@ -38,24 +38,23 @@ def join_dealt(rows: DataFrame, unique: DataFrame, key: str, by: str, total: int
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) for each node of an edge; the component is its smallest node.
 
-    Edges are undirected; loops and repeated edges are fine. No edges, no rows.
+    Edges are undirected; loops and repeated edges are fine. No edges, no rows. The edges
+    are computed once.
     """
-    both = checkpointed(
-        edges.select(F.col(a).alias("node"), F.col(b).alias("other"))
-        .unionByName(edges.select(F.col(b).alias("node"), F.col(a).alias("other")))
-        .distinct()
-    )
-    labels = checkpointed(both.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("component")))
+    one_way, back = F.struct(F.col(a).alias("node"), F.col(b).alias("other")), F.struct(F.col(b).alias("node"), F.col(a).alias("other"))
+    both = checkpointed(edges.select(F.explode(F.array(one_way, back)).alias("edge")).select("edge.node", "edge.other").distinct())
+    labels = both.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("component"))
     total, edges_ = labels.count(), both.count()
     while True:
         # The label of each node goes to its neighbours, and to those that carry its name.
         offers = join_dealt(both, labels, "node", "other", edges_).select(F.col("other").alias("node"), "component")
-        nearest = checkpointed(offers.unionByName(labels).groupBy("node").agg(F.min("component").alias("component")))
+        # Used three times in one query, which shuffles it once.
+        nearest = offers.unionByName(labels).groupBy("node").agg(F.min("component").alias("component"))
         jump = nearest.select(F.col("node").alias("component"), F.col("component").alias("further"))
         moved = join_dealt(nearest, jump, "component", "node", total).select(
             "node", F.least("component", "further").alias("component")
         )
-        after = checkpointed(moved)
+        after = checkpointed(moved, total)
         change = after.join(labels.withColumnRenamed("component", "_old"), "node").where(F.col("component") != F.col("_old"))
         labels = after
         if change.isEmpty():

@@ -439,7 +439,7 @@ def verified(sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     total, weight = (n or 0 for n in sizes.agg(F.sum("n"), F.sum("heavy")).first())
     # Families above a border cannot be more than LARGE_KEYS; two members need no more than one comparison.
     over = (F.col("n") > max(MEMBERS, total // LARGE_KEYS)) | (F.col("heavy") > max(WEIGHT, weight // LARGE_KEYS))
-    large = checkpointed(sizes.where(over & (F.col("n") > 2)).select("family", F.lit(True).alias("large")))
+    large = checkpointed(sizes.where(over & (F.col("n") > 2)).select("family", F.lit(True).alias("large")), total // 3)
     marked = sets.join(F.broadcast(large), "family", "left")
     small = marked.where(F.col("large").isNull()).withColumn("asks", F.lit(True))
     found = _trees(small.repartition("family"), ["family"], similarity)
@@ -470,7 +470,8 @@ def _large_families(sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     )
     parts = lambda n, heavy: F.ceil(F.greatest(F.col(n) / MEMBERS, F.least(n, F.col(heavy) / WEIGHT))).cast("int")
     left = checkpointed(
-        stats.where(F.col("n_far") > 0).select("family", parts("n_far", "heavy_far").alias("rows"), parts("n", "heavy").alias("columns"))
+        stats.where(F.col("n_far") > 0).select("family", parts("n_far", "heavy_far").alias("rows"), parts("n", "heavy").alias("columns")),
+        total // 3,
     )
     if left.isEmpty():
         return found
@@ -500,7 +501,7 @@ def _with_smallest(named: DataFrame) -> DataFrame:
     its own component and needs no partner.
     """
     linked = named.where("linked")
-    smallest = checkpointed(linked.groupBy("component").agg(F.min("least").alias("component_id")))
+    smallest = linked.groupBy("component").agg(F.min("least").alias("component_id"))
     return join_dealt(named, smallest, "component", "node", named.count()).select(
         "node", "component", F.coalesce("component_id", "least").alias("component_id")
     )
@@ -545,14 +546,14 @@ def group_near_duplicates(
         rows = checkpointed(printed.withColumn("node", node))
     nodes = rows.groupBy("node").agg(F.min("doc_id").alias("least"))
     if similarity:
-        candidates = components(checkpointed(links(minima_keys(rows), lanes, radius)))
+        candidates = components(links(minima_keys(rows), lanes, radius))
         families = candidates.withColumnRenamed("component", "family")
         found = verified(shingle_sets(families, rows, slim.select(said, "text"), words), similarity)
     else:
         found = links(minima_keys(rows) if minima else band_keys(nodes, radius), lanes, radius)
-    reached = components(checkpointed(found))
+    reached = components(found)
     linked = nodes.join(reached, "node", "left").withColumn("linked", F.col("component").isNotNull())
-    to_id = checkpointed(_with_smallest(checkpointed(linked.withColumn("component", F.coalesce("component", "node")))))
+    to_id = _with_smallest(checkpointed(linked.withColumn("component", F.coalesce("component", "node"))))
     return rows.join(to_id, "node").select(
         "doc_id", *carried, F.lower(F.hex("print")).alias("fingerprint"), "component_id", "component"
     )

@@ -17,7 +17,7 @@ import xxhash
 from compare import connect, duckdb_rows, spark_rows
 
 import corpus_pipeline
-from stationflow.llm import bpe, components, decontaminate, html_extract, line_dedup, quality, simhash
+from stationflow.llm import bpe, common, components, decontaminate, html_extract, line_dedup, quality, simhash
 from stationflow.llm.queries import ORACLE, QUERIES
 
 
@@ -153,6 +153,31 @@ def test_components(spark, monkeypatch, dealt):
     assert got == {**{i: 0 for i in range(31)}, 40: 40, 50: 40, 60: 40}
 
 
+def test_components_write_few_files(spark, monkeypatch):
+    """One checkpoint of the edges and one of the labels a round, of few files however many partitions there are."""
+    set_ = {"spark.sql.shuffle.partitions": "101", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in set_}
+    written = []
+    real = components.checkpointed
+
+    def noted(*args):
+        written.append(real(*args))
+        return written[-1]
+
+    monkeypatch.setattr(components, "checkpointed", noted)
+    try:
+        for key, value in set_.items():
+            spark.conf.set(key, value)
+        found = components.components(spark.createDataFrame([(1, 2), (2, 3), (3, 4), (9, 8)], "a long, b long"))
+        files = [df.rdd.getNumPartitions() for df in written]
+        got = {r.node: r.component for r in found.collect()}
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert got == {1: 1, 2: 1, 3: 1, 4: 1, 8: 8, 9: 8}
+    assert files[0] == 101 and 1 < len(files) <= 4 and max(files[1:]) <= common.FILES
+
+
 def test_dealt_join_equals_plain_join(spark, monkeypatch):
     monkeypatch.setattr(components, "DEALT", 3)
     rows = spark.createDataFrame([(i % 20 and 1, i) for i in range(60)] + [(None, 60), (7, 61)], "k long, n long")
@@ -534,6 +559,18 @@ def test_pipeline(spark, sf_dir):
         assert stage(spark, docs, sf_dir).columns == docs.columns
 
 
+def test_stages_read_few_rows_at_once(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(20)
+    before = spark.conf.get(common.READ_ROWS_KEY)
+    try:
+        for name, stage in corpus_pipeline.STAGES:
+            spark.conf.set(common.READ_ROWS_KEY, "4096")
+            stage(spark, docs, sf_dir)
+            assert int(spark.conf.get(common.READ_ROWS_KEY)) == common.READ_ROWS, name
+    finally:
+        spark.conf.set(common.READ_ROWS_KEY, before)
+
+
 def test_short_items_do_not_drop_documents(spark, tmp_path):
     long = " ".join(f"w{i}" for i in range(10))
     spark.createDataFrame([(1, "Yes"), (2, "São Paulo"), (3, long), (4, None), (5, "...")], "item_id long, text string").write.parquet(
