@@ -13,7 +13,8 @@ Documents with the same fingerprint are one node. Nodes that can be close meet i
 In a block the fingerprints are stored as vertical bit planes. A query bit turns a plane
 into the differences of 64 fingerprints per machine word; carry-save counters add them for
 all at once, and a tile is abandoned as soon as all its counts exceed the radius. Links
-are reduced to a spanning forest within the block, never listed as pairs.
+are reduced to a spanning forest within the block, never listed as pairs. A key too large for
+a block has a hub: what is close to it is linked by that, and only the rest meets all others.
 
 Fingerprints only estimate similarity. With ``similarity`` they choose candidates: nodes
 that candidate links connect are a family, the sets of shingles of its members are
@@ -36,7 +37,7 @@ from .components import components, join_dealt
 
 SEED = 42
 MINIMA = 6
-#: Fingerprints of a block; a key with more is split into blocks that meet in pairs.
+#: Fingerprints of a block; what is far from the hub of a key with more is split into blocks that meet in pairs.
 BLOCK = 2048
 #: Members of a family that meet in a unit of a comparison by sets, and their shingles; a family with more is dealt.
 MEMBERS, WEIGHT = 256, 1 << 19
@@ -44,6 +45,8 @@ MEMBERS, WEIGHT = 256, 1 << 19
 UNITS = 1000
 #: Keys known to be larger than a block, at most: they are broadcast (16 bytes each).
 LARGE_KEYS = 1_000_000
+#: Edges of two sides that meet, from which on they are reduced to those between the trees of each side.
+FEW = 64
 #: Shingles that are unpacked to bits at once.
 AT_ONCE = 1 << 17
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
@@ -221,6 +224,18 @@ def forest(prints: np.ndarray, radius: int, halves: int | None = None, tile: int
     return root
 
 
+def bridges(root: np.ndarray, nodes: np.ndarray, prints: np.ndarray, radius: int, side: int) -> np.ndarray:
+    """``root`` of two sides that meet, reduced to edges between trees: those within a side are found in a block of its own.
+
+    A second side of one node only, however many fingerprints it has, is one tree.
+    """
+    n = len(root)
+    second = np.zeros(n - side, dtype=np.int64) if (nodes[side:] == nodes[side]).all() else forest(prints[side:], radius)
+    tree = np.concatenate([forest(prints[:side], radius), side + second])
+    linked = np.flatnonzero(root != np.arange(n))
+    return _roots(n, tree[linked], tree[root[linked]])
+
+
 # --- links ----------------------------------------------------------------------------
 
 
@@ -255,24 +270,64 @@ def links(keyed: DataFrame, lanes: int, radius: int) -> DataFrame:
 
     ``keyed`` has ``key``, ``node`` (both long) and ``print``. Rows of one key are sorted
     together; keys of a single row are passed over, short keys share a
-    block, and a key with more than ``BLOCK`` rows is dealt to blocks that meet in pairs,
-    each pair in a group of its own.
+    block, and what is far from the hub of a key with more than ``BLOCK`` rows is dealt to blocks that
+    meet in pairs, each pair in a group of its own.
     """
     sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
-    total = sizes.agg(F.sum("size")).first()[0] or 0
+    total, largest = (n or 0 for n in sizes.agg(F.sum("size"), F.max("size")).first())
     # Keys above a border cannot be more than LARGE_KEYS.
-    over = F.col("size") > max(BLOCK, total // LARGE_KEYS)
-    large = sizes.where(over).select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("parts"))
-    parts = F.coalesce("parts", F.lit(1))
-    mine = F.pmod(F.xxhash64("node", F.lit(7)), parts).cast("int")
+    border = max(BLOCK, total // LARGE_KEYS)
+    whole = [F.lit(0).alias(name) for name in ("low", "high", "mine")]
+    if largest <= border:
+        return _forests(keyed.select("key", *whole, "node", "print"), lanes, radius)
+    large = F.broadcast(sizes.where(F.col("size") > border).select("key"))
+    short = keyed.join(large, "key", "left_anti").select("key", *whole, "node", "print")
+    found, placed = _large_keys(keyed.join(large, "key"), lanes, radius, total)
+    return found.unionByName(_forests(short.unionByName(placed), lanes, radius))
+
+
+def _large_keys(rows: DataFrame, lanes: int, radius: int, total: int) -> tuple[DataFrame, DataFrame]:
+    """Links of keys too large for a block: edges to the hub, and the blocks that are still to be compared.
+
+    The hub of a key is its smallest node. Nodes close to it are connected by that and need
+    no comparison among themselves: they come as the hub, in parts that meet those of the
+    far nodes only.
+    """
+    hubs = rows.groupBy("key").agg(F.min(F.struct("node", "print")).alias("hub"))
+    met = join_dealt(rows, hubs.select("key", F.col("hub.node").alias("hub"), F.col("hub.print").alias("of_hub")), "key", "node", total)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["key", "node", "print", "hub"]
+        for batch in batches:
+            columns = [batch.column(batch.schema.get_field_index(name)) for name in [*names, "of_hub"]]
+            mine, hub = (np.frombuffer(b"".join(columns[i].to_pylist()), dtype=">u8").reshape(-1, lanes) for i in (2, 4))
+            near = np.bitwise_count(mine ^ hub).sum(axis=1, dtype=np.int64) <= radius
+            yield pa.RecordBatch.from_arrays([*columns[:-1], pa.array(near)], names=[*names, "near"])
+
+    judged = checkpointed(met.mapInArrow(judge, "key long, node long, print binary, hub long, near boolean"))
+    found = judged.where(F.col("near") & (F.col("node") != F.col("hub"))).select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    parts = lambda rows_: F.ceil(F.count_if(rows_) / BLOCK).cast("int")
+    left = judged.groupBy("key").agg(parts(~F.col("near")).alias("_far"), parts(F.col("near")).alias("_near")).where(F.col("_far") > 0)
+    spot = lambda parts_: F.pmod(F.xxhash64("node", F.lit(7)), F.col(parts_)).cast("int")
+    every = F.sequence(F.lit(0), F.when(F.col("near"), F.col("_far")).otherwise(F.col("_far") + F.col("_near")) - 1)
     placed = (
-        keyed.join(F.broadcast(large), "key", "left")
-        .withColumn("mine", mine)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+        judged.join(F.broadcast(left), "key")
+        .withColumn("mine", F.when(F.col("near"), F.col("_far") + spot("_near")).otherwise(spot("_far")))
+        .withColumn("other", F.explode(every))
+        .withColumn("node", F.when(F.col("near"), F.col("hub")).otherwise(F.col("node")))
         .select(
             "key", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "mine", "node", "print"
         )
     )
+    return found, placed
+
+
+def _forests(placed: DataFrame, lanes: int, radius: int) -> DataFrame:
+    """Edges (a, b): a spanning forest for each block.
+
+    ``placed`` has ``key``, ``low`` and ``high`` (a block or, if they differ, two whose sides
+    meet), ``mine`` (one of both), ``node`` and ``print``.
+    """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(blocks: list[tuple[np.ndarray, np.ndarray, np.ndarray, bool]]):
@@ -280,6 +335,8 @@ def links(keyed: DataFrame, lanes: int, radius: int) -> DataFrame:
             prints = np.concatenate([b[1] for b in blocks])
             side = int((blocks[0][2] == blocks[0][2].min()).sum()) if blocks[0][3] else None
             root = forest(prints, radius, side)
+            if side is not None and np.count_nonzero(root != np.arange(len(root))) > FEW:
+                root = bridges(root, nodes_, prints, radius, side)
             linked = np.flatnonzero(root != np.arange(len(root)))
             return pa.RecordBatch.from_arrays([pa.array(nodes_[linked]), pa.array(nodes_[root[linked]])], names=["a", "b"])
 

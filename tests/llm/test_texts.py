@@ -145,6 +145,69 @@ def test_large_keys_meet_in_pairs(make_docs, monkeypatch):
     assert sorted((r.doc_id is None, r.doc_id) for r in kept) == [(False, 0), (True, None)]
 
 
+@pytest.mark.parametrize("few", [0, simhash.FEW])
+def test_links_of_a_large_key_equal_brute_force(spark, monkeypatch, few):
+    """Keys whose hub is close to all, some and none of their nodes, and one that fits a block."""
+    monkeypatch.setattr(simhash, "BLOCK", 8)
+    monkeypatch.setattr(simhash, "FEW", few)
+    rng = np.random.default_rng(31)
+    rows, nodes = [], rng.permutation(10**6)[:243].tolist()
+    for key, (count, flips) in enumerate([(90, (0, 10)), (90, (20, 42)), (60, (0, 200)), (3, (0, 10))]):
+        base = rng.integers(0, 2, 256)
+        for _ in range(count):
+            bits = base.copy()
+            bits[rng.choice(256, int(rng.integers(*flips)), replace=False)] ^= 1
+            rows.append((key, nodes[len(rows)], bytearray(np.packbits(bits).tobytes())))
+    prints = {n: (key, int.from_bytes(p)) for key, n, p in rows}
+    near = lambda a, b: prints[a][0] == prints[b][0] and (prints[a][1] ^ prints[b][1]).bit_count() <= 50
+    edges = {(e.a, e.b) for e in simhash.links(spark.createDataFrame(rows, "key long, node long, print binary"), 4, 50).collect()}
+    either = edges | {(b, a) for a, b in edges}
+    top = smallest_reachable(sorted(prints), near)
+    made = smallest_reachable(sorted(prints), lambda a, b: (a, b) in either)
+    assert {frozenset(n for n in top if top[n] == t) for t in top.values()} == {frozenset(n for n in made if made[n] == t) for t in made.values()}
+    assert 10 < len(set(top.values())) < 200
+    hub = {key: min(n for k, n, _ in rows if k == key) for key in range(4)}
+    far = [n for n in prints if (prints[n][1] ^ prints[hub[prints[n][0]]][1]).bit_count() > 50]
+    assert any(prints[n][0] == 1 for n in far) and not any(prints[n][0] == 0 for n in far)
+
+
+def test_edges_of_a_large_key_grow_with_its_size(spark, monkeypatch):
+    """Near copies of one text in parts of 8: an edge for each, not one for each part and copy."""
+    monkeypatch.setattr(simhash, "BLOCK", 8)
+    monkeypatch.setattr(simhash, "FEW", 0)
+    rng = np.random.default_rng(32)
+    for flips, most in (((5, 20), 1), ((20, 36), 3)):
+        for count in (80, 160):
+            rows = []
+            for node in range(count):
+                bits = np.zeros(256, dtype=np.uint8)
+                bits[rng.choice(256, int(rng.integers(*flips)), replace=False)] = 1
+                rows += [(key, node, bytearray(np.packbits(bits).tobytes())) for key in range(2)]
+            edges = simhash.links(spark.createDataFrame(rows, "key long, node long, print binary"), 4, 50)
+            assert edges.distinct().count() < most * count
+            assert components.components(edges).where("component = 0").count() == count
+
+
+@pytest.mark.parametrize("dealt", [4, components.DEALT])
+def test_components_read_the_edges_once_a_round(spark, monkeypatch, dealt):
+    """A hub and a chain: as the sizes of nodes stay, edges meet them before the first round only."""
+    monkeypatch.setattr(components, "DEALT", dealt)
+    plans = []
+    real = components.checkpointed
+
+    def noted(df, *rows):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return real(df, *rows)
+
+    monkeypatch.setattr(components, "checkpointed", noted)
+    edges = [(0, i) for i in range(1, 40)] + [(i, i + 1) for i in range(40, 60)]
+    got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**{i: 0 for i in range(40)}, **{i: 40 for i in range(40, 61)}}
+    # What a round needs several times is written: the offers read the edges once, the labels that follow do not.
+    reads = [sum("RDD" in line and "other#" in line for line in plan.splitlines()) for plan in plans[-2:]]
+    assert len(plans) > 4 and reads == [0, 1]
+
+
 @pytest.mark.parametrize("dealt", [4, components.DEALT])
 def test_components(spark, monkeypatch, dealt):
     monkeypatch.setattr(components, "DEALT", dealt)
